@@ -21,26 +21,28 @@ def _inverse(x: Column) -> Column:
     return F.try_divide(F.lit(1.0), x)
 
 
-def _positive(*cells: Column) -> Column:
-    return F.least(*cells) > 0
+def _doubles(*cells: Column) -> list[Column]:
+    return [x.cast("double") for x in cells]
 
 
 def reporting_odds_ratio(a: Column, b: Column, c: Column, d: Column):
-    a, b, c, d = (F.when(_positive(a, b, c, d), x.cast("double")) for x in (a, b, c, d))
-    return _log_interval(F.try_divide(a * d, b * c),
+    ok = F.least(a, b, c, d) > 0
+    a, b, c, d = _doubles(a, b, c, d)
+    return _log_interval(F.when(ok, F.try_divide(a * d, b * c)),
                          _inverse(a) + _inverse(b) + _inverse(c) + _inverse(d))
 
 
 def proportional_reporting_ratio(a: Column, b: Column, c: Column, d: Column):
-    ok = _positive(a, c) & (b >= 0) & (d >= 0)
-    a, b, c, d = (F.when(ok, x.cast("double")) for x in (a, b, c, d))
-    ratio = F.try_divide(F.try_divide(a, a + b), F.try_divide(c, c + d))
+    ok = (F.least(a, c) > 0) & (F.least(b, d) >= 0)
+    a, b, c, d = _doubles(a, b, c, d)
+    ratio = F.when(ok, F.try_divide(F.try_divide(a, a + b), F.try_divide(c, c + d)))
     return _log_interval(ratio, _inverse(a) - _inverse(a + b) + _inverse(c) - _inverse(c + d))
 
 
 def information_component(a: Column, b: Column, c: Column, d: Column):
-    a, b, c, d = (F.when(a > 0, x.cast("double")) for x in (a, b, c, d))
+    ok = a > 0
+    a, b, c, d = _doubles(a, b, c, d)
     expected = F.try_divide((a + b) * (a + c), a + b + c + d)
-    ic = F.log2(F.try_divide(a, expected))
+    ic = F.log2(F.when(ok, F.try_divide(a, expected)))
     margin = F.lit(Z95) * F.sqrt(_inverse(a))
     return ic, ic - margin, ic + margin

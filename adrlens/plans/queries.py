@@ -244,7 +244,7 @@ def report_files(spark, sf_dir):
     """Write all tables as quarterly report files, read them back, count per quarter."""
     folder = new_shared_path(spark, "reports")
     write_report_files(star_case_tables(spark, sf_dir), folder)
-    return profiles.extract_counts(read_reports(spark, folder, years=range(2000, 2100)))
+    return profiles.extract_counts(read_reports(spark, folder, years=range(1970, 2070)))
 
 
 # --- features -------------------------------------------------------------------
