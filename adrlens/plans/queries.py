@@ -400,7 +400,7 @@ def profile_features(spark, sf_dir):
 @lru_cache(maxsize=4)
 def _trained(spark: SparkSession, sf_dir: str):
     """Split features and fitted models of a folder, written once to the shared folder."""
-    divided = ml.split(materialise(_case_drug(spark, sf_dir), "features"), STUDY)
+    divided = ml.split(materialise(_case_drug(spark, sf_dir), "features", spread=True), STUDY)
     path = new_shared_path(spark, "models")
     models = ml.train_forests(divided.where(~F.col("is_test")), STUDY)
     save_models(models, path)

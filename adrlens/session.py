@@ -51,12 +51,17 @@ def new_shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Cuts lineage and survives the loss of executors; use it where several jobs read the
-    same expensive result.
+    same expensive result.  ``spread`` gives every core a share of the rows, for readers
+    whose cost is computation, not bytes.
     """
-    path = new_shared_path(df.sparkSession, name)
+    spark = df.sparkSession
+    if spread:
+        df = df.repartition(max(spark.sparkContext.defaultParallelism,
+                                int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    path = new_shared_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
