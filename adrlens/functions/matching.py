@@ -30,7 +30,7 @@ def any_term(columns: Iterable[str], terms: Iterable[str], match: str = "substri
         tests = [F.upper(F.col(c)).contains(t) for c in columns for t in kept]
     else:
         raise ValueError(f"match must be 'substring' or 'word', not {match!r}")
-    return reduce(lambda x, y: x | y, [F.coalesce(t, F.lit(False)) for t in tests])
+    return F.coalesce(reduce(lambda x, y: x | y, tests), F.lit(False))
 
 
 def group_bits(columns: Iterable[str], groups: Mapping[str, Iterable[str]],
@@ -56,6 +56,10 @@ def names_of_bits(bits: Column, names: Iterable[str]) -> Column:
     return F.array_compact(F.array(*flags))
 
 
+def first_bits(bits: Column, n: int) -> Column:
+    return bits.bitwiseAND(F.lit((1 << n) - 1))
+
+
 def count_bits(bits: Column, n: int) -> Column:
     """Number of bits set among the first ``n``."""
-    return F.bit_count(bits.bitwiseAND(F.lit((1 << n) - 1)))
+    return F.bit_count(first_bits(bits, n))

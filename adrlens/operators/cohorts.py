@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from adrlens.functions.matching import group_bits, has_bit, names_of_bits
+from adrlens.functions.matching import first_bits, group_bits, has_bit, names_of_bits
 from adrlens.operators.cases import DRUG_TEXT
 from adrlens.study import (AUTOIMMUNE, COHORT_ORDER, COINFECTION, MONO, OTHER, UNKNOWN_COHORT,
                            Study)
@@ -29,7 +29,7 @@ def row_bits(study: Study) -> Column:
 
 
 def antiviral(bits: Column, study: Study) -> Column:
-    return bits.bitwiseAND(F.lit((1 << len(study.drug_classes)) - 1)) != 0
+    return first_bits(bits, len(study.drug_classes)) != 0
 
 
 def exposures(drug: DataFrame, study: Study) -> DataFrame:

@@ -41,16 +41,14 @@ def drug_adr_pairs(tables: CaseTables, study: Study,
                    precedence: Sequence[str] = COHORT_ORDER) -> DataFrame:
     """One row per antiviral class of a case and reaction row of that case.
 
-    The exposed side has one row per case, so adaptive execution can split a case with
-    very many reaction rows over several tasks.
+    The exposed side has one row per case and class, so adaptive execution can split a
+    case with very many reaction rows over several tasks.
     """
-    return (
-        tables.reac.select("primaryid", F.col("pt").alias("adr"))
-        .join(exposed_cases(tables, study, precedence), "primaryid")
-        .select("primaryid",
-                F.explode(names_of_bits(F.col("bits"), study.drug_classes)).alias("drug_class"),
-                "adr", "cohort", "severity")
-    )
+    exposed = exposed_cases(tables, study, precedence).select(
+        "primaryid", F.explode(names_of_bits(F.col("bits"), study.drug_classes)).alias("drug_class"),
+        "cohort", "severity")
+    return (tables.reac.select("primaryid", F.col("pt").alias("adr")).join(exposed, "primaryid")
+            .select("primaryid", "drug_class", "adr", "cohort", "severity"))
 
 
 def case_records(tables: CaseTables, study: Study,

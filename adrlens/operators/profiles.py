@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from adrlens.functions.clinical import outcome_name
-from adrlens.functions.matching import count_bits, names_of_bits
+from adrlens.functions.matching import count_bits, first_bits, names_of_bits
 from adrlens.sources.case_tables import CaseTables
 from adrlens.study import MONO, Study
 
@@ -98,10 +98,13 @@ def pairs_profile(facts: DataFrame, study: Study) -> DataFrame:
 
 def top_events_per_drug(facts: DataFrame, study: Study, cohort: str = MONO, n: int = 10) -> DataFrame:
     """The n most frequent events of each drug class in one cohort, by pair rows."""
-    drug = F.explode(names_of_bits(F.col("bits"), study.drug_classes)).alias("drug_class")
+    bits = first_bits(F.col("bits"), len(study.drug_classes)).alias("bits")
     order = Window.partitionBy("drug_class").orderBy(F.desc("n_rows"), "adr")
     return (
-        facts.where((F.col("cohort") == cohort) & ~F.col("is_case")).select(drug, "adr", "n_rows")
+        facts.where((F.col("cohort") == cohort) & ~F.col("is_case"))
+        .groupBy(bits, "adr").agg(F.sum("n_rows").alias("n_rows"))  # unfold sums, not rows
+        .select(F.explode(names_of_bits(F.col("bits"), study.drug_classes)).alias("drug_class"),
+                "adr", "n_rows")
         .groupBy("drug_class", "adr").agg(F.sum("n_rows").alias("n_rows"))
         .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
         .select("drug_class", "rank", "adr", F.substring("adr", 1, 30).alias("adr_label"), "n_rows")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from adrlens.functions import disproportionality as dp
-from adrlens.functions.matching import names_of_bits
+from adrlens.functions.matching import first_bits, names_of_bits
 from adrlens.operators.margins import attach_totals
 from adrlens.study import SIGNAL_COHORTS, SignalThresholds, Study
 
@@ -17,18 +17,23 @@ ALL_COHORTS = "ALL"
 def contingency(facts: DataFrame, study: Study, min_cases: int = 1) -> DataFrame:
     """Cells a, b, c, d per cohort, drug class and event, with the mean severity of rows.
 
-    One aggregate gives the cells and all margins: each fact counts for its drug classes
-    and for "any class" (null drug); facts without an event are the case rows.  Only
-    observed pairs form a cell.
+    Facts are first added up per combination of classes, of which there are few, and only
+    those sums are unfolded: each counts for its drug classes and for "any class" (null
+    drug).  Facts without an event are the case rows, so cells and margins come from one
+    aggregate.  Only observed pairs form a cell.
     """
+    combinations = (
+        facts.groupBy("cohort", "adr", "is_case",
+                      first_bits(F.col("bits"), len(study.drug_classes)).alias("bits"))
+        .agg(F.count("*").alias("n"), F.sum("n_rows").alias("n_rows"),
+             F.sum(F.col("n_rows") * F.col("severity")).alias("severity_sum"))
+    )
     drugs = F.concat(names_of_bits(F.col("bits"), study.drug_classes),
                      F.array(F.lit(None).cast("string")))
+    sums = ("n", "n_rows", "severity_sum")
     counts = (
-        facts.select("cohort", "adr", "is_case", "n_rows", "severity",
-                     F.explode(drugs).alias("drug"))
-        .groupBy("cohort", "drug", "adr", "is_case")
-        .agg(F.count("*").alias("n"), F.sum("n_rows").alias("n_rows"),
-             F.sum(F.col("n_rows") * F.col("severity")).alias("severity_sum"))
+        combinations.select("cohort", "adr", "is_case", *sums, F.explode(drugs).alias("drug"))
+        .groupBy("cohort", "drug", "adr", "is_case").agg(*[F.sum(c).alias(c) for c in sums])
     )
     n, is_case, any_drug = F.col("n"), F.col("is_case"), F.col("drug").isNull()
     margins = {

@@ -3,22 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame
 
+from adrlens.schemas import REPORT_TABLES
+
 
-@dataclass(frozen=True)
 class CaseTables:
-    demo: DataFrame
-    drug: DataFrame
-    reac: DataFrame
-    indi: DataFrame
-    outc: DataFrame
-    rpsr: DataFrame
+    """demo, drug, reac, indi, outc and rpsr, as attributes.
+
+    A table may be given as a function; it is called when the table is first used, so a
+    query over two tables does not prepare six.
+    """
+
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]):
+        if set(tables) != set(REPORT_TABLES):
+            raise ValueError(f"expected tables {REPORT_TABLES}, got {tuple(tables)}")
+        self._tables = tables
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in REPORT_TABLES:
+            raise AttributeError(name)
+        given = self._tables[name]
+        if not isinstance(given, DataFrame):
+            given = self._tables[name] = given()
+        return given
 
     def items(self) -> list[tuple[str, DataFrame]]:
-        return [(f.name, getattr(self, f.name)) for f in fields(self)]
+        return [(name, getattr(self, name)) for name in REPORT_TABLES]
 
     def map(self, change: Callable[[str, DataFrame], DataFrame]) -> "CaseTables":
-        return replace(self, **{name: change(name, df) for name, df in self.items()})
+        """The same tables with ``change(name, table)`` applied to each."""
+        return CaseTables(**{name: lambda name=name: change(name, getattr(self, name))
+                             for name in REPORT_TABLES})

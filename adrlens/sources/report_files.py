@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 from multiprocessing.pool import ThreadPool
 from urllib.parse import unquote
 
@@ -161,7 +161,8 @@ def read_reports(spark: SparkSession, base_dir: str, years: Iterable[int] = YEAR
                  missing: Iterable[str] = NULL_TOKENS) -> CaseTables:
     """All six tables of a folder of quarterly files."""
     files = find_report_files(spark, base_dir, years=years)
-    return CaseTables(*(read_report_table(spark, t, files, missing) for t in REPORT_TABLES))
+    return CaseTables(**{t: partial(read_report_table, spark, t, files, missing)
+                         for t in REPORT_TABLES})
 
 
 def write_report_files(tables: CaseTables, base_dir: str) -> None:

@@ -6,6 +6,8 @@ Every value is derived from the stored columns; all columns are strings as in a
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adrlens.sources.case_tables import CaseTables
@@ -137,4 +139,5 @@ def rpsr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_case_tables(spark: SparkSession, sf_dir: str) -> CaseTables:
-    return CaseTables(*(build(spark, sf_dir) for build in (demo, drug, reac, indi, outc, rpsr)))
+    builders = dict(demo=demo, drug=drug, reac=reac, indi=indi, outc=outc, rpsr=rpsr)
+    return CaseTables(**{name: partial(build, spark, sf_dir) for name, build in builders.items()})

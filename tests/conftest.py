@@ -25,12 +25,12 @@ def spark():
 def make_tables(spark):
     """Case tables from rows given as dicts; columns left out are null."""
     def build(**rows) -> CaseTables:
-        frames = []
+        frames = {}
         for name, columns in REPORT_COLUMNS.items():
             names = [*columns, "year_quarter"]
             data = [tuple(r.get(c) for c in names) for r in rows.get(name, [])]
-            frames.append(spark.createDataFrame(data, string_schema(names)))
-        return CaseTables(*frames)
+            frames[name] = spark.createDataFrame(data, string_schema(names))
+        return CaseTables(**frames)
 
     return build
 
