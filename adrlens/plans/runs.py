@@ -7,6 +7,7 @@ A result that several outputs share is written once and read back.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,8 +16,8 @@ from adrlens.operators import (cases, cohorts, compare, features, ladder, ml, pa
 from adrlens.schemas import DERIVED_SCHEMAS, REPORT_TABLES, report_schema
 from adrlens.session import materialise
 from adrlens.sources.case_tables import CaseTables
-from adrlens.sources.report_files import (YEARS, find_report_files, read_report_table,
-                                          rejected_rows)
+from adrlens.sources.report_files import (YEARS, find_report_files, kept_rows,
+                                          parse_report_table, rejected_rows)
 from adrlens.sources.tables import load_models, read_table, save_models, write_table
 from adrlens.study import HBV_STUDY, Study
 
@@ -42,19 +43,19 @@ def run_extraction(spark: SparkSession, reports: str, out: str, study: Study = H
                    years: Iterable[int] = YEARS) -> CaseTables:
     """Report files to extracted case tables, with profile, frequencies and rejected lines.
 
-    The text files are read once each into Parquet, partitioned by quarter; both passes
-    (find cases, keep their rows) then read columns, not text.
+    The text is parsed once into Parquet, partitioned by quarter; both passes (find cases,
+    keep their rows) then read columns, not text.
     """
     files = find_report_files(spark, reports, years=years)
-    staged, rejects = {}, None
+    staged, rejects = {}, []
     for name in REPORT_TABLES:
-        path = f"{out}/staged/{name}"
-        write_table(read_report_table(spark, name, files), path, partition_by=["year_quarter"])
-        staged[name] = read_table(spark, path, report_schema(name))
-        bad = rejected_rows(spark, name, files).withColumn("table_name", F.lit(name))
-        rejects = bad if rejects is None else rejects.unionByName(bad)
+        path, parsed = f"{out}/staged/{name}", parse_report_table(spark, name, files)
+        write_table(parsed, path, partition_by=["reason", "year_quarter"])
+        written = read_table(spark, path, parsed.schema)
+        staged[name] = kept_rows(written)
+        rejects.append(rejected_rows(written).withColumn("table_name", F.lit(name)))
     tables = CaseTables(**staged)
-    write_table(rejects.groupBy("table_name", "year_quarter", "reason")
+    write_table(reduce(DataFrame.unionByName, rejects).groupBy("table_name", "year_quarter", "reason")
                 .agg(F.count("*").alias("n_lines")), f"{out}/rejected_lines")
     ids = materialise(cases.case_ids(tables, study), "case_ids")
     for name, df in cases.extract_cases(tables, study, ids=ids).items():

@@ -27,6 +27,7 @@ ENCODING = "ISO-8859-1"
 YEARS = range(2020, 2026)
 PIVOT_YEAR = 70  # two-digit years from here on are 19xx
 HEADER_THREADS = 16
+KEPT = "ok"
 
 _RAW = "_raw_line"
 _QUOTED = r'(^|\$)"([^"]|"")*"'
@@ -96,11 +97,14 @@ def _parsed(spark: SparkSession, paths: list[str], header: tuple[str, ...]) -> D
     return rows.withColumn("year_quarter", _quarter_label())
 
 
-def _reject_reason(n_columns: int) -> Column:
+def _reason(n_columns: int) -> Column:
+    """Why a line is left out; ``ok`` for a line that is kept."""
     unquoted = F.regexp_replace(F.col(_RAW), _QUOTED, "$1")
     fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(DELIMITER), F.lit(""))) + 1
-    return (F.when(unquoted.rlike(_OPEN_QUOTE), "unbalanced_quote")
-            .when(fields > n_columns, "too_many_fields"))
+    return (F.when(F.col(_RAW).isNull(), KEPT)
+            .when(unquoted.rlike(_OPEN_QUOTE), "unbalanced_quote")
+            .when(fields > n_columns, "too_many_fields")
+            .otherwise(KEPT))
 
 
 def _layouts(spark: SparkSession, files: Iterable[ReportFile]) -> dict[tuple[str, ...], list[str]]:
@@ -114,12 +118,13 @@ def _layouts(spark: SparkSession, files: Iterable[ReportFile]) -> dict[tuple[str
     return layouts
 
 
-def read_report_table(spark: SparkSession, table: str, files: Iterable[ReportFile],
-                      missing: Iterable[str] = NULL_TOKENS) -> DataFrame:
-    """One report table over all its quarters, as strings in the fixed column order.
+def parse_report_table(spark: SparkSession, table: str, files: Iterable[ReportFile],
+                       missing: Iterable[str] = NULL_TOKENS) -> DataFrame:
+    """Every line of one report table over all its quarters, kept or not, from one scan.
 
-    A column that a layout lacks is null.  Text in ``missing`` becomes null; pass an empty
-    sequence to keep such text (country code NA, for example).
+    Columns: the fixed columns as strings (null where a layout lacks one), year_quarter,
+    reason (``ok`` for kept lines) and the text of irregular lines.  Text in ``missing``
+    becomes null; pass an empty sequence to keep such text (country code NA, for example).
     """
     wanted, missing = REPORT_COLUMNS[table], tuple(missing)
 
@@ -131,30 +136,32 @@ def read_report_table(spark: SparkSession, table: str, files: Iterable[ReportFil
 
     parts = [
         _parsed(spark, paths, header)
-        .where(F.col(_RAW).isNull() | _reject_reason(len(header)).isNull())
-        .select(*[cell(c, header) for c in wanted], "year_quarter")
-        .na.drop("all", subset=wanted)
+        .select(*[cell(c, header) for c in wanted], "year_quarter",
+                _reason(len(header)).alias("reason"), F.col(_RAW).alias("line"))
         for header, paths in _layouts(spark, (f for f in files if f.table == table)).items()
     ]
     if not parts:
-        return spark.createDataFrame([], string_schema([*wanted, "year_quarter"]))
+        return spark.createDataFrame(
+            [], string_schema([*wanted, "year_quarter", "reason", "line"]))
     return reduce(DataFrame.unionByName, parts)
 
 
-def rejected_rows(spark: SparkSession, table: str, files: Iterable[ReportFile]) -> DataFrame:
-    """Lines left out of ``read_report_table``: quarter, reason and raw text."""
-    parts = [
-        _parsed(spark, paths, header)
-        # The parser wants a data column in every query; this test is always true.
-        .where(F.col(_RAW).isNotNull() & (F.length(F.coalesce(header[0], F.lit(""))) >= 0))
-        .select("year_quarter", _reject_reason(len(header)).alias("reason"),
-                F.col(_RAW).alias("line"))
-        .where("reason IS NOT NULL")
-        for header, paths in _layouts(spark, (f for f in files if f.table == table)).items()
-    ]
-    if not parts:
-        return spark.createDataFrame([], "year_quarter string, reason string, line string")
-    return reduce(DataFrame.unionByName, parts)
+def kept_rows(parsed: DataFrame) -> DataFrame:
+    """Lines that are kept, without those that are null in every column."""
+    wanted = [c for c in parsed.columns if c not in ("year_quarter", "reason", "line")]
+    return parsed.where(F.col("reason") == KEPT).drop("reason", "line").na.drop("all", subset=wanted)
+
+
+def rejected_rows(parsed: DataFrame) -> DataFrame:
+    """Lines that are left out: quarter, reason and text."""
+    # The parser wants a data column in every query; the length test is always true.
+    data = F.length(F.coalesce(parsed.columns[0], F.lit(""))) >= 0
+    return parsed.where((F.col("reason") != KEPT) & data).select("year_quarter", "reason", "line")
+
+
+def read_report_table(spark: SparkSession, table: str, files: Iterable[ReportFile],
+                      missing: Iterable[str] = NULL_TOKENS) -> DataFrame:
+    return kept_rows(parse_report_table(spark, table, files, missing))
 
 
 def read_reports(spark: SparkSession, base_dir: str, years: Iterable[int] = YEARS,

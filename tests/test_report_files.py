@@ -47,7 +47,9 @@ def test_bad_lines(spark, folder):
                            '"9$8$7\n7$"x"$y$"z\n')
     got = rows(read(spark, folder, "outc"), "primaryid", "caseid", "outc_cod")
     assert got == [("1", "2", "3"), ("1", "2", None), ("a$b", "c", "d")]
-    rejected = rf.rejected_rows(spark, "outc", rf.find_report_files(spark, folder.base))
+    parsed = rf.parse_report_table(spark, "outc", rf.find_report_files(spark, folder.base))
+    rejected = rf.rejected_rows(parsed)
+    assert rejected.count() == 4
     assert rows(rejected, "reason", "line") == [
         ("too_many_fields", "1$2$$5"), ("too_many_fields", "1$2$3$4"),
         ("unbalanced_quote", '"9$8$7'), ("unbalanced_quote", '7$"x"$y$"z')]
@@ -84,7 +86,7 @@ def test_no_files(spark, folder):
     folder("DEMO20Q1.txt", "primaryid\n1\n")
     empty = read(spark, folder, "rpsr")
     assert empty.columns == [*REPORT_COLUMNS["rpsr"], "year_quarter"] and empty.count() == 0
-    assert rf.rejected_rows(spark, "rpsr", []).count() == 0
+    assert rf.rejected_rows(rf.parse_report_table(spark, "rpsr", [])).count() == 0
 
 
 def test_written_reports_come_back(spark, tmp_path):
