@@ -12,24 +12,27 @@ from adrlens.study import Study
 DRUG_TEXT = ("drugname", "prod_ai")
 
 
-def case_hits(tables: CaseTables, study: Study) -> DataFrame:
-    """One row per case and source (indi, reac, drug) in which the case definition matches."""
+def _matching_rows(tables: CaseTables, study: Study) -> DataFrame:
+    """(primaryid, source) of every row that meets the case definition."""
     def hits(df: DataFrame, columns, terms, source: str) -> DataFrame:
-        return (df.where(any_term(columns, terms, study.match)).select("primaryid")
-                .withColumn("source", F.lit(source)))
+        return (df.where(any_term(columns, terms, study.match) & F.col("primaryid").isNotNull())
+                .select("primaryid", F.lit(source).alias("source")))
 
     return (
         hits(tables.indi, ["indi_pt"], study.case_terms, "indi")
         .unionByName(hits(tables.reac, ["pt"], study.case_terms, "reac"))
         .unionByName(hits(tables.drug, DRUG_TEXT, study.case_drugs, "drug"))
-        .where(F.col("primaryid").isNotNull())
-        .distinct()
     )
 
 
+def case_hits(tables: CaseTables, study: Study) -> DataFrame:
+    """One row per case and source (indi, reac, drug) in which the case definition matches."""
+    return _matching_rows(tables, study).distinct()
+
+
 def case_ids(tables: CaseTables, study: Study) -> DataFrame:
     """Distinct ids of all cases, over all sources and quarters."""
-    return case_hits(tables, study).select("primaryid").distinct()
+    return _matching_rows(tables, study).select("primaryid").distinct()
 
 
 def keep_cases(tables: CaseTables, ids: DataFrame) -> CaseTables:
