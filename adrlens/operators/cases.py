@@ -58,14 +58,18 @@ def latest_versions(demo: DataFrame) -> DataFrame:
     )
 
 
-def keep_latest(tables: CaseTables) -> CaseTables:
-    """Latest version of each case, and the child rows of those reports only."""
-    demo = latest_versions(tables.demo)
+def keep_children(tables: CaseTables, demo: DataFrame) -> CaseTables:
+    """``demo`` with the rows of every other table that belong to its reports."""
     ids = demo.select("primaryid").distinct()
     return tables.map(
         lambda name, df: demo if name == "demo" else df.join(ids, "primaryid", "left_semi"))
 
 
+def keep_latest(tables: CaseTables) -> CaseTables:
+    """Latest version of each case, and the child rows of those reports only."""
+    return keep_children(tables, latest_versions(tables.demo))
+
+
 def clean_demographics(demo: DataFrame) -> DataFrame:
     """Typed and normalised demographics: numeric age, age in years, tidy sex, event date."""
     return (
@@ -76,10 +80,15 @@ def clean_demographics(demo: DataFrame) -> DataFrame:
     )
 
 
-def extract_cases(tables: CaseTables, study: Study, ids: DataFrame | None = None) -> CaseTables:
-    """The whole extraction: find cases, keep their rows, dedupe, clean demographics.
+def extract_demographics(tables: CaseTables, ids: DataFrame) -> DataFrame:
+    """Cleaned demographics of the latest version of each case in ``ids``."""
+    return clean_demographics(latest_versions(tables.demo.join(ids, "primaryid", "left_semi")))
+
+
+def extract_cases(tables: CaseTables, study: Study) -> CaseTables:
+    """The whole extraction: find cases, keep their latest reports, clean demographics.
 
-    Pass ``ids`` (a written table of ``case_ids``) so that several outputs share one scan.
+    The reports of the kept demographics are all cases, so the other tables need one
+    semi join only.
     """
-    kept = keep_latest(keep_cases(tables, case_ids(tables, study) if ids is None else ids))
-    return kept.map(lambda name, df: clean_demographics(df) if name == "demo" else df)
+    return keep_children(tables, extract_demographics(tables, case_ids(tables, study)))

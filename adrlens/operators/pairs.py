@@ -21,7 +21,7 @@ from adrlens.study import COHORT_ORDER, Study
 DEFAULT_SEVERITY = 1
 
 
-def exposed_cases(tables: CaseTables, study: Study,
+def exposed_cases(exposures: DataFrame, outc: DataFrame, study: Study,
                   precedence: Sequence[str] = COHORT_ORDER) -> DataFrame:
     """One row per case exposed to an antiviral: primaryid, bits, cohort, severity.
 
@@ -30,39 +30,41 @@ def exposed_cases(tables: CaseTables, study: Study,
     """
     bits = F.col("bits")
     return (
-        exposures(tables.drug, study).where(antiviral(bits, study))
-        .join(case_severity(tables.outc, study), "primaryid", "left")
+        exposures.where(antiviral(bits, study))
+        .join(case_severity(outc, study), "primaryid", "left")
         .select("primaryid", "bits", first_cohort(bits, study, precedence).alias("cohort"),
                 F.coalesce("severity", F.lit(DEFAULT_SEVERITY)).alias("severity"))
     )
 
 
-def drug_adr_pairs(tables: CaseTables, study: Study,
-                   precedence: Sequence[str] = COHORT_ORDER) -> DataFrame:
+def exposed_cases_of(tables: CaseTables, study: Study,
+                     precedence: Sequence[str] = COHORT_ORDER) -> DataFrame:
+    return exposed_cases(exposures(tables.drug, study), tables.outc, study, precedence)
+
+
+def drug_adr_pairs(reac: DataFrame, exposed: DataFrame, study: Study) -> DataFrame:
     """One row per antiviral class of a case and reaction row of that case.
 
     The exposed side has one row per case and class, so adaptive execution can split a
     case with very many reaction rows over several tasks.
     """
-    exposed = exposed_cases(tables, study, precedence).select(
+    classes = exposed.select(
         "primaryid", F.explode(names_of_bits(F.col("bits"), study.drug_classes)).alias("drug_class"),
         "cohort", "severity")
-    return (tables.reac.select("primaryid", F.col("pt").alias("adr")).join(exposed, "primaryid")
+    return (reac.select("primaryid", F.col("pt").alias("adr")).join(classes, "primaryid")
             .select("primaryid", "drug_class", "adr", "cohort", "severity"))
 
 
-def case_records(tables: CaseTables, study: Study,
-                 precedence: Sequence[str] = COHORT_ORDER) -> DataFrame:
+def case_records(reac: DataFrame, exposed: DataFrame, study: Study) -> DataFrame:
     """One row per case in pairs: cohort, severity, n_records (its number of pair rows)."""
-    rows = tables.reac.groupBy("primaryid").agg(F.count("*").alias("n_rows"))
+    rows = reac.groupBy("primaryid").agg(F.count("*").alias("n_rows"))
     classes = count_bits(F.col("bits"), len(study.drug_classes))
-    return (rows.join(exposed_cases(tables, study, precedence), "primaryid")
+    return (rows.join(exposed, "primaryid")
             .select("primaryid", "cohort", "severity",
                     (F.col("n_rows") * classes).alias("n_records")))
 
 
-def pair_facts(tables: CaseTables, study: Study,
-               precedence: Sequence[str] = COHORT_ORDER) -> DataFrame:
+def pair_facts(reac: DataFrame, exposed: DataFrame) -> DataFrame:
     """One row per case and event, and one per case (``is_case``, no event).
 
     Columns: primaryid, adr, is_case, n_rows (reaction rows), bits, cohort, severity.
@@ -72,8 +74,13 @@ def pair_facts(tables: CaseTables, study: Study,
     event = F.struct(F.col("pt").alias("adr"), F.lit(False).alias("is_case"))
     case = F.struct(F.lit(None).cast("string").alias("adr"), F.lit(True).alias("is_case"))
     counted = (
-        tables.reac.select("primaryid", F.inline(F.array(event, case)))
+        reac.select("primaryid", F.inline(F.array(event, case)))
         .where("is_case OR adr IS NOT NULL")
         .groupBy("primaryid", "adr", "is_case").agg(F.count("*").alias("n_rows"))
     )
-    return counted.join(exposed_cases(tables, study, precedence), "primaryid")
+    return counted.join(exposed, "primaryid")
+
+
+def pair_facts_of(tables: CaseTables, study: Study,
+                  precedence: Sequence[str] = COHORT_ORDER) -> DataFrame:
+    return pair_facts(tables.reac, exposed_cases_of(tables, study, precedence))

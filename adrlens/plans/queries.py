@@ -38,7 +38,7 @@ def query(build: Query) -> Query:
 
 
 def _facts(spark, sf_dir) -> DataFrame:
-    return pairs.pair_facts(star_case_tables(spark, sf_dir), STUDY)
+    return pairs.pair_facts_of(star_case_tables(spark, sf_dir), STUDY)
 
 
 # --- signals --------------------------------------------------------------------
@@ -63,8 +63,8 @@ def signals_pooled(spark, sf_dir):
 @query
 def signals_autoimmune_first(spark, sf_dir):
     """Signals when an autoimmune case counts for its own cohort."""
-    facts = pairs.pair_facts(star_case_tables(spark, sf_dir), STUDY,
-                             precedence=(AUTOIMMUNE, MONO, COINFECTION, OTHER))
+    facts = pairs.pair_facts_of(star_case_tables(spark, sf_dir), STUDY,
+                                precedence=(AUTOIMMUNE, MONO, COINFECTION, OTHER))
     return signals.by_strength(signals.detect_signals(facts, STUDY))
 
 
@@ -113,7 +113,8 @@ def exposure_counts(spark, sf_dir):
 
 @query
 def drug_adr_pairs(spark, sf_dir):
-    return pairs.drug_adr_pairs(star_case_tables(spark, sf_dir), STUDY)
+    tables = star_case_tables(spark, sf_dir)
+    return pairs.drug_adr_pairs(tables.reac, pairs.exposed_cases_of(tables, STUDY), STUDY)
 
 
 @query
@@ -127,7 +128,9 @@ def top_adr_per_drug(spark, sf_dir):
 
 
 def _severity(spark, sf_dir) -> DataFrame:
-    return severity.severity_profile(pairs.case_records(star_case_tables(spark, sf_dir), STUDY))
+    tables = star_case_tables(spark, sf_dir)
+    return severity.severity_profile(
+        pairs.case_records(tables.reac, pairs.exposed_cases_of(tables, STUDY), STUDY))
 
 
 @query
@@ -208,6 +211,10 @@ def extract_tables(spark, sf_dir):
     return profiles.extract_counts(_kept(spark, sf_dir))
 
 
+def _extracted(spark, sf_dir) -> CaseTables:
+    return cases.extract_cases(star_case_tables(spark, sf_dir), STUDY)
+
+
 @query
 def dedupe_latest(spark, sf_dir):
     demo = cases.latest_versions(star_case_tables(spark, sf_dir).demo)
@@ -216,7 +223,8 @@ def dedupe_latest(spark, sf_dir):
 
 @query
 def cascade(spark, sf_dir):
-    return profiles.extract_counts(cases.keep_latest(_kept(spark, sf_dir)))
+    """Rows per table and quarter once only the latest report of each case is left."""
+    return profiles.extract_counts(_extracted(spark, sf_dir))
 
 
 @query
@@ -225,10 +233,6 @@ def demographics(spark, sf_dir):
     return demo.select("primaryid", "age", "age_cod", "age_years", "sex", "event_dt", "event_date")
 
 
-def _extracted(spark, sf_dir) -> CaseTables:
-    return cases.extract_cases(star_case_tables(spark, sf_dir), STUDY)
-
-
 @query
 def extraction_profile(spark, sf_dir):
     return profiles.extraction_profile(_extracted(spark, sf_dir))

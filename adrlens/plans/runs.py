@@ -33,6 +33,10 @@ def extracted_schema(name: str) -> str:
     return ", ".join(fields)
 
 
+def _in_order(df: DataFrame, name: str) -> DataFrame:
+    return df.select(*[c.split()[0] for c in extracted_schema(name).split(", ")])
+
+
 def load_extracted(spark: SparkSession, folder: str) -> CaseTables:
     return CaseTables(**{
         name: read_table(spark, f"{folder}/{name}", extracted_schema(name))
@@ -58,9 +62,11 @@ def run_extraction(spark: SparkSession, reports: str, out: str, study: Study = H
     write_table(reduce(DataFrame.unionByName, rejects).groupBy("table_name", "year_quarter", "reason")
                 .agg(F.count("*").alias("n_lines")), f"{out}/rejected_lines")
     ids = materialise(cases.case_ids(tables, study), "case_ids")
-    for name, df in cases.extract_cases(tables, study, ids=ids).items():
-        write_table(df.select(*[c.split()[0] for c in extracted_schema(name).split(", ")]),
-                    f"{out}/{name}")
+    write_table(_in_order(cases.extract_demographics(tables, ids), "demo"), f"{out}/demo")
+    demo = read_table(spark, f"{out}/demo", extracted_schema("demo"))
+    for name, df in cases.keep_children(tables, demo).items():
+        if name != "demo":
+            write_table(_in_order(df, name), f"{out}/{name}")
     extracted = load_extracted(spark, out)
     write_table(profiles.extraction_profile(extracted), f"{out}/profile")
     write_table(profiles.frequency_tables(extracted, study), f"{out}/frequencies")
@@ -69,18 +75,19 @@ def run_extraction(spark: SparkSession, reports: str, out: str, study: Study = H
 
 def run_analysis(tables: CaseTables, out: str, study: Study = HBV_STUDY) -> None:
     """Cohorts, pairs, signals, comparison, severity and summaries of extracted tables."""
-    exposed = cohorts.exposures(tables.drug, study)
-    assigned = cohorts.assign_cohorts(tables.demo, exposed, study)
-    facts = materialise(pairs.pair_facts(tables, study), "facts")
+    exposures = materialise(cohorts.exposures(tables.drug, study), "exposures")
+    exposed = materialise(pairs.exposed_cases(exposures, tables.outc, study), "exposed")
+    facts = materialise(pairs.pair_facts(tables.reac, exposed), "facts")
     found = materialise(signals.detect_signals(facts, study), "signals")
     results = {
-        "cohort_assignments": assigned,
-        "drug_adr_pairs": pairs.drug_adr_pairs(tables, study),
+        "cohort_assignments": cohorts.assign_cohorts(tables.demo, exposures, study),
+        "drug_adr_pairs": pairs.drug_adr_pairs(tables.reac, exposed, study),
         "all_signals": signals.by_strength(found),
         "cohort_comparison": compare.by_risk_ratio(compare.compare_cohorts(facts, study)),
-        "severity_by_cohort": severity.severity_profile(pairs.case_records(tables, study)),
+        "severity_by_cohort": severity.severity_profile(
+            pairs.case_records(tables.reac, exposed, study)),
         "drug_risk_scores": signals.drug_risk_scores(found),
-        "exposure_counts": cohorts.exposure_counts(exposed, study),
+        "exposure_counts": cohorts.exposure_counts(exposures, study),
         "pairs_profile": profiles.pairs_profile(facts, study),
         "signals_per_cohort": signals.signals_per_cohort(found),
         "top_signals": signals.top_signals(found),

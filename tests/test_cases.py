@@ -55,15 +55,18 @@ def test_cleaning(make_tables):
     assert got == [("1", 24.0, 2.0, "M", "2020-02-29"), ("2", None, None, None, None)]
 
 
-def test_extraction_accepts_written_ids(make_tables):
+def test_extraction(make_tables):
     tables = make_tables(
-        demo=[dict(primaryid="1", caseid="c", caseversion="1"), dict(primaryid="2", caseid="d")],
-        drug=[dict(primaryid="1", drugname="Epivir"), dict(primaryid="2", drugname="x")])
-    ids = cases.case_ids(tables, HBV_STUDY)
-    once = cases.extract_cases(tables, HBV_STUDY)
-    given = cases.extract_cases(tables, HBV_STUDY, ids=ids)
-    assert rows(once.drug, "primaryid") == rows(given.drug, "primaryid") == [("1",)]
-    assert "age_years" in once.demo.columns
+        demo=[dict(primaryid="1", caseid="c", caseversion="1"), dict(primaryid="2", caseid="d"),
+              dict(primaryid="3", caseid="c", caseversion="2")],
+        drug=[dict(primaryid="1", drugname="Epivir"), dict(primaryid="2", drugname="x"),
+              dict(primaryid="3", drugname="Epivir"), dict(primaryid="3", drugname="y")],
+        rpsr=[dict(primaryid=i, rpsr_cod="HP") for i in "123"])
+    out = cases.extract_cases(tables, HBV_STUDY)
+    stepwise = cases.keep_latest(cases.keep_cases(tables, cases.case_ids(tables, HBV_STUDY)))
+    assert rows(out.demo, "primaryid") == [("3",)] and "age_years" in out.demo.columns
+    assert rows(out.drug, "drugname") == rows(stepwise.drug, "drugname") == [("Epivir",), ("y",)]
+    assert rows(out.rpsr, "primaryid") == rows(stepwise.rpsr, "primaryid") == [("3",)]
 
 
 def test_latest_version_limits_groups_before_the_shuffle(make_tables, capsys):

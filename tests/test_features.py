@@ -81,6 +81,6 @@ def test_profiles(tables, scores):
 
 
 def test_scores_of_detected_signals_feed_features(tables):
-    found = signals.detect_signals(pairs.pair_facts(tables, STUDY), STUDY)
+    found = signals.detect_signals(pairs.pair_facts_of(tables, STUDY), STUDY)
     df = features.case_drug_features(tables, signals.drug_risk_scores(found), STUDY)
     assert df.where("drug_class = 'TENOFOVIR'").select(F.max("drug_risk_score")).first()[0] == 1.0

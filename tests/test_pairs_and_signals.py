@@ -46,13 +46,14 @@ def test_exposure_counts(case):
                                    (AUTOIMMUNE, MONO, COINFECTION, OTHER)])
 def test_pair_rows(case, order):
     data, tables = case
-    got = rows(pairs.drug_adr_pairs(tables, STUDY, precedence=order))
+    got = rows(pairs.drug_adr_pairs(
+        tables.reac, pairs.exposed_cases_of(tables, STUDY, order), STUDY))
     assert got == sorted(pair_rows(data, STUDY, order), key=repr)
 
 
 def test_cells_and_margins(case):
     data, tables = case
-    facts = pairs.pair_facts(tables, STUDY)
+    facts = pairs.pair_facts_of(tables, STUDY)
     expected = {}
     for cohort in (MONO, COINFECTION):
         mine = [p for p in pair_rows(data, STUDY) if p[3] == cohort]
@@ -75,7 +76,7 @@ def test_signals(case, pooled):
     groups = {"ALL": all_pairs} if pooled else {
         c: [p for p in all_pairs if p[3] == c] for c in (MONO, COINFECTION)}
     expected = {(c, *k): v for c, ps in groups.items() for k, v in brute_signals(ps, LOOSE).items()}
-    found = signals.detect_signals(pairs.pair_facts(tables, study), study,
+    found = signals.detect_signals(pairs.pair_facts_of(tables, study), study,
                                    None if pooled else (MONO, COINFECTION, AUTOIMMUNE))
     got = {(r.cohort, r.drug, r.adr): (r.n_cases, r.ror, r.ror_lower_ci, r.prr, r.ic, r.ic_025,
                                        r.avg_severity, r.is_signal) for r in found.collect()}
@@ -89,7 +90,7 @@ def test_signals(case, pooled):
 def test_row_order_changes_nothing(case, make_tables):
     data, tables = case
     flipped = make_tables(**{k: list(reversed(v)) for k, v in data.items()})
-    first, second = (signals.contingency(pairs.pair_facts(t, STUDY), STUDY) for t in (tables, flipped))
+    first, second = (signals.contingency(pairs.pair_facts_of(t, STUDY), STUDY) for t in (tables, flipped))
     assert rows(first) == rows(second)
 
 
@@ -97,9 +98,9 @@ def test_null_event_counts_in_margins_only(make_tables):
     tables = make_tables(
         drug=[dict(primaryid=str(i), drugname="VIREAD") for i in range(4)],
         reac=[dict(primaryid=str(i), pt="rash") for i in range(3)] + [dict(primaryid="3", pt=None)])
-    (cell,) = rows(signals.contingency(pairs.pair_facts(tables, STUDY), STUDY))
+    (cell,) = rows(signals.contingency(pairs.pair_facts_of(tables, STUDY), STUDY))
     assert cell == (MONO, "TENOFOVIR", "rash", 3, 1, 0, 0, 1.0)
-    assert signals.detect_signals(pairs.pair_facts(tables, STUDY), STUDY).count() == 0
+    assert signals.detect_signals(pairs.pair_facts_of(tables, STUDY), STUDY).count() == 0
 
 
 def test_hand_checked_signal(spark):
@@ -113,7 +114,8 @@ def test_hand_checked_signal(spark):
 
 def test_severity_profile(case):
     data, tables = case
-    got = {r.cohort: r for r in severity.severity_profile(pairs.case_records(tables, STUDY)).collect()}
+    got = {r.cohort: r for r in severity.severity_profile(pairs.case_records(
+        tables.reac, pairs.exposed_cases_of(tables, STUDY), STUDY)).collect()}
     for cohort in (MONO, COINFECTION):
         mine = [p for p in pair_rows(data, STUDY) if p[3] == cohort]
         grades = [p[4] for p in mine]
@@ -135,7 +137,7 @@ def test_comparison(case):
     data, tables = case
     all_pairs = pair_rows(data, STUDY)
     one, two = ([p[2] for p in all_pairs if p[3] == c] for c in (MONO, COINFECTION))
-    got = {r.adr: r for r in compare.compare_cohorts(pairs.pair_facts(tables, STUDY), STUDY).collect()}
+    got = {r.adr: r for r in compare.compare_cohorts(pairs.pair_facts_of(tables, STUDY), STUDY).collect()}
     assert got.keys() == {a for a in one + two if a is not None}
     for adr, r in got.items():
         k1, k2, n1, n2 = one.count(adr), two.count(adr), len(one), len(two)
@@ -171,7 +173,7 @@ def test_volcano_leaves_out_infinities(spark):
 
 def test_pairs_profile_and_top_events(case):
     data, tables = case
-    facts = pairs.pair_facts(tables, STUDY)
+    facts = pairs.pair_facts_of(tables, STUDY)
     all_pairs = pair_rows(data, STUDY)
     for cohort, n_cases, n_rows, n_adrs in rows(profiles.pairs_profile(facts, STUDY)):
         mine = [p for p in all_pairs if p[3] == cohort]
