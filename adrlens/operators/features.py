@@ -10,13 +10,16 @@ unique keys and the fan-out to cohorts and classes is an explode.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from adrlens.functions import cleaning, clinical
 from adrlens.functions.clinical import flag
 from adrlens.functions.matching import has_bit, names_of_bits
-from adrlens.operators.cohorts import all_cohorts, antiviral, row_bits
+from adrlens.operators.cohorts import (all_cohorts, antiviral, assign_cohorts, exposures,
+                                       row_bits)
+from adrlens.operators.profiles import distributions
 from adrlens.sources.case_tables import CaseTables
 from adrlens.study import AUTOIMMUNE, COINFECTION, MONO, Study
 
@@ -25,9 +28,6 @@ COHORT_FLAGS = {"cohort_hbv_mono": MONO, "cohort_hiv_hbv": COINFECTION,
                 "cohort_autoimmune": AUTOIMMUNE}
 DEFAULT_RISK_SCORE = 1.0
 
-DISTRIBUTION_COLUMNS = ("age_category", "sex", "region", "polypharmacy_category", "cohort",
-                        "drug_class")
-
 
 def demographic_features(demo: DataFrame, study: Study) -> DataFrame:
     """Age, sex, region and reporter columns of cleaned demographics."""
@@ -89,6 +89,28 @@ def event_labels(reac: DataFrame, study: Study) -> DataFrame:
                    for category, terms in study.adr_categories.items()]))
 
 
+def patient_drugs(reac: DataFrame, exposed: DataFrame, study: Study) -> DataFrame:
+    """Distinct (primaryid, drug_class) of pairs: classes of cases that have reactions."""
+    with_reaction = reac.select("primaryid").distinct()
+    return (exposed.join(with_reaction, "primaryid", "left_semi")
+            .select("primaryid", F.explode(names_of_bits(F.col("bits"), study.drug_classes))
+                    .alias("drug_class")))
+
+
+def feature_distributions(tables: CaseTables, study: Study) -> DataFrame:
+    """(feature, value, n_rows): age, sex and region per case, polypharmacy per case with
+    drugs, cohort per assignment, drug class per patient and class."""
+    exposed = exposures(tables.drug, study)
+    assigned = assign_cohorts(tables.demo, exposed, study)
+    parts = [
+        distributions(demographic_features(tables.demo, study), ["age_category", "sex", "region"]),
+        distributions(polypharmacy_features(tables.drug), ["polypharmacy_category"]),
+        distributions(assigned, ["cohort"]),
+        distributions(patient_drugs(tables.reac, exposed, study), ["drug_class"]),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _case_rows(tables: CaseTables, study: Study) -> DataFrame:
     """One wide row per demographic row: four per-case tables joined on the case."""
     labels = event_labels(tables.reac, study).withColumn("has_reaction", F.lit(True))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -41,7 +41,7 @@ def frequency_tables(tables: CaseTables, study: Study) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def distributions(df: DataFrame, columns: Mapping[str, str] | Sequence[str]) -> DataFrame:
+def distributions(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, value, n_rows) of several columns in one pass."""
     entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
                         for c in columns])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from adrlens.functions import disproportionality as dp
 from adrlens.functions.matching import first_bits, names_of_bits
@@ -101,6 +101,16 @@ def top_signals(signals: DataFrame, n: int = 20) -> DataFrame:
     )
 
 
+def top_signals_per_cohort(signals: DataFrame, n: int = 10) -> DataFrame:
+    """The n strongest signals of each cohort."""
+    order = Window.partitionBy("cohort").orderBy(F.desc("ror"), "drug", "adr")
+    return (
+        signals.where("is_signal")
+        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+        .select("cohort", "rank", "drug", "adr", "n_cases", "ror")
+    )
+
+
 def signals_per_cohort(signals: DataFrame) -> DataFrame:
     return signals.groupBy("cohort").agg(
         F.count("*").alias("n_combinations"),

@@ -259,6 +259,15 @@ wide AS (
 """
 FEATURE_CTES = (PAIRS, SIGNALS, CLEAN, FEATURES)
 
+SIDES = f"""
+side AS (
+  SELECT primaryid, any_label, position <= round(total * 0.2) AS is_test, n_rows FROM (
+    SELECT *, row_number() OVER (PARTITION BY any_label ORDER BY md5(primaryid || ':42')) AS position,
+           count(*) OVER (PARTITION BY any_label) AS total FROM (
+      SELECT primaryid, max({' + '.join(f'adr_{c}' for c in LABELS)}) > 0 AS any_label, count(*) AS n_rows
+      FROM wide GROUP BY primaryid)))
+"""
+
 MODEL_INPUTS = [
     "age_years", "sex_binary", "sex_female", "reporter_md", "reporter_lawyer", "reporter_consumer",
     "outcome_death", "outcome_life_threat", "outcome_hospitalization", "outcome_disability",
@@ -324,6 +333,10 @@ ORACLE_SQL = {
              "ror_upper_ci - ror AS err_upper")
         + """, left(drug, 15) AS drug_label, left(adr, 40) AS adr_label
         FROM signals WHERE is_signal ORDER BY ror DESC, drug, adr, cohort LIMIT 20""", PAIRS, SIGNALS),
+    "top_signals_per_cohort": with_ctes(
+        """SELECT cohort, CAST(rank AS INTEGER) AS rank, drug, adr, n_cases, round(ror, 6) AS ror FROM (
+          SELECT *, row_number() OVER (PARTITION BY cohort ORDER BY ror DESC, drug, adr) AS rank
+          FROM signals WHERE is_signal) WHERE rank <= 10""", PAIRS, SIGNALS),
     "signals_per_cohort": with_ctes(
         """SELECT cohort, count(*) AS n_combinations, count(*) FILTER (is_signal) AS n_signals
         FROM signals GROUP BY cohort""", PAIRS, SIGNALS),
@@ -408,10 +421,20 @@ ORACLE_SQL = {
             "SELECT 'no_label', count(*) FILTER (n = 0), round(avg(CAST(n = 0 AS INTEGER)), 6) FROM "
             f"(SELECT {' + '.join(f'adr_{c}' for c in LABELS)} AS n FROM wide)"]), *FEATURE_CTES),
     "feature_distributions": with_ctes(
-        "\nUNION ALL ".join(
-            f"SELECT '{c}' AS feature, {c} AS value, count(*) AS n_rows FROM wide GROUP BY ALL"
-            for c in ("age_category", "sex", "region", "polypharmacy_category", "cohort", "drug_class")),
+        """SELECT 'age_category' AS feature, age_category AS value, count(*) AS n_rows FROM person GROUP BY ALL
+        UNION ALL SELECT 'sex', sex, count(*) FROM person GROUP BY ALL
+        UNION ALL SELECT 'region', region, count(*) FROM person GROUP BY ALL
+        UNION ALL SELECT 'polypharmacy_category', CASE WHEN drug_count <= 2 THEN '1-2_drugs'
+          WHEN drug_count <= 5 THEN '3-5_drugs' ELSE '6+_drugs' END, count(*) FROM poly GROUP BY ALL
+        UNION ALL SELECT 'cohort', cohort, count(*) FROM assignment GROUP BY ALL
+        UNION ALL SELECT 'drug_class', drug_class, count(*) FROM patient_drug GROUP BY ALL""",
         *FEATURE_CTES),
+    "split_prevalence": with_ctes(
+        "\nUNION ALL ".join(
+            f"SELECT is_test, 'adr_{c}' AS label, CAST(sum(adr_{c}) AS BIGINT) AS n_positive, "
+            f"round(avg(adr_{c}), 6) AS prevalence FROM wide JOIN side USING (primaryid) GROUP BY is_test"
+            for c in LABELS),
+        *FEATURE_CTES, SIDES),
     "polypharmacy_profile": with_ctes(
         """SELECT count(*) AS n_cases, round(avg(n), 6) AS mean_drugs, median(n) AS median_drugs,
           count(*) FILTER (n <= 2) AS n_low, count(*) FILTER (n BETWEEN 3 AND 5) AS n_medium,
@@ -428,11 +451,7 @@ ORACLE_SQL = {
             f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std FROM wide"
             for c in MODEL_INPUTS), *FEATURE_CTES),
     "split": with_ctes(
-        f"""SELECT primaryid, any_label, position <= round(total * 0.2) AS is_test, n_rows FROM (
-          SELECT *, row_number() OVER (PARTITION BY any_label ORDER BY md5(primaryid || ':42')) AS position,
-                 count(*) OVER (PARTITION BY any_label) AS total FROM (
-            SELECT primaryid, max({' + '.join(f'adr_{c}' for c in LABELS)}) > 0 AS any_label, count(*) AS n_rows
-            FROM wide GROUP BY primaryid))""", *FEATURE_CTES),
+        "SELECT primaryid, any_label, is_test, n_rows FROM side", *FEATURE_CTES, SIDES),
     "roc_points": with_ctes(
         """SELECT DISTINCT label, round(score, 6) AS threshold, round(tp / n1, 6) AS tpr, round(fp / n0, 6) AS fpr FROM (
           SELECT label, score, sum(y) OVER upto AS tp, sum(1 - y) OVER upto AS fp,

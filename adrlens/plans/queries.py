@@ -73,6 +73,11 @@ def top_signals(spark, sf_dir):
     return signals.top_signals(_signals(spark, sf_dir))
 
 
+@query
+def top_signals_per_cohort(spark, sf_dir):
+    return signals.top_signals_per_cohort(_signals(spark, sf_dir))
+
+
 @query
 def signals_per_cohort(spark, sf_dir):
     return signals.signals_per_cohort(_signals(spark, sf_dir))
@@ -281,7 +286,13 @@ def label_prevalence(spark, sf_dir):
 
 @query
 def feature_distributions(spark, sf_dir):
-    return profiles.distributions(_case_drug(spark, sf_dir), features.DISTRIBUTION_COLUMNS)
+    return features.feature_distributions(_clean_tables(spark, sf_dir), STUDY)
+
+
+@query
+def split_prevalence(spark, sf_dir):
+    """Label prevalence of the train and the test side."""
+    return ml.split_prevalence(ml.split(_case_drug(spark, sf_dir), STUDY), STUDY)
 
 
 @query

@@ -125,9 +125,8 @@ def run_features(tables: CaseTables, scores: DataFrame, out: str, study: Study =
     matrix = build(tables, scores, study)
     write_table(matrix, f"{out}/feature_matrix")
     matrix = read_table(tables.demo.sparkSession, f"{out}/feature_matrix", matrix.schema)
-    columns = [c for c in features.DISTRIBUTION_COLUMNS if c in matrix.columns]
     write_table(features.label_prevalence(matrix, study), f"{out}/label_prevalence")
-    write_table(profiles.distributions(matrix, columns), f"{out}/distributions")
+    write_table(features.feature_distributions(tables, study), f"{out}/distributions")
     return matrix
 
 
@@ -136,6 +135,7 @@ def run_training(matrix: DataFrame, out: str, study: Study = HBV_STUDY,
     """Split, train, save the models, evaluate both sides, write curves and importance."""
     spark = matrix.sparkSession
     divided = ml.split(matrix, study, params.test_size, params.seed)
+    write_table(ml.split_prevalence(divided, study), f"{out}/split_prevalence")
     models = ml.train_forests(divided.where(~F.col("is_test")), study, params)
     save_models(models, f"{out}/models")
     predictions = materialise(

@@ -84,3 +84,15 @@ def test_scores_of_detected_signals_feed_features(tables):
     found = signals.detect_signals(pairs.pair_facts_of(tables, STUDY), STUDY)
     df = features.case_drug_features(tables, signals.drug_risk_scores(found), STUDY)
     assert df.where("drug_class = 'TENOFOVIR'").select(F.max("drug_risk_score")).first()[0] == 1.0
+
+
+def test_distributions_count_cases_assignments_and_patient_classes(tables):
+    got = {}
+    for feature, value, n in rows(features.feature_distributions(tables, STUDY)):
+        got.setdefault(feature, {})[value] = n
+    assert got["age_category"] == {"41-65": 1, "Unknown": 1, ">65": 1, "18-40": 1}
+    assert got["sex"] == {"F": 1, "M": 1, "Unknown": 2}
+    assert got["region"] == {"Asia": 1, "Other": 3}
+    assert got["polypharmacy_category"] == {"3-5_drugs": 1, "1-2_drugs": 2}
+    assert got["cohort"] == {"HBV_MONO": 2, "HBV_AUTOIMMUNE": 1, "HBV_OTHER": 2}
+    assert got["drug_class"] == {"TENOFOVIR": 1, "LAMIVUDINE": 1}  # case 3 has no reaction
