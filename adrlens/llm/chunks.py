@@ -24,8 +24,10 @@ from adrlens.llm.common import ranges, text_slices
 CAPACITY = 600_000
 CHUNK_CHARS = 16  # mean length up to which chunks are kept
 
-RARE_SPACE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​  "
-                        r"  ⁠　﻿]")
+#: White space and invisible separators other than the blank and the line end.
+RARE_SPACE = re.compile("[%s]" % "".join(map(chr, (
+    0x09, 0x0B, 0x0C, 0x0D, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C),
+    0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF))))
 
 Encoder = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]  # flat ids and their counts
 

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adrlens.llm import bpe, host_reputation, packing, secret_scan, token_count, wavelet
+from adrlens.llm import (bpe, host_reputation, language_id, metric_join, packing, secret_scan,
+                         token_count, topk_search, wavelet, weighted_minhash)
 from adrlens.session import new_shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +41,12 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_topk_search(spark, sf_dir):
+    """The 5 best other vectors of every vector whose id is divisible by 50."""
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 @query
 def op2_wavelet_tokens(spark, sf_dir):
     """Documents read back from wavelet-matrix token files."""
@@ -60,18 +67,38 @@ def op3_host_reputation(spark, sf_dir):
     return judged.withColumns({c: F.round(c, 6) for c in ("bad_mean", "bad_bound")})
 
 
+@query
+def op4_metric_range_join(spark, sf_dir):
+    """Links and component of every vector at cosine 0.95."""
+    return metric_join.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 @query
 def op5_trie_bpe(spark, sf_dir):
     """Ids and decoded text of every document, as digests."""
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE), digests=True)
 
 
+@query
+def op6_language_id(spark, sf_dir):
+    """Language of every document, from a model that has not seen the held-out part."""
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.predict(docs, language_id.learn(docs))
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op7_token_counts(spark, sf_dir):
     """Token counts of every document."""
     return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE), SEQUENCE_TOKENS)
 
 
+@query
+def op8_weighted_minhash(spark, sf_dir):
+    """Class of near-duplicates of every document."""
+    return weighted_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_sequence_packing(spark, sf_dir):
     """Place of every piece of every document in sequences of 1024 tokens."""
