@@ -176,8 +176,8 @@ def encode_decode(docs: DataFrame, tokenizer: str, digests: bool = False, id_col
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, encoder = trie_encoder(tokenizer)
         for batch in batches:
-            texts, at = [t or "" for t in batch.column(1).to_pylist()], 0
-            for ids, counts in encoder.texts(texts):
+            at = 0
+            for ids, counts in encoder.texts(batch.column(1)):
                 raw, begin = ids.astype("<u4").tobytes(), 0
                 encoded, decoded = [], []
                 for count in counts.tolist():

@@ -4,70 +4,88 @@ A pre-tokeniser that separates words at white space gives the same ids for a tex
 chunks one after the other, when every chunk begins at the white space after a visible
 character: no pre-token reaches from a visible character into white space, and added tokens
 hold no white space.  Texts are cut before single blanks and line ends; a text with any other
-white space, or two such characters in a row, goes through as one chunk.  Chunks repeat, so each
-is encoded once per worker; the memory is bounded by ``CAPACITY`` chunks of ``CHUNK_CHARS``
-characters on average.
+white space, or two such characters in a row, is not cut.  Chunks repeat, so each is encoded
+once per worker; the memory is bounded by ``CAPACITY`` chunks of ``CHUNK_CHARS`` characters on
+average.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import repeat
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from adrlens.llm.common import ranges, text_slices
+from adrlens.llm.common import ranges
 
-CAPACITY = 600_000
-CHUNK_CHARS = 16  # mean length up to which chunks are kept
+SLICE_BYTES = 1 << 22  # text handled at once inside a task
+CAPACITY = 700_000
+CHUNK_CHARS = 16
+TAIL = ",.!?;:"
+JOINED = 100  # chunks given to the library as one text
+SIGN = "|"
+FIRST = chr(2)  # before the first chunk of a text, which has no blank in front
 
 #: White space and invisible separators other than the blank and the line end.
-RARE_SPACE = re.compile("[%s]" % "".join(map(chr, (
+RARE_SPACE = "".join(map(chr, (
     0x09, 0x0B, 0x0C, 0x0D, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C),
-    0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF))))
+    0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)))
+ODD = rf"[{RARE_SPACE}{FIRST}]|[ \n][ \n]|\A[ \n]|[ \n]\z"
 
 Encoder = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]  # flat ids and their counts
 
 
-def plain_space(text: str) -> bool:
-    """Whether all white space is single blanks and line ends between visible characters."""
-    return not (text[:1] in (" ", "\n", "") or text[-1] in " \n" or "  " in text
-                or " \n" in text or "\n " in text or "\n\n" in text or RARE_SPACE.search(text))
+def split_chunks(texts: pa.Array, spaced: bool) -> tuple[pa.ListArray, np.ndarray]:
+    """(chunks of each text, whether the text is cut); a text that is not has one empty chunk.
 
-
-def keep_space(text: str) -> list[str]:
-    """Chunks that keep their white space in front, for byte-level tokenisers.
-
-    The first chunk has none; the blank in front of the others is left out of the list and
-    stands for itself, a line end is kept.
+    With ``spaced`` chunks keep their white space in front: a line end is kept, a blank is left
+    out and stands for itself, the first chunk has ``FIRST``.  Without it white space is dropped
+    and texts below U+0100 are put in lower case, which works there character by character.
     """
-    return text.replace("\n", " \n").split(" ") if plain_space(text) else [text]
+    plain = pc.invert(pc.match_substring_regex(texts, ODD))
+    texts = pc.if_else(plain, texts, "")
+    if spaced:
+        texts = pc.binary_join_element_wise(FIRST, pc.replace_substring(texts, "\n", " \n"), "")
+    else:
+        keep = pc.match_substring_regex(texts, r"[^\x{00}-\x{ff}]|<\|")
+        texts = pc.replace_substring(pc.if_else(keep, texts, pc.utf8_lower(texts)), "\n", " ")
+    return pc.split_pattern(texts, " "), plain.to_numpy(zero_copy_only=False)
+
+
+def array_slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """Consecutive texts of about ``size`` bytes together; null becomes empty."""
+    texts = pc.fill_null(texts, "")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    begin = 0
+    while begin < len(texts):
+        done = ends[begin - 1] if begin else 0
+        stop = max(begin + 1, int(np.searchsorted(ends, done + size, "right")))
+        yield texts.slice(begin, stop - begin)
+        begin = stop
+
+
+def strings(values: pa.Array) -> list[str]:
+    """Strings without blanks, through one joined string (much quicker than one by one)."""
+    if not len(values):
+        return []
+    one = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+    return pc.binary_join(one, " ")[0].as_py().split(" ")
 
 
-def drop_space(text: str) -> list[str]:
-    """Chunks without white space, for tokenisers that drop it; Latin-1 texts in lower case.
+class ChunkCache:
+    """Ids per distinct chunk; starts afresh when full.
 
-    Below U+0100 lower case and composition work per character, so folding first changes no id.
+    Sentence signs behind an ASCII letter or digit are a pre-token of their own, so a chunk with
+    such a tail is put together from the ids of its core and of its tail.
     """
-    if RARE_SPACE.search(text):
-        return [text]
-    if "<|" not in text:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return text.split()
-        text = text.lower()
-    return text.split()
-
-
-class ChunkCache:
-    """Ids per distinct chunk; starts afresh when full."""
 
-    def __init__(self, encode: Encoder, capacity: int = CAPACITY):
-        self.encode, self.capacity = encode, capacity
+    def __init__(self, encode: Encoder, encode_tails: Encoder, capacity: int = CAPACITY):
+        self.encode, self.encode_tails, self.capacity = encode, encode_tails, capacity
         self.clear()
 
     def clear(self) -> None:
@@ -91,18 +109,39 @@ class ChunkCache:
         self.chars += sum(map(len, chunks))
         self.number.update(zip(chunks, range(have, have + more)))
 
-    def numbers(self, chunks: list[str]) -> np.ndarray:
+    def _learn(self, chunks: list[str]) -> None:
+        """Take in distinct chunks that are not there yet."""
+        cores = [core if (core := c.rstrip(TAIL))[-1:].isalnum() and core[-1].isascii() else c for c in chunks]
+        if new := [c for c in dict.fromkeys(cores) if c not in self.number]:
+            self._append(new, *self.encode(new))
+        pairs = [(c, core) for c, core in zip(chunks, cores) if len(c) > len(core)]
+        if not pairs:
+            return
+        tails = list(dict.fromkeys(c[len(core):] for c, core in pairs))
+        ids, counts = self.encode_tails(tails)
+        place = dict(zip(tails, range(len(tails))))
+        tail = np.fromiter((place[c[len(core):]] for c, core in pairs), np.int64, len(pairs))
+        core = np.fromiter((self.number[core] for _, core in pairs), np.int64, len(pairs))
+        first, second = self.count[core], counts[tail]
+        both = np.empty(int((first + second).sum()), np.int32)
+        begin = np.cumsum(first + second) - first - second
+        both[ranges(begin, first)] = self.pool[ranges(self.start[core], first)]
+        both[ranges(begin + first, second)] = ids[ranges((np.cumsum(counts) - counts)[tail], second)]
+        self._append([c for c, _ in pairs], both, first + second)
+
+    def numbers(self, chunks: pa.Array) -> np.ndarray:
         """Numbers of the chunks in the cache, after encoding the new ones."""
         if len(self.number) > self.capacity or self.chars > CHUNK_CHARS * self.capacity:
             self.clear()
-        numbers = np.fromiter(map(self.number.get, chunks, repeat(-1)), np.int64, len(chunks))
-        if missing := np.flatnonzero(numbers < 0).tolist():
-            new = list(dict.fromkeys(chunks[i] for i in missing))
-            self._append(new, *self.encode(new))
-            numbers[missing] = [self.number[chunks[i]] for i in missing]
-        return numbers
-
-    def look_up(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        coded = chunks.dictionary_encode()
+        distinct = strings(coded.dictionary)
+        numbers = list(map(self.number.get, distinct))
+        if None in numbers:
+            self._learn([c for c, n in zip(distinct, numbers) if n is None])
+            numbers = [self.number[c] if n is None else n for c, n in zip(distinct, numbers)]
+        return np.array(numbers, np.int64)[coded.indices.to_numpy()]
+
+    def look_up(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the chunks and the count of each chunk."""
         numbers = self.numbers(chunks)
         counts = self.count[numbers]
@@ -112,56 +151,64 @@ class ChunkCache:
 def segment_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Sum of each run of ``lengths`` values; runs may be empty."""
     total = np.concatenate([[0], np.cumsum(values)])
-    ends = np.cumsum(lengths)
+    ends = np.cumsum(lengths, dtype=np.int64)
     return total[ends] - total[ends - lengths]
 
 
+def _merged(first: np.ndarray, a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]
+            ) -> tuple[np.ndarray, np.ndarray]:
+    """Flat ids and counts of items of which those marked ``first`` come from a, the others from b."""
+    counts = np.empty(len(first), np.int64)
+    counts[first], counts[~first] = a[1], b[1]
+    begin = np.cumsum(counts) - counts
+    ids = np.empty(int(counts.sum()), np.int32)
+    ids[ranges(begin[first], a[1])] = a[0]
+    ids[ranges(begin[~first], b[1])] = b[0]
+    return ids, counts
+
+
 class TextEncoder:
     """Ids of whole texts, equal to those of ``encode`` on each text."""
 
-    def __init__(self, encode: Encoder, spaced: bool, capacity: int = CAPACITY):
-        """``spaced``: the tokeniser keeps white space in its tokens."""
-        self.encode, self.spaced = encode, spaced
-        inner = (lambda chunks: encode(_with_blank(chunks))) if spaced else encode
-        self.cache = ChunkCache(inner, capacity)
+    def __init__(self, encode: Encoder, spaced: bool, encode_chunks: Encoder | None = None,
+                 capacity: int = CAPACITY):
+        """``spaced``: the tokeniser keeps white space in its tokens.
 
-    def texts(self, texts: Sequence[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Per slice of consecutive texts: flat ids and their number for each text."""
-        for begin, end in text_slices(texts):
-            yield self._slice(texts[begin:end])
+        ``encode_chunks``: the same as ``encode``, quicker for many chunks.
+        """
+        self.encode, self.spaced, self.quick = encode, spaced, encode_chunks or encode
+        self.cache = ChunkCache(self._spaced if spaced else self.quick, encode, capacity)
+
+    def _spaced(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks that keep their white space."""
+        first = np.array([c[:1] == FIRST for c in chunks])
+        begun = self.encode([c[1:] for c in chunks if c[:1] == FIRST])
+        return _merged(first, begun, self.quick([c if c[:1] == "\n" else " " + c for c in chunks if c[:1] != FIRST]))
 
-    def counts(self, texts: Sequence[str]) -> np.ndarray:
+    def texts(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per slice of consecutive texts: flat ids and their number for each text."""
+        for own in array_slices(texts):
+            lists, plain = split_chunks(own, self.spaced)
+            ids, sizes = self.cache.look_up(lists.flatten())
+            counts = segment_sums(sizes, lists.value_lengths().to_numpy())
+            if plain.all():
+                yield ids, counts
+            else:
+                whole = self.encode(own.filter(pa.array(~plain)).to_pylist())
+                yield _merged(plain, (ids, counts[plain]), whole)
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
         """Number of ids of each text."""
         out = [np.empty(0, np.int64)]
-        for begin, end in text_slices(texts):
-            pieces = [keep_space(t) if self.spaced else drop_space(t) for t in texts[begin:end]]
-            first = self.encode([own[0] for own in pieces])[1] if self.spaced else 0
-            rest = [own[1:] if self.spaced else own for own in pieces]
-            numbers = self.cache.numbers([p for own in rest for p in own])
-            counts = self.cache.count[numbers]
-            out.append(first + segment_sums(counts, np.array([len(own) for own in rest], np.int64)))
+        for own in array_slices(texts):
+            lists, plain = split_chunks(own, self.spaced)
+            numbers = self.cache.numbers(lists.flatten())
+            counts = segment_sums(self.cache.count[numbers], lists.value_lengths().to_numpy())
+            if not plain.all():
+                counts[~plain] = self.encode(own.filter(pa.array(~plain)).to_pylist())[1]
+            out.append(counts)
         return np.concatenate(out)
 
-    def _slice(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        if not self.spaced:
-            pieces = [drop_space(t) for t in texts]
-            ids, counts = self.cache.look_up([p for own in pieces for p in own])
-            return ids, segment_sums(counts, np.array([len(own) for own in pieces], np.int64))
-        pieces = [keep_space(t) for t in texts]
-        first, first_counts = self.encode([own[0] for own in pieces])
-        ids, counts = self.cache.look_up([p for own in pieces for p in own[1:]])
-        rest = segment_sums(counts, np.array([len(own) - 1 for own in pieces], np.int64))
-        total = first_counts + rest
-        out = np.empty(int(total.sum()), np.int32)
-        before = np.cumsum(total) - total
-        out[ranges(before, first_counts)] = first
-        out[ranges(before + first_counts, rest)] = ids
-        return out, total
-
-
-def _with_blank(chunks: list[str]) -> list[str]:
-    return [c if c[:1] == "\n" else " " + c for c in chunks]
-
 
 @lru_cache(maxsize=2)
 def library(path: str):
@@ -182,24 +229,58 @@ def library_encoder(path: str) -> Encoder:
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.int32, int(counts.sum()))
-        return flat, counts
+        return np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum())), counts
 
     return encode
 
 
+def joined_encoder(path: str, spaced: bool) -> Encoder:
+    """Encoder of chunks that gives the library ``JOINED`` of them as one text.
+
+    Chunks that keep their white space are joined as they are; each begins where a token begins
+    with white space.  Others are joined by a sign that stands alone.  Groups whose ids do not
+    fall into as many parts as there are chunks go one by one.
+    """
+    tokenizer, encode = library(path), library_encoder(path)
+    sign = encode([SIGN])[0][0]
+    vocabulary = tokenizer.get_vocab()
+    heads = np.zeros(1 + max(vocabulary.values()), bool)
+    space = (chr(0x100 + ord(" ")), chr(0x100 + ord("\n")))  # as byte-level vocabularies write them
+    heads[[i for token, i in vocabulary.items() if token[:1] in space]] = True
+
+    def encode_joined(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        groups = [chunks[i:i + JOINED] for i in range(0, len(chunks), JOINED)]
+        texts = ["".join(g) if spaced else f" {SIGN} ".join(g) for g in groups]
+        parts, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for group, text, found in zip(groups, texts, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, np.int32)
+            if spaced:
+                at = np.flatnonzero(heads[ids])
+                fits, counts = len(at) == len(group) and not at[0], np.diff(at, append=len(ids))
+            else:
+                at = np.flatnonzero(ids == sign)
+                fits = len(at) == len(group) - 1 == text.count(SIGN)
+                counts = np.diff(at, prepend=-1, append=len(ids)) - 1
+                ids = ids[ids != sign]
+            if not fits:
+                ids, counts = encode(group)
+            parts.append(ids)
+            sizes.append(counts)
+        return np.concatenate(parts), np.concatenate(sizes)
+
+    return encode_joined
+
+
 @lru_cache(maxsize=2)
 def text_encoder(path: str, spaced: bool) -> TextEncoder:
     """Encoder of this worker, kept with its chunks for the tasks that follow."""
-    return TextEncoder(library_encoder(path), spaced)
+    return TextEncoder(library_encoder(path), spaced, joined_encoder(path, spaced))
 
 
 def keeps_space(path: str) -> bool:
     """Whether the file describes a byte-level tokeniser without a normaliser.
 
-    The other kind that is cut into chunks drops white space; see ``drop_space``.
+    The other kind that is cut into chunks drops white space; see ``split_chunks``.
     """
-    import json
-
     with open(path, encoding="utf-8") as source:
         return json.load(source)["normalizer"] is None

@@ -52,3 +52,11 @@ def join_small(left: DataFrame, right: DataFrame, on, how: str, max_rows: int) -
     """Join that broadcasts ``right`` only after counting it; beyond ``max_rows`` it shuffles."""
     few = right.limit(max_rows + 1).count() <= max_rows
     return left.join(F.broadcast(right) if few else right, on, how)
+
+
+def free_name(columns: Sequence[str], name: str) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from adrlens.llm.chunks import keeps_space, text_encoder
-from adrlens.llm.common import parts_for, written
+from adrlens.llm.common import free_name, parts_for, written
 
 BUCKET_PIECES = 50_000
 
@@ -45,8 +45,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int,
         encoder = text_encoder(tokenizer, keeps_space(tokenizer))
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            texts, at = [t or "" for t in batch.column(1).to_pylist()], 0
-            for ids, counts in encoder.texts(texts):
+            at = 0
+            for ids, counts in encoder.texts(batch.column(1)):
                 raw, begin = ids.astype("<u4").tobytes(), 0
                 rows, pieces, starts, lengths, data = [], [], [], [], []
                 for count in counts.tolist():
@@ -133,23 +133,28 @@ class Plan:
 
 
 def pack(pieces: DataFrame, capacity: int) -> DataFrame:
-    """``pieces`` with sequence_id and offset; needs ``length`` from 1 to the capacity."""
+    """``pieces`` with sequence_id and offset; needs ``length`` from 1 to the capacity.
+
+    Other columns pass through; any that have the two names are replaced.
+    """
     spark = pieces.sparkSession
+    pieces = pieces.drop("sequence_id", "offset")
     names = pieces.columns
+    bucket, rank = free_name(names, "bucket"), free_name(names, "rank")
     pieces = written(pieces, "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     plan = Plan(counts, capacity)  # bounded by the capacity
     buckets = parts_for(spark, sum(counts.values()), BUCKET_PIECES)
-    pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64(*names), F.lit(buckets)).cast("int"))
-    earlier = W.partitionBy("length").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    ranks = (pieces.groupBy("bucket", "length").count()
-             .select("bucket", "length", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("rank")))
+    pieces = pieces.withColumn(bucket, F.pmod(F.xxhash64(*names), F.lit(buckets)).cast("int"))
+    earlier = W.partitionBy("length").orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
+    ranks = (pieces.groupBy(bucket, "length").agg(F.count("*").alias(rank))
+             .withColumn(rank, F.coalesce(F.sum(rank).over(earlier), F.lit(0))))
     schema = T.StructType([*(pieces.schema[n] for n in names), T.StructField("sequence_id", T.LongType()),
                            T.StructField("offset", T.LongType())])
 
     def place(own: pd.DataFrame, ranks: pd.DataFrame) -> pd.DataFrame:
         length = own["length"].to_numpy()
-        first = dict(zip(ranks["length"], ranks["rank"]))
+        first = dict(zip(ranks["length"], ranks[rank]))
         sequence, offset = np.zeros((2, len(own)), np.int64)
         order = np.argsort(length, kind="stable")
         for rows in np.split(order, np.flatnonzero(np.diff(length[order])) + 1):
@@ -158,5 +163,5 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
                 sequence[rows], offset[rows] = plan.find(n, first[n] + np.arange(len(rows)))
         return own[names].assign(sequence_id=sequence, offset=offset)
 
-    return (pieces.groupBy("bucket").cogroup(ranks.groupBy("bucket"))
+    return (pieces.groupBy(bucket).cogroup(ranks.groupBy(bucket))
             .applyInPandas(place, schema))

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from adrlens.llm.chunks import keeps_space, library, text_encoder
@@ -42,16 +43,13 @@ def _cut(docs: DataFrame, tokenizer: str, chunk: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(tokenizer, keeps_space(tokenizer))
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            short = [i for i, t in enumerate(texts) if len(t) <= chunk]
-            tokens: list[int | None] = [None] * len(texts)
-            for i, n in zip(short, encoder.counts([texts[i] for i in short]).tolist()):
-                tokens[i] = n
+            texts = pc.fill_null(batch.column(2), "")
+            huge = pc.greater(pc.utf8_length(texts), chunk)
+            tokens = encoder.counts(pc.if_else(huge, "", texts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(t.encode()) for t in texts], pa.int64()),
-                 pa.array(tokens, pa.int64()),
-                 pa.array([t if n is None else None for t, n in zip(texts, tokens)], pa.string())],
-                schema.names)
+                [batch.column(0), batch.column(1), pc.cast(pc.binary_length(texts), pa.int64()),
+                 pc.if_else(huge, pa.scalar(None, pa.int64()), pa.array(tokens, pa.int64())),
+                 pc.if_else(huge, texts, pa.scalar(None, texts.type))], schema.names)
 
     return docs.select("row", "id", "text").mapInArrow(count, schema)
 

@@ -126,8 +126,8 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, id_column: st
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(tokenizer, keeps_space(tokenizer))
         for batch in batches:
-            texts, at = [t or "" for t in batch.column(1).to_pylist()], 0
-            for ids, counts in encoder.texts(texts):
+            at = 0
+            for ids, counts in encoder.texts(batch.column(1)):
                 width = 2 if max(int(ids.max(initial=0)), end_id) < 1 << 16 else 4
                 raw, begin = ids.astype(f"<u{width}").tobytes(), 0
                 end, data = end_id.to_bytes(width, "little"), []
