@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from adrlens.llm.common import text_slices
+from adrlens.llm.common import free_name, text_slices
 
 UNKNOWN = "und"
 WORD_BYTES = 32
@@ -228,11 +228,11 @@ class Reader:
 
     def predict(self, texts: Sequence[str]) -> Iterator[tuple[str, float]]:
         for begin, end in text_slices(texts):
-            words = [split_words(t) if LETTER.search(t) else [] for t in texts[begin:end]]
+            words = [split_words(t) if self.model.network and LETTER.search(t) else [] for t in texts[begin:end]]
             numbers = self._numbers([w for own in words for w in own])
             at = 0
             for own in words:
-                if not own or not self.model.network:
+                if not own:
                     yield UNKNOWN, 0.0
                     continue
                 total = self.sums[numbers[at:at + len(own)]].sum(0, dtype=np.float64)
@@ -274,16 +274,17 @@ def learn(docs: DataFrame, training: Training = Training(), id_column: str = "do
 
 def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, lang_pred, score) of every document."""
-    return classify(docs.select(id_column, text_column), model, text_column).drop(text_column)
+    own = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    return classify(own, model).select(F.col("id").alias(id_column), "lang_pred", "score")
 
 
-def classify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score; both names must be free."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # a few thousand weights
+def classify(docs: DataFrame, model: Model, text_column: str = "text", language: str = "lang_pred",
+             score: str = "score") -> DataFrame:
+    """``docs`` with the language and its score; both names must be free."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand weights
     key, at = id(shared), docs.columns.index(text_column)
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(language, T.StringType()),
+                           T.StructField(score, T.DoubleType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _reader(key, shared.value)
@@ -294,3 +295,10 @@ def classify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
                  pa.array([f[1] for f in found], pa.float64())], schema.names)
 
     return docs.mapInArrow(read, schema)
+
+
+def accepted(docs: DataFrame, model: Model, least_score: float, text_column: str = "text") -> DataFrame:
+    """The documents with a known language whose score is at least ``least_score``."""
+    language, score = free_name(docs.columns, "lang_pred"), free_name(docs.columns, "score")
+    found = classify(docs, model, text_column, language, score)
+    return found.where((F.col(language) != UNKNOWN) & (F.col(score) >= least_score)).drop(language, score)

@@ -258,3 +258,20 @@ def near_duplicates(docs: DataFrame, config: Sampling = Sampling(), id_column: s
     return (docs.select(F.col(id_column).cast("long").alias("id")).join(found, "id", "left")
             .select(F.col("id").alias(id_column), F.coalesce("class_id", "id").alias("class_id"))
             .withColumn("kept", F.col(id_column).eqNullSafe(F.col("class_id"))))
+
+
+def one_of_each(docs: DataFrame, config: Sampling = Sampling(), id_column: str = "doc_id",
+                text_column: str = "text") -> DataFrame:
+    """``docs`` with one document of each class; of repeated rows of one id one stays.
+
+    Rows without an id all stay.
+    """
+    found = written(near_duplicates(docs, config, id_column, text_column), "near-duplicates")
+    dropped = found.where("not kept").select(id_column).distinct()
+    kept = join_small(docs, dropped, id_column, "left_anti", FEW)
+    repeated = written(found.where(F.col(id_column).isNotNull()).groupBy(id_column).count().where("count > 1")
+                       .select(id_column), "repeated")
+    if repeated.isEmpty():
+        return kept
+    return kept.join(repeated, id_column, "left_anti").unionByName(
+        kept.join(repeated, id_column, "left_semi").dropDuplicates([id_column]))

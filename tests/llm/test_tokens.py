@@ -1,0 +1,176 @@
+"""Chunked encoding, trie BPE, token counts and token files against the tokenizers library."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from adrlens.llm import bpe, chunks, token_count, wavelet
+from adrlens.llm.queries import BYTE_BPE, QUERIES, WORD_BPE, tokenizer
+from adrlens.session import new_shared_path
+
+from .conftest import TEXTS
+
+ODD_TEXTS = st.lists(st.text(alphabet="ab .,!'\n\t0é日<|>sΣİ́", max_size=40)
+                     | st.sampled_from(["<|endoftext|>", " <|ENDOFTEXT|> x", "it's  we'll", "\u0002a b", "a | b"]), max_size=20)
+
+
+def want(name, texts):
+    return [e.ids for e in chunks.library(tokenizer(name)).encode_batch(texts, add_special_tokens=False)]
+
+
+def got(encoder, texts):
+    out = []
+    for ids, counts in encoder.texts(pa.array(texts, pa.string())):
+        out += [own.tolist() for own in np.split(ids, np.cumsum(counts))[:-1]]
+    return out
+
+
+@pytest.mark.parametrize("name", [BYTE_BPE, WORD_BPE])
+@settings(max_examples=150, deadline=None)
+@given(texts=ODD_TEXTS)
+def test_chunks_give_the_ids_of_whole_texts(name, texts):
+    encoder = chunks.text_encoder(tokenizer(name), name == BYTE_BPE)
+    assert got(encoder, texts) == want(name, texts)
+    assert encoder.counts(pa.array(texts, pa.string())).tolist() == list(map(len, want(name, texts)))
+
+
+def test_full_cache_starts_afresh():
+    path = tokenizer(BYTE_BPE)
+    encoder = chunks.TextEncoder(chunks.library_encoder(path), True, capacity=10)
+    texts = [" ".join(f"w{i}x{j}," for i in range(20)) for j in range(30)]
+    assert [i for t in texts for i in got(encoder, [t])] == want(BYTE_BPE, texts)
+    assert len(encoder.cache.number) < 100
+
+
+@settings(max_examples=150, deadline=None)
+@given(texts=ODD_TEXTS)
+def test_trie_gives_the_ids_of_the_library(texts):
+    trie, encoder = bpe.trie_encoder(tokenizer(BYTE_BPE))
+    assert got(encoder, texts) == want(BYTE_BPE, texts)
+
+
+def merged(trie, word):
+    """Plain BPE: merge the leftmost pair of least rank until none is left."""
+    tokens = [trie.ids[bytes([b])] for b in word]
+    while pairs := [(trie.merges[p], i) for i, p in enumerate(zip(tokens, tokens[1:])) if p in trie.merges]:
+        _, i = min(pairs)
+        tokens[i:i + 2] = [trie.ids[trie.bytes[tokens[i]] + trie.bytes[tokens[i + 1]]]]
+    return tokens
+
+
+@settings(max_examples=300, deadline=None)
+@given(words=st.lists(st.binary(min_size=1, max_size=12) | st.text("aeinrst", min_size=1, max_size=15).map(str.encode),
+                      unique=True, max_size=30))
+def test_trie_equals_plain_merging(words):
+    trie, _ = bpe.trie_encoder(tokenizer(BYTE_BPE))
+    assert trie.encode_words(words) == [merged(trie, w) for w in words]
+
+
+@given(ids=st.lists(st.integers(0, 50_256), max_size=30))
+def test_decoding_equals_the_library(ids):
+    trie, _ = bpe.trie_encoder(tokenizer(BYTE_BPE))
+    assert trie.decode(ids) == chunks.library(tokenizer(BYTE_BPE)).decode(ids, skip_special_tokens=False)
+
+
+def test_encode_decode_gives_texts(frame):
+    rows = bpe.encode_decode(frame([(1, "A b\nc"), (2, None)]), tokenizer(BYTE_BPE)).collect()
+    found = {r["doc_id"]: (np.frombuffer(r["ids"], "<u4").tolist(), r["decoded"], r["n_tokens"]) for r in rows}
+    assert found == {1: (*want(BYTE_BPE, ["A b\nc"]), "A b\nc", 4), 2: ([], "", 0)}
+
+
+def test_op5_on_hard_rows(spark, hard):
+    def digest(text):
+        ids = want(BYTE_BPE, [text or ""])[0]
+        return (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+                hashlib.sha256((text or "").encode()).hexdigest())
+
+    rows = [tuple(r) for r in QUERIES["op5_trie_bpe"](spark, hard).collect()]
+    assert sorted(rows, key=repr) == sorted(((i, *digest(t)) for i, t in TEXTS), key=repr)
+
+
+# --- counts ----------------------------------------------------------------------
+
+def counted(texts):
+    return sorted(((i, len((t or "").encode()), len(want(BYTE_BPE, [t or ""])[0])) for i, t in texts), key=repr)
+
+
+@pytest.mark.parametrize("chunk, overlap", [(64, 16), (200, 50), (40_000, 1_000)])
+def test_spliced_counts_equal_whole_counts(spark, frame, chunk, overlap):
+    found = token_count.count_tokens(frame(TEXTS), tokenizer(BYTE_BPE), 100, chunk, overlap)
+    rows = [tuple(r) for r in found.collect()]
+    assert sorted([r[:3] for r in rows], key=repr) == counted(TEXTS)
+    assert all(r[3] == (r[2] > 100) for r in rows)
+
+
+@settings(max_examples=30, deadline=None)
+@given(text=st.text("ab .\n<|endoftext|>é", min_size=100, max_size=400))
+def test_stable_cuts_split_the_ids(text):
+    encoder = chunks.library(tokenizer(BYTE_BPE))
+    whole = encoder.encode(text, add_special_tokens=False)
+    for at, before in token_count.stable_cuts(text, np.array([s for s, _ in whole.offsets]), 0, len(text)):
+        halves = want(BYTE_BPE, [text[:at], text[at:]])
+        assert sum(halves, []) == whole.ids and len(halves[0]) == before
+
+
+@pytest.mark.parametrize("length", [1, 10, 31, 32, 33, 100, 1000])
+def test_chunks_cover_the_text(length):
+    starts = token_count.chunk_starts(length, 32, 8)
+    assert starts[0] == 0 and starts[-1] + 32 >= length
+    assert all(b - a == 24 for a, b in zip(starts, starts[1:]))
+
+
+def test_op7_on_hard_rows(spark, hard):
+    rows = [tuple(r)[:3] for r in QUERIES["op7_token_counts"](spark, hard).collect()]
+    assert sorted(rows, key=repr) == counted(TEXTS)
+
+
+# --- token files -------------------------------------------------------------------
+
+@settings(max_examples=60, deadline=None)
+@given(ids=st.lists(st.integers(0, 300), min_size=1, max_size=1500))
+def test_wavelet_matrix(ids):
+    matrix = wavelet.WaveletMatrix.of(np.array(ids, np.uint32), 9)
+    assert matrix.ids().tolist() == ids
+    for at in {0, len(ids) // 2, len(ids) - 1}:
+        assert matrix.access(at) == ids[at]
+        assert matrix.rank(ids[0], at) == ids[:at].count(ids[0])
+    for token in {ids[0], ids[-1], 301, 5_000}:
+        places = [i for i, x in enumerate(ids) if x == token]
+        assert matrix.occurrences(token).tolist() == places and matrix.count(token) == len(places)
+        if places:
+            assert matrix.select(token, len(places) - 1) == places[-1]
+
+
+def file_rows(texts):
+    rows, start = [], 0
+    for i, t in sorted(texts, key=lambda r: (r[0] is not None, r[0] or 0)):
+        ids = [*want(WORD_BPE, [t or ""])[0], 2]
+        rows.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return rows
+
+
+def test_op2_on_hard_rows(spark, hard):
+    rows = [tuple(r) for r in QUERIES["op2_wavelet_tokens"](spark, hard).collect()]
+    assert sorted(rows, key=lambda r: r[1]) == file_rows(TEXTS)
+
+
+def test_small_shards_and_searches(spark, frame):
+    texts = [(i, f"word {'again ' * (i % 4)}x{i}") for i in range(60)]
+    path = new_shared_path(spark, "token-files")
+    wavelet.write_token_files(frame(texts).repartition(5), path, tokenizer(WORD_BPE), 2, shard_tokens=32)
+    assert wavelet.read_shards(spark, path).count() > 5
+    read = wavelet.with_starts(wavelet.read_documents(spark, path), wavelet.read_shards(spark, path))
+    rows = sorted((r["doc_id"], r["start"], r["n_tokens"], zlib.crc32(r["ids"])) for r in read.collect())
+    assert rows == file_rows(texts)
+    again = want(WORD_BPE, ["again"])[0][0]
+    places = sorted((i, at) for i, t in texts for at, x in enumerate(want(WORD_BPE, [t])[0]) if x == again)
+    assert sorted(tuple(r) for r in wavelet.find_token(spark, path, again).collect()) == places
+    assert wavelet.count_token(spark, path, again).agg(F.sum("n")).first()[0] == len(places)
