@@ -45,4 +45,5 @@ def report_date(value: Column) -> Column:
 
 
 def tidy_code(value: Column) -> Column:
-    return F.trim(F.upper(value))
+    """Upper case without white space of any kind at either end."""
+    return F.regexp_replace(F.upper(value), r"(?U)^\s+|\s+$", "")

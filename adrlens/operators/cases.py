@@ -40,18 +40,20 @@ def keep_cases(tables: CaseTables, ids: DataFrame) -> CaseTables:
     return tables.map(lambda _, df: df.join(ids, "primaryid", "left_semi"))
 
 
-def latest_versions(demo: DataFrame) -> DataFrame:
+def latest_versions(demo: DataFrame, versioned: bool = True) -> DataFrame:
     """The latest version of each case; cases without an id count as one case.
 
     Highest numeric version first, missing versions last, then the earliest quarter and
     the smallest report id.  Spark limits each group before the shuffle, so a case with
-    very many rows sends one row per task.
+    very many rows sends one row per task.  Where no layout has a case version
+    (``versioned`` is false) the first row of each report stays instead.
     """
     version = cleaning.to_number(F.col("caseversion"))
     order = [F.col("_version").desc_nulls_last(), "year_quarter", "primaryid"]
+    unit = "caseid" if versioned else "primaryid"
     return (
         demo.withColumn("_version", version)
-        .withColumn("_rank", F.row_number().over(Window.partitionBy("caseid").orderBy(*order)))
+        .withColumn("_rank", F.row_number().over(Window.partitionBy(unit).orderBy(*order)))
         .where("_rank = 1")
         .withColumn("caseversion", F.col("_version"))
         .drop("_version", "_rank")
@@ -67,7 +69,16 @@ def keep_children(tables: CaseTables, demo: DataFrame) -> CaseTables:
 
 def keep_latest(tables: CaseTables) -> CaseTables:
     """Latest version of each case, and the child rows of those reports only."""
-    return keep_children(tables, latest_versions(tables.demo))
+    return keep_children(tables, latest_versions(tables.demo, tables.versioned))
+
+
+def dedupe_counts(demo: DataFrame, versioned: bool = True) -> DataFrame:
+    """One row: distinct reports before and after the latest versions are kept, and removed."""
+    n = F.countDistinct("primaryid")
+    before = demo.agg(n.alias("n_before"))
+    after = latest_versions(demo, versioned).agg(n.alias("n_after")).scalar()
+    return (before.withColumn("n_after", after)
+            .withColumn("n_removed", F.col("n_before") - F.col("n_after")))
 
 
 def clean_demographics(demo: DataFrame) -> DataFrame:
@@ -82,7 +93,8 @@ def clean_demographics(demo: DataFrame) -> DataFrame:
 
 def extract_demographics(tables: CaseTables, ids: DataFrame) -> DataFrame:
     """Cleaned demographics of the latest version of each case in ``ids``."""
-    return clean_demographics(latest_versions(tables.demo.join(ids, "primaryid", "left_semi")))
+    return clean_demographics(latest_versions(
+        tables.demo.join(ids, "primaryid", "left_semi"), tables.versioned))
 
 
 def extract_cases(tables: CaseTables, study: Study) -> CaseTables:

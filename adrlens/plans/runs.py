@@ -7,20 +7,32 @@ A result that several outputs share is written once and read back.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adrlens.operators import (cases, cohorts, compare, features, ladder, ml, pairs, profiles,
                                scoring, severity, signals)
 from adrlens.schemas import DERIVED_SCHEMAS, REPORT_TABLES, report_schema
-from adrlens.session import materialise
+from adrlens.session import intermediates, materialise
 from adrlens.sources.case_tables import CaseTables
-from adrlens.sources.report_files import (YEARS, find_report_files, kept_rows,
-                                          parse_report_table, rejected_rows)
+from adrlens.sources.report_files import (YEARS, find_report_files, has_column, kept_rows,
+                                          parse_report_table, rejected_rows, skipped_report_files)
 from adrlens.sources.tables import load_models, read_table, save_models, write_table
 from adrlens.study import HBV_STUDY, Study
 
+
+
+def run(step):
+    """A run whose intermediate tables are removed at its end; results lie in its output folder."""
+    @wraps(step)
+    def owned(*args, **kwargs):
+        with intermediates(SparkSession.active()):
+            return step(*args, **kwargs)
+
+    return owned
+
+
 CLEAN_DEMO_TYPES = {"age": "double", "caseversion": "double"}
 
 
@@ -43,6 +55,7 @@ def load_extracted(spark: SparkSession, folder: str) -> CaseTables:
         for name in REPORT_TABLES})
 
 
+@run
 def run_extraction(spark: SparkSession, reports: str, out: str, study: Study = HBV_STUDY,
                    years: Iterable[int] = YEARS) -> CaseTables:
     """Report files to extracted case tables, with profile, frequencies and rejected lines.
@@ -58,7 +71,8 @@ def run_extraction(spark: SparkSession, reports: str, out: str, study: Study = H
         written = read_table(spark, path, parsed.schema)
         staged[name] = kept_rows(written)
         rejects.append(rejected_rows(written).withColumn("table_name", F.lit(name)))
-    tables = CaseTables(**staged)
+    tables = CaseTables(versioned=has_column(spark, "demo", "caseversion", files), **staged)
+    write_table(skipped_report_files(spark, reports, years=years), f"{out}/skipped_files")
     write_table(reduce(DataFrame.unionByName, rejects).groupBy("table_name", "year_quarter", "reason")
                 .agg(F.count("*").alias("n_lines")), f"{out}/rejected_lines")
     ids = materialise(cases.case_ids(tables, study), "case_ids")
@@ -67,12 +81,15 @@ def run_extraction(spark: SparkSession, reports: str, out: str, study: Study = H
     for name, df in cases.keep_children(tables, demo).items():
         if name != "demo":
             write_table(_in_order(df, name), f"{out}/{name}")
+    found = tables.demo.join(ids, "primaryid", "left_semi")
+    write_table(cases.dedupe_counts(found, tables.versioned), f"{out}/dedupe_counts")
     extracted = load_extracted(spark, out)
     write_table(profiles.extraction_profile(extracted), f"{out}/profile")
     write_table(profiles.frequency_tables(extracted, study), f"{out}/frequencies")
     return extracted
 
 
+@run
 def run_analysis(tables: CaseTables, out: str, study: Study = HBV_STUDY) -> None:
     """Cohorts, pairs, signals, comparison, severity and summaries of extracted tables."""
     exposures = materialise(cohorts.exposures(tables.drug, study), "exposures")
@@ -101,6 +118,7 @@ def derived(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_table(spark, f"{folder}/{name}", DERIVED_SCHEMAS[name])
 
 
+@run
 def run_charts(spark: SparkSession, analysis: str, out: str) -> None:
     """The data behind the comparison charts, from written results."""
     comparison = derived(spark, analysis, "cohort_comparison")
@@ -118,6 +136,7 @@ def run_charts(spark: SparkSession, analysis: str, out: str) -> None:
         write_table(df, f"{out}/{name}")
 
 
+@run
 def run_features(tables: CaseTables, scores: DataFrame, out: str, study: Study = HBV_STUDY,
                  grain: str = "case_drug") -> DataFrame:
     """The feature table at one grain, its label prevalence and distributions."""
@@ -130,6 +149,7 @@ def run_features(tables: CaseTables, scores: DataFrame, out: str, study: Study =
     return matrix
 
 
+@run
 def run_training(matrix: DataFrame, out: str, study: Study = HBV_STUDY,
                  params: ml.ForestParams = ml.ForestParams()) -> None:
     """Split, train, save the models, evaluate both sides, write curves and importance."""
@@ -147,6 +167,7 @@ def run_training(matrix: DataFrame, out: str, study: Study = HBV_STUDY,
     write_table(ml.feature_importance(models, study, spark), f"{out}/feature_importance")
 
 
+@run
 def run_scoring(profile_table: DataFrame, trained: str, out: str, labels: list[str],
                 study: Study = HBV_STUDY) -> None:
     """Risks and advice for a table of patient profiles, with the saved models."""

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,17 +54,40 @@ def new_shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_OWNERS: list[list[str]] = []  # paths written inside the open blocks of ``intermediates``
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Owner of the tables that ``materialise`` writes inside the block: they go at its end."""
+    own: list[str] = []
+    _OWNERS.append(own)
+    try:
+        yield
+    finally:
+        _OWNERS.remove(own)
+        for path in own:
+            remove_path(spark, path)
+
+
 def materialise(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Cuts lineage and survives the loss of executors; use it where several jobs read the
-    same expensive result.  ``spread`` gives every core a share of the rows, for readers
-    whose cost is computation, not bytes.
+    same expensive result.  ``spread`` deals the rows out evenly, for readers whose cost is
+    computation, not bytes: adaptive execution gives every core a share and splits what is
+    above the advisory size.
     """
     spark = df.sparkSession
     if spread:
-        df = df.repartition(max(spark.sparkContext.defaultParallelism,
-                                int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        df = df.hint("rebalance")
     path = new_shared_path(spark, name)
+    if _OWNERS:
+        _OWNERS[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

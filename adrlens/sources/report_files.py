@@ -3,17 +3,23 @@ and quarter, named like ``DEMO20Q1.txt``.
 
 Bad lines follow the rule "too long is dropped, too short is padded"; a line with an
 unbalanced quote is set aside (see ``rejected_rows``) and never takes its file with it.
+Quotes inside quoted text are doubled; a backslash is an ordinary character.
+
+Files are split and read line by line.  A first pass finds the files in which a quoted field is
+still open at the end of a line; only those are read unsplit, line after line, and a record goes
+on over the lines that follow until its quote is closed (see ``joined_lines``).
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial, reduce
 from multiprocessing.pool import ThreadPool
 from urllib.parse import unquote
 
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -24,14 +30,18 @@ from adrlens.sources.case_tables import CaseTables
 # Fixed values.
 DELIMITER = "$"
 ENCODING = "ISO-8859-1"
+QUOTE = '"'
 YEARS = range(2020, 2026)
 PIVOT_YEAR = 70  # two-digit years from here on are 19xx
 HEADER_THREADS = 16
 KEPT = "ok"
 
+MOST_LINES = 200  # lines one record may take
+
 _RAW = "_raw_line"
 _QUOTED = r'(^|\$)"([^"]|"")*"'
 _OPEN_QUOTE = r'(^|\$)"[^"]*$'
+_STRAY_QUOTE = "stray_quote"
 
 
 @dataclass(frozen=True)
@@ -52,30 +62,46 @@ def _report_of(path: str, tables: Iterable[str]) -> tuple[tuple[str, int, int],
     return (match[2].lower(), year + (2000 if year < PIVOT_YEAR else 1900), int(match[4])), match[1]
 
 
+def literal_path(path: str) -> str:
+    """A path as Spark readers take it: characters of file patterns stand for themselves."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+def _listed(spark: SparkSession, base_dir: str, tables: tuple[str, ...]) -> list[tuple[tuple[str, int, int], str]]:
+    """Report files below a folder, from the file listing that Spark makes for a read."""
+    listing = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*")
+               .text(literal_path(base_dir)).inputFiles())
+    return list(dict.fromkeys(r for r in (_report_of(p, tables) for p in sorted(map(unquote, listing))) if r))
+
+
 def find_report_files(spark: SparkSession, base_dir: str, tables: Iterable[str] = REPORT_TABLES,
                       years: Iterable[int] = YEARS) -> list[ReportFile]:
-    """Report files anywhere below a folder; the first path wins for a table and quarter.
+    """Report files anywhere below a folder; the first path wins for a table and quarter."""
+    years, found = set(years), {}
+    for key, path in _listed(spark, base_dir, tuple(tables)):
+        if key[1] in years:
+            found.setdefault(key, path)
+    return [ReportFile(*key, path) for key, path in sorted(found.items())]
 
-    Works on the file listing that Spark makes for a read; no data is touched.
-    """
+
+def skipped_report_files(spark: SparkSession, base_dir: str, tables: Iterable[str] = REPORT_TABLES,
+                         years: Iterable[int] = YEARS) -> DataFrame:
+    """(path, reason) of report files that ``find_report_files`` leaves out."""
     tables, years = tuple(tables), set(years)
-    listing = spark.read.option("recursiveFileLookup", True).text(base_dir).inputFiles()
-    found: dict[tuple[str, int, int], str] = {}
-    for path in sorted(map(unquote, listing)):
-        report = _report_of(path, tables)
-        if report and report[0][1] in years:
-            found.setdefault(*report)
-    return [ReportFile(*key, path) for key, path in sorted(found.items())]
+    used = {f.path for f in find_report_files(spark, base_dir, tables, years)}
+    rows = [(path, "second_file_of_quarter" if key[1] in years else "year_outside")
+            for key, path in _listed(spark, base_dir, tables) if path not in used]
+    return spark.createDataFrame(rows, "path string, reason string")
 
 
 def _reader(spark: SparkSession):
-    return (spark.read.option("sep", DELIMITER).option("encoding", ENCODING)
+    return (spark.read.option("sep", DELIMITER).option("encoding", ENCODING).option("escape", QUOTE)
             .option("header", True).option("recursiveFileLookup", True))
 
 
 def _normalised_header(spark: SparkSession, path: str) -> tuple[str, ...]:
     """Column names of one file, stripped and lower-cased; reads its first line only."""
-    return tuple(c.strip().lower() for c in _reader(spark).csv(path).columns)
+    return tuple(c.strip().lower() for c in _reader(spark).csv(literal_path(path)).columns)
 
 
 def _quarter_label() -> Column:
@@ -93,8 +119,9 @@ def _parsed(spark: SparkSession, paths: list[str], header: tuple[str, ...]) -> D
     """
     schema = string_schema([*header, _RAW])
     rows = (_reader(spark).schema(schema).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", _RAW).option("columnPruning", False).csv(paths))
-    return rows.withColumn("year_quarter", _quarter_label())
+            .option("columnNameOfCorruptRecord", _RAW).option("columnPruning", False)
+            .csv([literal_path(p) for p in paths]))
+    return rows.withColumns({"year_quarter": _quarter_label(), "reason": _reason(len(header))})
 
 
 def _reason(n_columns: int) -> Column:
@@ -104,20 +131,126 @@ def _reason(n_columns: int) -> Column:
     return (F.when(F.col(_RAW).isNull(), KEPT)
             .when(unquoted.rlike(_OPEN_QUOTE), "unbalanced_quote")
             .when(fields > n_columns, "too_many_fields")
+            .when((fields < n_columns) & unquoted.contains(QUOTE), _STRAY_QUOTE)
             .otherwise(KEPT))
 
 
-def _layouts(spark: SparkSession, files: Iterable[ReportFile]) -> dict[tuple[str, ...], list[str]]:
+# --- records over several lines -------------------------------------------------------
+
+def _open_reports(spark: SparkSession, files: list[ReportFile]) -> set[tuple[str, int, int]]:
+    """(table, year, quarter) of files in which a quoted field is open at the end of a line."""
+    if not files:
+        return set()
+    lines = (spark.read.option("recursiveFileLookup", True).text([literal_path(f.path) for f in files])
+             .where(F.col("value").contains(QUOTE)))
+    unquoted = F.regexp_replace(F.rtrim("value"), _QUOTED, "$1")
+    found = (lines.where(unquoted.rlike(_OPEN_QUOTE)).select(F.col("_metadata.file_path").alias("path"))
+             .distinct().collect())  # at most one row per file
+    return {_report_of(unquote(r["path"]), REPORT_TABLES)[0] for r in found}
+
+
+def _shape(line: str) -> tuple[bool, bool, int]:
+    """(a quoted field is open at the end, a quote stands inside plain text, fields)."""
+    unquoted = re.sub(_QUOTED, r"\1", line)
+    return bool(re.search(_OPEN_QUOTE, unquoted)), QUOTE in unquoted, unquoted.count(DELIMITER) + 1
+
+
+def joined_lines(lines: list[str], n_columns: int) -> Iterator[tuple[str, str | None]]:
+    """(record, reason) of the lines of one file; no reason where the parser has to decide.
+
+    An open quote takes in the lines that follow up to the one that closes it with a quote
+    inside plain text, unless a line before that one has all fields by itself.  If the record
+    has all fields, and its last line has not, it is kept, else it is rejected whole, so that no
+    part of it passes as a row.  Otherwise the open quote is a stray one: its line is rejected
+    and the next starts anew.
+    """
+    at = 0
+    while at < len(lines):
+        first, end = lines[at], None
+        if _shape(first)[0]:
+            for i in range(at + 1, min(at + MOST_LINES, len(lines))):
+                _, stray, own = _shape(lines[i])
+                if not _shape("\n".join(lines[at:i + 1]))[0]:
+                    end = i if stray else None
+                    break
+                if own >= n_columns:
+                    break
+            if end is None:
+                yield first, "unbalanced_quote"
+            else:
+                record = "\n".join(lines[at:end + 1])
+                fields = _shape(record)[2]
+                yield record, (KEPT if fields == n_columns > own else
+                               "too_many_fields" if fields > n_columns else _STRAY_QUOTE)
+                at = end
+        else:
+            yield first, None
+        at += 1
+
+
+def _parsed_in_order(spark: SparkSession, paths: list[str], header: tuple[str, ...]) -> DataFrame:
+    """Like ``_parsed`` for files with records over several lines.
+
+    Each line is read as one field of an unsplit file, so the lines of a file come in order.
+    Lines are handed on as soon as no open record can reach them.
+    """
+    lines = (spark.read.schema("line string").option("encoding", ENCODING).option("multiLine", True)
+             .option("sep", "\u0001").option("quote", "").option("recursiveFileLookup", True)
+             .csv([literal_path(p) for p in paths])
+             .select(F.col("_metadata.file_path").alias("path"), _quarter_label().alias("year_quarter"), "line"))
+    n_columns = len(header)
+
+    def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        path, quarter, held = None, None, []
+
+        def records(count: int) -> pd.DataFrame:
+            """The records that begin in the first ``count`` held lines; the others stay held."""
+            out, used = [], 0
+            for record, reason in joined_lines(held, n_columns):
+                if used >= count:
+                    break
+                out.append((quarter, record, reason))
+                used += record.count("\n") + 1
+            del held[:used]
+            return pd.DataFrame(out, columns=["year_quarter", "line", "given"])
+
+        for frame in frames:
+            for one, rows in frame.groupby("path", sort=False):
+                own = rows["line"].fillna("").tolist()
+                if one != path:
+                    yield records(len(held))
+                    path, quarter, own = one, rows["year_quarter"].iloc[0], own[1:]  # without header
+                held += own
+                yield records(max(0, len(held) - MOST_LINES))
+        yield records(len(held))
+
+    parsed = F.from_csv("line", F.lit(", ".join(f"`{c}` string" for c in [*header, _RAW])),
+                        {"sep": DELIMITER, "escape": QUOTE, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RAW})
+    return (lines.mapInPandas(join, "year_quarter string, line string, given string")
+            .where("line != ''").select("year_quarter", "given", "line", parsed.alias("parsed"))
+            .select(*(F.col("parsed").getField(c).alias(c) for c in header),
+                    F.when(F.col("given").isNull(), F.col(f"parsed.{_RAW}"))
+                    .when(F.col("given") != KEPT, F.col("line")).alias(_RAW), "year_quarter", "given")
+            .withColumn("reason", F.coalesce("given", _reason(n_columns))).drop("given"))
+
+
+def _layouts(spark: SparkSession, files: Iterable[ReportFile]) -> dict[tuple[str, ...], list[ReportFile]]:
+    files = list(files)
     paths = [f.path for f in files]
     header = inheritable_thread_target(spark)(lambda path: _normalised_header(spark, path))
     with ThreadPool(HEADER_THREADS) as pool:  # one short job per file
         headers = pool.map(header, paths)
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for path, columns in zip(paths, headers):
-        layouts.setdefault(columns, []).append(path)
+    layouts: dict[tuple[str, ...], list[ReportFile]] = {}
+    for file, columns in zip(files, headers):
+        layouts.setdefault(columns, []).append(file)
     return layouts
 
 
+def has_column(spark: SparkSession, table: str, column: str, files: Iterable[ReportFile]) -> bool:
+    """Whether the header of any file of a table names a column."""
+    return any(column in header for header in _layouts(spark, (f for f in files if f.table == table)))
+
+
 def parse_report_table(spark: SparkSession, table: str, files: Iterable[ReportFile],
                        missing: Iterable[str] = NULL_TOKENS) -> DataFrame:
     """Every line of one report table over all its quarters, kept or not, from one scan.
@@ -134,12 +267,15 @@ def parse_report_table(spark: SparkSession, table: str, files: Iterable[ReportFi
         value = F.col(name)
         return (null_tokens(value, missing) if missing else value).alias(name)
 
-    parts = [
-        _parsed(spark, paths, header)
-        .select(*[cell(c, header) for c in wanted], "year_quarter",
-                _reason(len(header)).alias("reason"), F.col(_RAW).alias("line"))
-        for header, paths in _layouts(spark, (f for f in files if f.table == table)).items()
-    ]
+    files = [f for f in files if f.table == table]
+    in_order = _open_reports(spark, files)
+    parts = []
+    for header, own in _layouts(spark, files).items():
+        for parse, open_ in ((_parsed, False), (_parsed_in_order, True)):
+            paths = [f.path for f in own if ((f.table, f.year, f.quarter) in in_order) == open_]
+            if paths:
+                parts.append(parse(spark, paths, header).select(
+                    *[cell(c, header) for c in wanted], "year_quarter", "reason", F.col(_RAW).alias("line")))
     if not parts:
         return spark.createDataFrame(
             [], string_schema([*wanted, "year_quarter", "reason", "line"]))
@@ -168,16 +304,27 @@ def read_reports(spark: SparkSession, base_dir: str, years: Iterable[int] = YEAR
                  missing: Iterable[str] = NULL_TOKENS) -> CaseTables:
     """All six tables of a folder of quarterly files."""
     files = find_report_files(spark, base_dir, years=years)
-    return CaseTables(**{t: partial(read_report_table, spark, t, files, missing)
-                         for t in REPORT_TABLES})
+    return CaseTables(versioned=partial(has_column, spark, "demo", "caseversion", files),
+                      **{t: partial(read_report_table, spark, t, files, missing) for t in REPORT_TABLES})
 
 
 def write_report_files(tables: CaseTables, base_dir: str) -> None:
-    """Quarterly files in the layout read above: one folder of parts per table and quarter."""
+    """Quarterly files in the layout read above: one folder of parts per table and quarter.
+
+    Blanks and tabs around values are kept.  A character that the encoding lacks stops the run.
+    """
     for name, df in tables.items():
         year, quarter = F.substring("year_quarter", 3, 2), F.substring("year_quarter", 7, 1)
         report = F.concat(F.lit(name.upper()), year, F.lit("Q"), quarter, F.lit(".txt"))
-        (df.select(*REPORT_COLUMNS[name], report.alias("report"))
+
+        def encodable(column: str) -> Column:
+            value = F.col(column)
+            fits = value.rlike(r"^[\x{00}-\x{ff}]*$") | value.isNull()
+            message = F.concat(F.lit(f"no {ENCODING} text in {column}: "), value)
+            return F.when(fits, value).otherwise(F.raise_error(message)).alias(column)
+
+        (df.select(*map(encodable, REPORT_COLUMNS[name]), report.alias("report"))
          .hint("rebalance", "report")  # whole reports together, large ones split
          .write.partitionBy("report").option("sep", DELIMITER).option("encoding", ENCODING)
-         .option("header", True).csv(f"{base_dir}/{name}"))
+         .option("escape", QUOTE).option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).option("header", True).csv(f"{base_dir}/{name}"))
