@@ -38,7 +38,7 @@ def compare_cohorts(facts: DataFrame, study: Study) -> DataFrame:
                 assoc.yates_chi2(F.col("k1"), F.col("n1"), F.col("k2"), F.col("n2")).alias("chi2"))
         .select("adr", "hbv_mono_count", "hbv_mono_prop", "hiv_hbv_count", "hiv_hbv_prop",
                 assoc.risk_ratio(p1, p2).alias("risk_ratio"), "chi2",
-                assoc.chi2_p_value("chi2").alias("p_value"))
+                assoc.chi2_p_value(F.col("chi2")).alias("p_value"))
     )
 
 

@@ -9,17 +9,22 @@ unique keys and the fan-out to cohorts and classes is an explode.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from adrlens.functions import cleaning, clinical
 from adrlens.functions.clinical import flag
 from adrlens.functions.matching import has_bit, names_of_bits
 from adrlens.operators.cohorts import (all_cohorts, antiviral, assign_cohorts, exposures,
                                        row_bits)
+from adrlens.operators.pairs import reaction_counts
 from adrlens.operators.profiles import distributions
+from adrlens.session import materialise
 from adrlens.sources.case_tables import CaseTables
 from adrlens.study import AUTOIMMUNE, COINFECTION, MONO, Study
 
@@ -27,6 +32,7 @@ GRAINS = ("case_drug", "case")
 COHORT_FLAGS = {"cohort_hbv_mono": MONO, "cohort_hiv_hbv": COINFECTION,
                 "cohort_autoimmune": AUTOIMMUNE}
 DEFAULT_RISK_SCORE = 1.0
+MEDIAN_BINS = 4_096
 
 
 def demographic_features(demo: DataFrame, study: Study) -> DataFrame:
@@ -82,13 +88,35 @@ def polypharmacy_features(drug: DataFrame) -> DataFrame:
             .select("primaryid", "drug_count", *_polypharmacy_flags(F.col("drug_count"))))
 
 
-def event_labels(reac: DataFrame, study: Study) -> DataFrame:
+def event_labels(reac: DataFrame, study: Study, column: str = "pt") -> DataFrame:
     """One flag per event category for every case with reactions."""
     return (reac.where(F.col("primaryid").isNotNull()).groupBy("primaryid")
-            .agg(*[F.max(flag(clinical.in_terms(F.col("pt"), terms))).alias(f"adr_{category}")
+            .agg(*[F.max(flag(clinical.in_terms(F.col(column), terms))).alias(f"adr_{category}")
                    for category, terms in study.adr_categories.items()]))
 
 
+@dataclass(frozen=True)
+class Reduced:
+    """The two large tables of a run, each reduced once to what all later steps read.
+
+    ``drugs``: distinct drug names and exposure bits per case; ``reactions``: rows per case and
+    event.
+    """
+
+    drugs: DataFrame
+    reactions: DataFrame
+
+    @property
+    def exposures(self) -> DataFrame:
+        return self.drugs.where("bits != 0").select("primaryid", "bits")
+
+
+def reduced(tables: CaseTables, study: Study) -> Reduced:
+    """Read drugs and reactions once; both results are written to the shared folder."""
+    return Reduced(materialise(drug_profile(tables.drug, study), "drug_profile"),
+                   materialise(reaction_counts(tables.reac), "reaction_counts"))
+
+
 def patient_drugs(reac: DataFrame, exposed: DataFrame, study: Study) -> DataFrame:
     """Distinct (primaryid, drug_class) of pairs: classes of cases that have reactions."""
     with_reaction = reac.select("primaryid").distinct()
@@ -111,13 +139,16 @@ def feature_distributions(tables: CaseTables, study: Study) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _case_rows(tables: CaseTables, study: Study) -> DataFrame:
-    """One wide row per demographic row: four per-case tables joined on the case."""
-    labels = event_labels(tables.reac, study).withColumn("has_reaction", F.lit(True))
+def _case_rows(tables: CaseTables, study: Study, small: Reduced) -> DataFrame:
+    """One wide row per demographic row: four per-case tables joined on the case.
+
+    Rows without a report id belong to no case and have no features.
+    """
+    labels = event_labels(small.reactions, study, "adr").withColumn("has_reaction", F.lit(True))
     return (
-        demographic_features(tables.demo, study)
+        demographic_features(tables.demo.where(F.col("primaryid").isNotNull()), study)
         .join(severity_features(tables.outc, study), "primaryid", "left")
-        .join(drug_profile(tables.drug, study), "primaryid", "left")
+        .join(small.drugs, "primaryid", "left")
         .join(labels, "primaryid", "left")
         # Pairs need an antiviral and a reaction row; labels and classes come from pairs.
         .withColumn("in_pairs", F.coalesce(F.col("has_reaction") & antiviral(F.col("bits"), study),
@@ -141,7 +172,8 @@ def _labels(study: Study) -> list[Column]:
     return [F.when(F.col("in_pairs"), F.col(c)).otherwise(0).alias(c) for c in study.labels]
 
 
-def case_drug_features(tables: CaseTables, scores: DataFrame, study: Study) -> DataFrame:
+def case_drug_features(tables: CaseTables, scores: DataFrame, study: Study,
+                       small: Reduced | None = None) -> DataFrame:
     """Grain case x cohort x drug class, every missing value 0 (or '0').
 
     ``scores`` holds one row per drug class, so the join is a broadcast of at most as
@@ -150,7 +182,7 @@ def case_drug_features(tables: CaseTables, scores: DataFrame, study: Study) -> D
     classes = names_of_bits(F.when(F.col("in_pairs"), F.col("bits")).otherwise(0),
                             study.drug_classes)
     rows = (
-        _case_rows(tables, study)
+        _case_rows(tables, study, small or reduced(tables, study))
         .withColumn("cohort", F.explode(all_cohorts(F.col("bits"), study)))
         .withColumn("drug_class", F.explode_outer(classes))
     )
@@ -174,10 +206,33 @@ def case_drug_features(tables: CaseTables, scores: DataFrame, study: Study) -> D
     )
 
 
-def median_of(df: DataFrame, column: str) -> DataFrame:
-    """Exact median as a one-row frame; repeated values are counted before they meet."""
-    return (df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-            .agg(F.percentile(column, F.lit(0.5), F.col("n")).alias("median")))
+def median_of(df: DataFrame, column: str) -> float | None:
+    """Exact median.
+
+    Counts per bin of a grid between the extremes find the bin or two that hold the middle;
+    only their values are ranked.  The driver sees at most one count per bin.
+    """
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("v"))
+    ends = values.agg(F.min("v").alias("low"), F.max("v").alias("high")).first()
+    if ends["low"] is None or ends["low"] == ends["high"]:
+        return ends["low"]
+    position = (F.col("v") - ends["low"]) / (ends["high"] - ends["low"])
+    binned = values.withColumn("bin", F.floor(position * MEDIAN_BINS))
+    counts = sorted((r["bin"], r["count"]) for r in binned.groupBy("bin").count().collect())
+    upto = list(accumulate(n for _, n in counts))
+    bins, ranks = zip(*((counts[i][0], rank - (upto[i] - counts[i][1])) for rank in
+                        ((upto[-1] - 1) // 2, upto[-1] // 2) for i in [bisect_right(upto, rank)]))
+    low, high = bins  # the lower and the upper middle; ranks count from 0 inside their bin
+    order = Window.partitionBy("bin").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (binned.where(F.col("bin").isin(low, high)).groupBy("bin", "v").agg(F.count("*").alias("n"))
+              .withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0))))
+
+    def at(bin_: int, rank: int) -> Column:
+        holds = (F.col("bin") == bin_) & (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
+        return F.max(F.when(holds, F.col("v")))
+
+    middle = ranked.agg(at(low, ranks[0]).alias("a"), at(high, ranks[1]).alias("b")).first()
+    return (middle["a"] + middle["b"]) / 2
 
 
 def score_map(scores: DataFrame, study: Study) -> DataFrame:
@@ -187,7 +242,8 @@ def score_map(scores: DataFrame, study: Study) -> DataFrame:
             .agg(F.map_from_entries(F.collect_list(entry)).alias("score_of")))
 
 
-def case_features(tables: CaseTables, scores: DataFrame, study: Study) -> DataFrame:
+def case_features(tables: CaseTables, scores: DataFrame, study: Study,
+                  small: Reduced | None = None) -> DataFrame:
     """Grain case: multi-hot flags, mean risk score of the case's classes, imputed age."""
     bits = F.when(F.col("in_pairs"), F.col("bits")).otherwise(0)
     cohorts = all_cohorts(F.col("bits"), study)
@@ -196,9 +252,10 @@ def case_features(tables: CaseTables, scores: DataFrame, study: Study) -> DataFr
         lambda c: F.coalesce(F.try_element_at("score_of", c), F.lit(DEFAULT_RISK_SCORE)))
     mean_score = F.try_divide(F.aggregate(class_scores, F.lit(0.0), lambda x, y: x + y),
                               F.size(class_scores))
-    median = median_of(demographic_features(tables.demo, study), "age_years").scalar()
+    known = tables.demo.where(F.col("primaryid").isNotNull())
+    median = F.lit(median_of(demographic_features(known, study), "age_years")).cast("double")
     return (
-        _case_rows(tables, study)
+        _case_rows(tables, study, small or reduced(tables, study))
         .withColumn("score_of", score_map(scores, study).scalar())
         .withColumns(dict(zip(_POLY[1:], _polypharmacy_flags(F.col("drug_count")))))
         .select(

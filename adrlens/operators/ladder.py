@@ -43,8 +43,8 @@ def score_ladder(scored: DataFrame) -> DataFrame:
     coarse = _above(_counts(fine, ["label", "coarse"]), ["label"], "coarse")
     fine = (
         _above(fine, ["label", "coarse"], "fine")
-        .join(coarse.select("label", "coarse", F.col("pos_above").alias("p0"),
-                            F.col("neg_above").alias("n0")), ["label", "coarse"])
+        .join(F.broadcast(coarse.select("label", "coarse", F.col("pos_above").alias("p0"),
+                                        F.col("neg_above").alias("n0"))), ["label", "coarse"])
         .select("label", "fine", (F.col("pos_above") + F.col("p0")).alias("p1"),
                 (F.col("neg_above") + F.col("n0")).alias("n1"))
     )
@@ -70,7 +70,7 @@ def roc_points(scored: DataFrame) -> DataFrame:
     """
     totals = class_totals(scored).where("n_pos > 0 AND n_neg > 0")
     hits, alarms = F.col("pos_above") + F.col("pos"), F.col("neg_above") + F.col("neg")
-    points = score_ladder(scored).join(totals, "label").select(
+    points = score_ladder(scored).join(F.broadcast(totals), "label").select(
         "label", F.col("score").alias("threshold"),
         (hits / F.col("n_pos")).alias("tpr"), (alarms / F.col("n_neg")).alias("fpr"))
     origin = totals.select("label", F.lit(None).cast("double").alias("threshold"),

@@ -19,6 +19,7 @@ from adrlens.sources.case_tables import CaseTables
 from adrlens.study import COHORT_ORDER, Study
 
 DEFAULT_SEVERITY = 1
+FEW_CASES = 1_000_000  # ids that may be broadcast
 
 
 def exposed_cases(exposures: DataFrame, outc: DataFrame, study: Study,
@@ -64,6 +65,32 @@ def case_records(reac: DataFrame, exposed: DataFrame, study: Study) -> DataFrame
                     (F.col("n_rows") * classes).alias("n_records")))
 
 
+def reaction_counts(reac: DataFrame) -> DataFrame:
+    """(primaryid, adr, n_rows): reaction rows per case and event, also those without text."""
+    return (reac.where(F.col("primaryid").isNotNull()).groupBy("primaryid", F.col("pt").alias("adr"))
+            .agg(F.count("*").alias("n_rows")))
+
+
+def facts_from_counts(counts: DataFrame, exposed: DataFrame) -> DataFrame:
+    """``pair_facts`` from reactions that are counted already, one row per case and event."""
+    events = counts.where("adr IS NOT NULL").select("primaryid", "adr", F.lit(False).alias("is_case"), "n_rows")
+    per_case = (counts.groupBy("primaryid").agg(F.sum("n_rows").alias("n_rows"))
+                .select("primaryid", F.lit(None).cast("string").alias("adr"), F.lit(True).alias("is_case"), "n_rows"))
+    return events.unionByName(per_case).join(exposed, "primaryid")
+
+
+def of_exposed(reac: DataFrame, exposed: DataFrame, few: int = FEW_CASES) -> DataFrame:
+    """Reactions of exposed cases, before anything is shuffled.
+
+    The ids are counted, and broadcast if there are at most ``few``; otherwise the rows stay as
+    they are and unexposed cases drop out in the join that follows.
+    """
+    ids = exposed.select("primaryid")
+    if ids.limit(few + 1).count() > few:
+        return reac
+    return reac.join(F.broadcast(ids), "primaryid", "left_semi")
+
+
 def pair_facts(reac: DataFrame, exposed: DataFrame) -> DataFrame:
     """One row per case and event, and one per case (``is_case``, no event).
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from adrlens.functions.clinical import outcome_name
 from adrlens.functions.matching import count_bits, first_bits, names_of_bits
@@ -21,18 +21,23 @@ def frequency(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
     return counts if n is None else ordered.limit(n)
 
 
-def _labelled(name: str, table: DataFrame) -> DataFrame:
+def _labelled(name: str, table: DataFrame, percent: Column | None = None) -> DataFrame:
+    percent = F.lit(None).cast("double") if percent is None else percent
     return table.select(F.lit(name).alias("table_name"), F.col("value").cast("string").alias("value"),
-                        "n_rows")
+                        "n_rows", percent.alias("percent"))
 
 
 def frequency_tables(tables: CaseTables, study: Study) -> DataFrame:
-    """Sex, top 10 countries, top 20 drugs, top 20 reactions and outcomes (by name)."""
+    """Sex, top 10 countries, top 20 drugs, top 20 reactions and outcomes (by name).
+
+    Sexes also have their percentage of all cases, those of unknown sex included.
+    """
     outcomes = frequency(tables.outc, "outc_cod").withColumn(
         "value", F.format_string("%s (%s)", outcome_name(F.col("value"), study.outcome_names),
                                  F.col("value")))
+    n_cases = tables.demo.agg(F.count("*").alias("n")).scalar()
     parts = [
-        _labelled("sex", frequency(tables.demo, "sex")),
+        _labelled("sex", frequency(tables.demo, "sex"), F.col("n_rows") * 100.0 / n_cases),
         _labelled("country", frequency(tables.demo, "reporter_country", 10)),
         _labelled("drug", frequency(tables.drug, "drugname", 20)),
         _labelled("reaction", frequency(tables.reac, "pt", 20)),

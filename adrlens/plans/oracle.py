@@ -362,7 +362,8 @@ ORACLE_SQL = {
     "case_severity": with_ctes("SELECT primaryid, severity FROM severity", PAIRS),
     "cohort_compare": with_ctes(
         "SELECT adr, hbv_mono_count, hiv_hbv_count, "
-        + r6("hbv_mono_prop", "hiv_hbv_prop", "risk_ratio", "chi2", "p_value") + " FROM comparison",
+        + r6("hbv_mono_prop", "hiv_hbv_prop", "risk_ratio", "chi2", "p_value")
+        + ", round(CASE WHEN p_value > 0 THEN log10(p_value) END, 6) AS log10_p FROM comparison",
         PAIRS, COMPARE),
     "rr_extremes": with_ctes(
         f"""(SELECT adr, {r6('risk_ratio', 'p_value')}, 'HBV_MONO' AS side FROM comparison
@@ -544,8 +545,9 @@ ORACLE_SQL["extraction_profile"] = with_ctes(
 
 
 def _frequency(label: str, column: str, source: str, limit: str = "") -> str:
-    return (f"(SELECT '{label}' AS table_name, {column} AS value, count(*) AS n_rows FROM {source} "
-            f"WHERE {column} IS NOT NULL GROUP BY ALL ORDER BY n_rows DESC, value {limit})")
+    percent = f"round(count(*) * 100.0 / (SELECT count(*) FROM {source}), 6)" if label == "sex" else "NULL"
+    return (f"(SELECT '{label}' AS table_name, {column} AS value, count(*) AS n_rows, "
+            f"CAST({percent} AS DOUBLE) AS percent FROM {source} WHERE {column} IS NOT NULL GROUP BY ALL ORDER BY n_rows DESC, value {limit})")
 
 
 ORACLE_SQL["frequency_tables"] = with_ctes(
@@ -555,4 +557,56 @@ ORACLE_SQL["frequency_tables"] = with_ctes(
         """(SELECT 'outcome' AS table_name, CASE outc_cod WHEN 'DE' THEN 'Death' WHEN 'LT' THEN 'Life-Threatening'
           WHEN 'HO' THEN 'Hospitalization' WHEN 'DS' THEN 'Disability' WHEN 'CA' THEN 'Congenital Anomaly'
           WHEN 'RI' THEN 'Required Intervention' ELSE 'Other' END || ' (' || outc_cod || ')' AS value,
-          count(*) AS n_rows FROM outc_out GROUP BY ALL)"""]), CASES, CLEAN, _SURVIVING)
+          count(*) AS n_rows, CAST(NULL AS DOUBLE) AS percent FROM outc_out GROUP BY ALL)"""]), CASES, CLEAN, _SURVIVING)
+
+ORACLE_SQL["dedupe_counts"] = with_ctes(
+    """SELECT n_before, n_after, n_before - n_after AS n_removed FROM (
+      SELECT (SELECT count(DISTINCT primaryid) FROM demo) AS n_before, count(DISTINCT primaryid) AS n_after FROM (
+        SELECT primaryid FROM demo QUALIFY row_number() OVER (
+          PARTITION BY caseid ORDER BY CAST(caseversion AS DOUBLE) DESC NULLS LAST, year_quarter, primaryid) = 1))""")
+
+_CASEID = "CAST(CAST(primaryid AS BIGINT) // 2 AS VARCHAR)"
+_EARLY = "right(year_quarter, 1) IN ('1', '2')"
+ORACLE_SQL["report_lines"] = with_ctes(
+    f"""SELECT 'reac' AS table_name, primaryid, {_CASEID} AS caseid,
+      CASE CAST(primaryid AS BIGINT) % 10 WHEN 0 THEN pt WHEN 1 THEN 'a "' || pt || '" c' WHEN 2 THEN 'one' || chr(10) || pt
+        WHEN 3 THEN pt || chr(92) WHEN 7 THEN pt || '$d' WHEN 9 THEN pt END AS text,
+      CASE CAST(primaryid AS BIGINT) % 10 WHEN 0 THEN 'x' WHEN 1 THEN 'x' WHEN 2 THEN 'y' WHEN 3 THEN 'w' WHEN 7 THEN 'z'
+        WHEN 9 THEN 'x' END AS more, year_quarter
+    FROM reac WHERE CAST(primaryid AS BIGINT) % 10 NOT IN (5, 8)
+      AND (CAST(primaryid AS BIGINT) % 10 NOT IN (2, 9) OR {_EARLY})
+    UNION ALL SELECT 'drug', primaryid, {_CASEID}, drugname, NULL, year_quarter FROM drug""")
+
+ORACLE_SQL["reloaded_table"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS id, CASE c_custkey % 7 WHEN 0 THEN ' ' || c_name || '  ' WHEN 1 THEN c_name || chr(9)
+  WHEN 2 THEN 'a "' || c_name || '"' WHEN 3 THEN c_name || chr(10) || 'next' WHEN 4 THEN c_name || chr(92)
+  WHEN 5 THEN '' END AS sex FROM customer"""
+
+_MODELLED = "HAVING count(DISTINCT CASE WHEN NOT is_test THEN adr_{c} END) = 2"
+ORACLE_SQL["train_eval"] = with_ctes("\nUNION ALL ".join(
+    f"""SELECT 'adr_{c}' AS label, count(*) FILTER (is_test) AS n_test,
+      CAST(sum(adr_{c}) FILTER (is_test) AS BIGINT) AS n_positive, true AS probabilities_valid,
+      true AS classes_follow_scores, true AS auc_above_floor, true AS reloaded_agrees
+    FROM wide JOIN side USING (primaryid) {_MODELLED.format(c=c)}""" for c in LABELS), *FEATURE_CTES, SIDES)
+ORACLE_SQL["feature_importance"] = with_ctes("\nUNION ALL ".join(
+    f"""SELECT 'adr_{c}' AS label, 10::BIGINT AS n_top, '1,2,3,4,5,6,7,8,9,10' AS ranks, true AS not_negative,
+      {len(MODEL_INPUTS)}::BIGINT AS n_features, true AS sums_to_one, true AS names_known
+    FROM wide JOIN side USING (primaryid) {_MODELLED.format(c=c)}""" for c in LABELS), *FEATURE_CTES, SIDES)
+ORACLE_SQL["score_profiles"] = with_ctes("\nUNION ALL ".join(
+    f"""SELECT '{c}' AS category, (SELECT count(*) FROM orders) AS n_profiles,
+      (SELECT count(DISTINCT o_orderkey) FROM orders) AS n_distinct, true AS percent_valid, true AS bands_fit, true AS advice_fits
+    FROM wide JOIN side USING (primaryid) {_MODELLED.format(c=c)}""" for c in LABELS), *FEATURE_CTES, SIDES)
+
+
+def _rare(sql: str) -> str:
+    """The same SQL for the study of rare classes."""
+    often = ", ".join(f"('{c}')" for c in CLASSES)
+    hiv = " OR ".join(f"contains(name, '{n}')" for n in ("RING", "GEAR", "ROD", "BOLT", "PLATE", "WIDGET", "ANVIL"))
+    return (sql.replace(often, "('HOT GIZMO'), ('OLD GIZMO'), ('NEW GIZMO')")
+            .replace("contains(name, 'WIDGET')", f"({hiv})"))
+
+
+ORACLE_SQL["rare_signals"] = _rare(ORACLE_SQL["all_signals"])
+ORACLE_SQL["rare_compare"] = _rare(ORACLE_SQL["cohort_compare"]).replace(
+    ", round(CASE WHEN p_value > 0 THEN log10(p_value) END, 6) AS log10_p", "")
+ORACLE_SQL["rare_heatmap"] = _rare(ORACLE_SQL["rr_heatmap"])

@@ -7,7 +7,6 @@ that two engines agree on the last digits.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,8 +17,8 @@ from adrlens.session import materialise, new_shared_path
 from adrlens.sources.case_tables import CaseTables
 from adrlens.sources.report_files import read_reports, write_report_files
 from adrlens.sources.star_schema import star_case_tables, table
-from adrlens.sources.tables import load_models, save_models
-from adrlens.study import AUTOIMMUNE, COINFECTION, MONO, OTHER, STAR_STUDY as STUDY
+from adrlens.sources.tables import load_models, read_table, save_models, write_table
+from adrlens.study import AUTOIMMUNE, COINFECTION, MONO, OTHER, RARE_STUDY, STAR_STUDY as STUDY
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
@@ -161,7 +160,9 @@ def _comparison(spark, sf_dir) -> DataFrame:
 
 @query
 def cohort_compare(spark, sf_dir):
-    return compare.by_risk_ratio(_comparison(spark, sf_dir))
+    """The logarithm beside the p-value shows the digits of very small ones."""
+    return (compare.by_risk_ratio(_comparison(spark, sf_dir))
+            .withColumn("log10_p", F.when(F.col("p_value") > 0, F.log10("p_value"))))
 
 
 @query
@@ -184,6 +185,27 @@ def volcano_labels(spark, sf_dir):
     return compare.volcano_labels(compare.volcano(_comparison(spark, sf_dir)))
 
 
+# --- rare exposure: cells below the least count, ratios of zero, no test ---------------
+
+def _rare_facts(spark, sf_dir) -> DataFrame:
+    return pairs.pair_facts_of(star_case_tables(spark, sf_dir), RARE_STUDY)
+
+
+@query
+def rare_signals(spark, sf_dir):
+    return signals.by_strength(signals.detect_signals(_rare_facts(spark, sf_dir), RARE_STUDY))
+
+
+@query
+def rare_compare(spark, sf_dir):
+    return compare.by_risk_ratio(compare.compare_cohorts(_rare_facts(spark, sf_dir), RARE_STUDY))
+
+
+@query
+def rare_heatmap(spark, sf_dir):
+    return compare.largest_differences(compare.compare_cohorts(_rare_facts(spark, sf_dir), RARE_STUDY))
+
+
 # --- extraction -----------------------------------------------------------------
 
 @query
@@ -226,6 +248,12 @@ def dedupe_latest(spark, sf_dir):
     return demo.select("primaryid", "caseid", "caseversion", "year_quarter")
 
 
+@query
+def dedupe_counts(spark, sf_dir):
+    """Reports before and after the latest version of each case is kept."""
+    return cases.dedupe_counts(star_case_tables(spark, sf_dir).demo)
+
+
 @query
 def cascade(spark, sf_dir):
     """Rows per table and quarter once only the latest report of each case is left."""
@@ -256,6 +284,60 @@ def report_files(spark, sf_dir):
     return profiles.extract_counts(read_reports(spark, folder, years=range(1970, 2070)))
 
 
+REACTION_HEADER, DRUG_HEADER = "primaryid$caseid$pt$drug_rec_act", " PRIMARYID $ CASEID$  DrugName  "
+
+
+def _write_lines(lines: DataFrame, header: str, table_name: str, folder: str) -> None:
+    """(year_quarter, line) as one text file per quarter, its header first."""
+    report = F.format_string(f"{table_name}%sQ%s.txt", F.substring("year_quarter", 3, 2), F.substring("year_quarter", 7, 1))
+    rows = lines.select(report.alias("report"), F.lit(1).alias("rank"), F.col("line").alias("value"))
+    heads = rows.select("report", F.lit(0).alias("rank"), F.lit(header).alias("value")).distinct()
+    (rows.unionByName(heads).repartition("report").sortWithinPartitions("report", "rank")
+     .select("report", "value").write.partitionBy("report").text(folder))
+
+
+@query
+def report_lines(spark, sf_dir):
+    """Values read from lines that are written as plain text: quotes, breaks, short, long and empty lines."""
+    folder = new_shared_path(spark, "lines")
+    tables = star_case_tables(spark, sf_dir)
+    text, key, early = F.col("pt"), F.col("primaryid").cast("long"), F.substring("year_quarter", 7, 1) < "3"
+    case = F.concat_ws("$", "primaryid", "caseid")
+    kinds = [F.concat(case, F.lit("$"), text, F.lit("$x")),
+             F.concat(case, F.lit('$"a ""'), text, F.lit('"" c"$x')),
+             F.when(early, F.concat(case, F.lit('$"one\n'), text, F.lit('"$y'))).otherwise(F.lit("")),
+             F.concat(case, F.lit('$"'), text, F.lit('\\"$w')),
+             case,
+             F.concat(case, F.lit("$a$b$"), text),
+             F.concat(case, F.lit("$NA$None")),
+             F.concat(case, F.lit('$"'), text, F.lit('$d"$"z"')),
+             F.lit("$$$"),
+             F.when(early, F.concat(case, F.lit("$"), text, F.lit("$x"))).otherwise(
+                 F.concat(case, F.lit('$"open '), text, F.lit("$v")))]
+    line = F.element_at(F.array(*kinds), (key % len(kinds) + 1).cast("int"))
+    _write_lines(tables.reac.select("year_quarter", line.alias("line")), REACTION_HEADER, "REAC", f"{folder}/r")
+    _write_lines(tables.drug.select("year_quarter", F.concat_ws("$", "primaryid", "caseid", "drugname").alias("line")),
+                 DRUG_HEADER, "drug", f"{folder}/d")
+    read = read_reports(spark, folder, years=range(1970, 2070))
+    return (read.reac.select(F.lit("reac").alias("table_name"), "primaryid", "caseid", F.col("pt").alias("text"),
+                             F.col("drug_rec_act").alias("more"), "year_quarter")
+            .unionByName(read.drug.select(F.lit("drug").alias("table_name"), "primaryid", "caseid",
+                                          F.col("drugname").alias("text"), F.col("prod_ai").alias("more"), "year_quarter")))
+
+
+@query
+def reloaded_table(spark, sf_dir):
+    """Text with blanks, tabs, quotes, breaks, nulls and empty text, written as CSV and reloaded."""
+    key, name = F.col("c_custkey"), F.col("c_name")
+    texts = [F.concat(F.lit(" "), name, F.lit("  ")), F.concat(name, F.lit("\t")), F.concat(F.lit('a "'), name, F.lit('"')),
+             F.concat(name, F.lit("\nnext")), F.concat(name, F.lit("\\")), F.lit(""), F.lit(None).cast("string")]
+    df = table(spark, sf_dir, "customer").select(
+        key.cast("string").alias("id"), F.element_at(F.array(*texts), (key % len(texts) + 1).cast("int")).alias("sex"))
+    path = new_shared_path(spark, "sink")
+    write_table(df, path, "csv")
+    return read_table(spark, path, df.schema, "csv")
+
+
 # --- features -------------------------------------------------------------------
 
 def _clean_tables(spark, sf_dir) -> CaseTables:
@@ -263,9 +345,18 @@ def _clean_tables(spark, sf_dir) -> CaseTables:
         lambda name, df: cases.clean_demographics(df) if name == "demo" else df)
 
 
+def _reduced(spark, sf_dir) -> tuple[CaseTables, DataFrame, features.Reduced]:
+    """Clean tables, risk scores and the reduced drugs and reactions that both come from."""
+    tables = _clean_tables(spark, sf_dir)
+    small = features.reduced(tables, STUDY)
+    exposed = pairs.exposed_cases(small.exposures, tables.outc, STUDY)
+    found = signals.detect_signals(pairs.facts_from_counts(small.reactions, exposed), STUDY)
+    return tables, signals.drug_risk_scores(found), small
+
+
 def _case_drug(spark, sf_dir) -> DataFrame:
-    scores = signals.drug_risk_scores(_signals(spark, sf_dir))
-    return features.case_drug_features(_clean_tables(spark, sf_dir), scores, STUDY)
+    tables, scores, small = _reduced(spark, sf_dir)
+    return features.case_drug_features(tables, scores, STUDY, small)
 
 
 @query
@@ -275,8 +366,8 @@ def features_case_drug(spark, sf_dir):
 
 @query
 def features_case(spark, sf_dir):
-    scores = signals.drug_risk_scores(_signals(spark, sf_dir))
-    return features.case_features(_clean_tables(spark, sf_dir), scores, STUDY)
+    tables, scores, small = _reduced(spark, sf_dir)
+    return features.case_features(tables, scores, STUDY, small)
 
 
 @query
@@ -292,7 +383,7 @@ def feature_distributions(spark, sf_dir):
 @query
 def split_prevalence(spark, sf_dir):
     """Label prevalence of the train and the test side."""
-    return ml.split_prevalence(ml.split(_case_drug(spark, sf_dir), STUDY), STUDY)
+    return ml.split_prevalence(ml.split(materialise(_case_drug(spark, sf_dir), "features"), STUDY), STUDY)
 
 
 @query
@@ -313,7 +404,7 @@ def scaling(spark, sf_dir):
 @query
 def split(spark, sf_dir):
     """Side of every case and its stratum."""
-    divided = ml.split(_case_drug(spark, sf_dir), STUDY)
+    divided = ml.split(materialise(_case_drug(spark, sf_dir), "features"), STUDY)
     return (divided.groupBy("primaryid", ml.has_any_label(STUDY).alias("any_label"))
             .agg(F.max("is_test").alias("is_test"), F.count("*").alias("n_rows")))
 
@@ -412,31 +503,62 @@ def profile_features(spark, sf_dir):
     return scoring.profile_features(_profiles(spark, sf_dir), STUDY)
 
 
-@lru_cache(maxsize=4)
+LEAST_AUC = 0.55  # what every forest has to reach on the test side
+
+
 def _trained(spark: SparkSession, sf_dir: str):
-    """Split features and fitted models of a folder, written once to the shared folder."""
-    divided = ml.split(materialise(_case_drug(spark, sf_dir), "features", spread=True), STUDY)
+    """Split features and fitted models of a folder, saved to the shared folder and reloaded."""
+    divided = materialise(ml.split(materialise(_case_drug(spark, sf_dir), "features", spread=True), STUDY), "split")
     path = new_shared_path(spark, "models")
     models = ml.train_forests(divided.where(~F.col("is_test")), STUDY)
     save_models(models, path)
-    return divided, load_models(path, list(models))
+    return divided, models, load_models(path, list(models))
 
 
 @query
 def train_eval(spark, sf_dir):
-    """Train the forests and evaluate both sides."""
-    divided, models = _trained(spark, sf_dir)
-    predicted = materialise(ml.predict(divided, models, STUDY), "predictions")
-    return ml.evaluate(ml.long_predictions(predicted, list(models)))
+    """Train, save and reload the forests: facts about their predictions on the test side."""
+    divided, fitted, loaded = _trained(spark, sf_dir)
+    labels = list(loaded)
+    test = materialise(ml.predict(divided.where("is_test"), loaded, STUDY), "predictions")
+    again = ml.predict(divided.where("is_test"), fitted, STUDY)
+    long = ml.long_predictions(test, labels)
+    sums = lambda df: df.agg(*[F.sum(f"score_{m}").alias(m) for m in labels]).first()  # noqa: E731  one row
+    kept, saved = sums(again), sums(test)
+    same = [m for m in labels if abs(kept[m] - saved[m]) <= 1e-9 * max(1.0, kept[m])]
+    return (
+        long.groupBy("label").agg(
+            F.count("*").alias("n_test"), F.sum("y").alias("n_positive"),
+            F.min(F.col("score").between(0, 1)).alias("probabilities_valid"),
+            F.min((F.col("prediction") == 1) == (F.col("score") > 0.5)).alias("classes_follow_scores"))
+        .join(ladder.auc(long).select("label", (F.col("auc") > LEAST_AUC).alias("auc_above_floor")), "label")
+        .withColumn("reloaded_agrees", F.col("label").isin(same)))
 
 
 @query
 def feature_importance(spark, sf_dir):
-    _, models = _trained(spark, sf_dir)
-    return ml.feature_importance(models, STUDY, spark)
+    """Per label: features ranked, whether all names are known and all importances sum to one."""
+    _, _, models = _trained(spark, sf_dir)
+    all_ = ml.feature_importance(models, STUDY, spark, n=len(STUDY.feature_columns))
+    top = ml.feature_importance(models, STUDY, spark)
+    known = all_.groupBy("label").agg(
+        F.count("*").alias("n_features"), (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"),
+        F.min(F.col("feature").isin(STUDY.feature_columns)).alias("names_known"))
+    return top.groupBy("label").agg(
+        F.count("*").alias("n_top"), F.array_join(F.sort_array(F.collect_list("rank")), ",").alias("ranks"),
+        (F.min("importance") >= 0).alias("not_negative")).join(known, "label")
 
 
 @query
 def score_profiles(spark, sf_dir):
-    _, models = _trained(spark, sf_dir)
-    return scoring.score_profiles(_profiles(spark, sf_dir), models, STUDY)
+    """Per category: profiles scored, bands that fit their percentage, advice for High only."""
+    _, _, models = _trained(spark, sf_dir)
+    scored = scoring.score_profiles(_profiles(spark, sf_dir), models, STUDY)
+    percent, level = F.col("risk_percent"), F.col("risk_level")
+    band = F.when(percent > 50, "High").when(percent > 30, "Medium").otherwise("Low")
+    advice = F.create_map(*[F.lit(x) for pair in STUDY.monitoring_advice.items() for x in pair])[F.col("category")]
+    fits = F.col("advice").eqNullSafe(F.when(level == "High", advice))
+    return scored.groupBy("category").agg(
+        F.count("*").alias("n_profiles"), F.countDistinct("profile_id").alias("n_distinct"),
+        F.min(percent.between(0, 100)).alias("percent_valid"), F.min(level == band).alias("bands_fit"),
+        F.min(fits).alias("advice_fits"))

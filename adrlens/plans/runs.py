@@ -94,7 +94,7 @@ def run_analysis(tables: CaseTables, out: str, study: Study = HBV_STUDY) -> None
     """Cohorts, pairs, signals, comparison, severity and summaries of extracted tables."""
     exposures = materialise(cohorts.exposures(tables.drug, study), "exposures")
     exposed = materialise(pairs.exposed_cases(exposures, tables.outc, study), "exposed")
-    facts = materialise(pairs.pair_facts(tables.reac, exposed), "facts")
+    facts = materialise(pairs.pair_facts(pairs.of_exposed(tables.reac, exposed), exposed), "facts")
     found = materialise(signals.detect_signals(facts, study), "signals")
     results = {
         "cohort_assignments": cohorts.assign_cohorts(tables.demo, exposures, study),

@@ -152,7 +152,8 @@ def _open_reports(spark: SparkSession, files: list[ReportFile]) -> set[tuple[str
 def _shape(line: str) -> tuple[bool, bool, int]:
     """(a quoted field is open at the end, a quote stands inside plain text, fields)."""
     unquoted = re.sub(_QUOTED, r"\1", line)
-    return bool(re.search(_OPEN_QUOTE, unquoted)), QUOTE in unquoted, unquoted.count(DELIMITER) + 1
+    plain, opened = re.subn(_OPEN_QUOTE, r"\1", unquoted)
+    return bool(opened), QUOTE in plain, unquoted.count(DELIMITER) + 1
 
 
 def joined_lines(lines: list[str], n_columns: int) -> Iterator[tuple[str, str | None]]:

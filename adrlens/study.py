@@ -6,7 +6,7 @@ literal column expressions, so no dictionary is ever joined or shipped as a tabl
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 # Cohort labels, in the order in which a case is looked up (first match wins).
 MONO = "HBV_MONO"
@@ -27,6 +27,9 @@ class SignalThresholds:
     min_cases: int = 3
 
 
+MOST_CLASSES = 61
+
+
 @dataclass(frozen=True)
 class Study:
     """Dictionaries of one study; every name is matched upper-cased."""
@@ -45,6 +48,11 @@ class Study:
     thresholds: SignalThresholds = SignalThresholds()
     match: str = "substring"  # or "word"
 
+    def __post_init__(self):
+        if len(self.drug_classes) > MOST_CLASSES:
+            raise ValueError(f"a study can have {MOST_CLASSES} drug classes, this one has {len(self.drug_classes)}: "
+                             "the classes and two further drug groups of a case are bits of one long integer")
+
     @property
     def labels(self) -> list[str]:
         return [f"adr_{c}" for c in self.adr_categories]
@@ -198,3 +206,8 @@ STAR_STUDY = Study(
         "small": "Review small events as reported.",
     },
 )
+
+#: Rare classes and a common second drug group: cells too small to count, no or few cases alone.
+RARE_STUDY = replace(
+    STAR_STUDY, drug_classes={c: (c,) for c in ("HOT GIZMO", "OLD GIZMO", "NEW GIZMO")},
+    hiv_drugs=("RING", "GEAR", "ROD", "BOLT", "PLATE", "WIDGET", "ANVIL"))

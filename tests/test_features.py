@@ -1,5 +1,7 @@
 """Feature tables at both grains on handmade rows."""
 
+import statistics
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +98,33 @@ def test_distributions_count_cases_assignments_and_patient_classes(tables):
     assert got["polypharmacy_category"] == {"3-5_drugs": 1, "1-2_drugs": 2}
     assert got["cohort"] == {"HBV_MONO": 2, "HBV_AUTOIMMUNE": 1, "HBV_OTHER": 2}
     assert got["drug_class"] == {"TENOFOVIR": 1, "LAMIVUDINE": 1}  # case 3 has no reaction
+
+
+@pytest.mark.parametrize("values", [[], [None], [3.0], [1.0, 2.0], [5.0, 1.0, 1.0, 9.0], [2.5] * 7,
+                                    [i * i % 97 / 7 for i in range(500)], [1.0] * 300 + [1e9, 2.0, 3.0],
+                                    [-1e-9, 0.0, 1e-9, 1e12]])
+def test_median(spark, values, monkeypatch):
+    known = [v for v in values if v is not None]
+    for bins in (2, 4096):
+        monkeypatch.setattr(features, "MEDIAN_BINS", bins)
+        got = features.median_of(spark.createDataFrame([(v,) for v in values], "x double"), "x")
+        assert got == (statistics.median(known) if known else None)
+
+
+def test_rows_without_an_id_have_no_features(make_tables, scores):
+    made = make_tables(demo=[dict(primaryid=None, caseid="9"), dict(primaryid="1", caseid="1")],
+                       drug=[dict(primaryid=None, drugname="Viread")], reac=[dict(primaryid=None, pt="x")])
+    made = made.map(lambda n, df: cases.clean_demographics(df) if n == "demo" else df)
+    for build in (features.case_drug_features, features.case_features):
+        assert rows(build(made, scores, STUDY), "primaryid") == [("1",)]
+
+
+def test_facts_from_counts_equal_pair_facts(tables):
+    exposed = pairs.exposed_cases_of(tables, STUDY)
+    counted = pairs.facts_from_counts(pairs.reaction_counts(tables.reac), exposed)
+    plain = pairs.pair_facts(tables.reac, exposed)
+    assert rows(counted.select(plain.columns)) == rows(plain)
+    for few in (0, 100):
+        kept = pairs.of_exposed(tables.reac, exposed, few)
+        assert rows(pairs.pair_facts(kept, exposed)) == rows(plain)
+        assert (kept.count() < tables.reac.count()) == (few == 100)

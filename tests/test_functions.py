@@ -110,7 +110,7 @@ def test_two_group_test(spark):
     df = spark.createDataFrame([(12, 100, 30, 100), (4, 100, 30, 100), (50, 100, 50, 100)],
                                "k1 long, n1 long, k2 long, n2 long")
     chi2 = association.yates_chi2(*[F.col(c) for c in df.columns])
-    got = df.select(chi2.alias("chi2")).withColumn("p", association.chi2_p_value("chi2")).collect()
+    got = df.select(chi2.alias("chi2")).withColumn("p", association.chi2_p_value(F.col("chi2"))).collect()
     assert tuple(got[0]) == pytest.approx((8.710066305003014, 0.0031645769736923916), rel=1e-12)
     assert tuple(got[1]) == (None, None)
     assert tuple(got[2]) == pytest.approx((0.0, 1.0))
@@ -162,3 +162,18 @@ def test_feature_columns():
 
 def test_rows_helper(spark):
     assert rows(spark.range(3)) == [(0,), (1,), (2,)]
+
+
+def test_p_value_against_erfc(spark):
+    values = [0.0, 1e-12, 1e-3, 0.4394531, *(i * 0.13 for i in range(1, 400)), *(float(i) for i in range(53, 701))]
+    got = spark.createDataFrame([(x,) for x in [*values, None]], "x double").select(
+        "x", association.chi2_p_value(F.col("x")).alias("p")).collect()
+    assert got[-1]["p"] is None
+    for row in got[:-1]:
+        want = math.erfc(math.sqrt(row["x"] / 2))
+        assert abs(row["p"] - want) <= 1e-12 * want
+
+
+def test_white_space_of_any_kind_is_trimmed(spark):
+    df = spark.createDataFrame([("\tF\t",), (" m\n",), ("\u00a0f",), (None,)], "x string")
+    assert [r[0] for r in df.select(cleaning.tidy_code(F.col("x"))).collect()] == ["F", "M", "F", None]

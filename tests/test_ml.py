@@ -1,5 +1,6 @@
 """Split, ladder, metrics, training and scoring."""
 
+import dataclasses
 import random
 
 import pytest
@@ -172,3 +173,20 @@ def test_scoring(spark, trained):
     summary = {r.profile_id: r for r in scoring.risk_summary(scored, STUDY).collect()}
     assert summary["a"].action == "Action Required" and "Bone Tooth" in summary["a"].high_risks
     assert summary["b"].high_risks == "" and summary["b"].action != "Action Required"
+
+
+def test_no_auc_where_a_side_lacks_a_class(spark):
+    data = [(False, "a|test", y, s, int(s > 0.5)) for y, s in ((1, 0.9), (0, 0.1))]
+    data += [(True, "a|test", 0, s, int(s > 0.5)) for s in (0.2, 0.7)]
+    data += [(side, "b", y, s, int(s > 0.5)) for side in (False, True) for y, s in ((1, 0.8), (0, 0.3))]
+    table = {r["category"]: r for r in ml.evaluate(spark.createDataFrame(
+        data, "is_test boolean, label string, y int, score double, prediction int")).collect()}
+    assert [table["a|test"][c] for c in ("train_auc", "train_auc_probability", "test_auc")] == [0.0, 0.0, 0.0]
+    assert [table["b"][c] for c in ("train_auc", "train_auc_probability", "test_auc")] == [1.0, 1.0, 1.0]
+
+
+def test_a_study_has_a_limit_of_classes():
+    classes = {f"C{i}": (f"C{i}",) for i in range(62)}
+    with pytest.raises(ValueError, match="61 drug classes"):
+        dataclasses.replace(STUDY, drug_classes=classes)
+    dataclasses.replace(STUDY, drug_classes=dict(list(classes.items())[:61]))

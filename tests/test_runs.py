@@ -1,7 +1,10 @@
 """The whole way from report files to scores, on reports written from the test tables."""
 
+from pathlib import Path
+
 import pytest
 
+from adrlens import session
 from adrlens.operators import cases, ml
 from adrlens.plans import queries as q, runs
 from adrlens.sources.report_files import write_report_files
@@ -10,6 +13,10 @@ from adrlens.study import STAR_STUDY as STUDY
 from conftest import SMALL, rows
 
 
+def files_in(folder):
+    return {str(p) for p in Path(folder.removeprefix("file:")).rglob("part-*")}
+
+
 @pytest.fixture(scope="module")
 def extracted(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("runs")
@@ -31,8 +38,16 @@ def test_extraction(spark, extracted):
         ("outc", "1995 Q1", "too_many_fields", 1)]
 
 
+def test_records_of_the_extraction(spark, extracted):
+    base, tables = extracted
+    before, after, removed = rows(spark.read.parquet(f"{base}/cases/dedupe_counts"))[0]
+    assert (after, removed) == (tables.demo.count(), before - after) and removed > 0
+    assert spark.read.parquet(f"{base}/cases/skipped_files").count() == 0
+
+
 def test_analysis_features_training_scoring(spark, extracted):
     base, tables = extracted
+    left = files_in(session.shared_folder(spark))
     runs.run_analysis(tables, f"{base}/analysis", STUDY)
     runs.run_charts(spark, f"{base}/analysis", f"{base}/charts")
     assert runs.derived(spark, f"{base}/analysis", "all_signals").count() > 0
@@ -54,3 +69,4 @@ def test_analysis_features_training_scoring(spark, extracted):
     orders = spark.read.parquet(f"{SMALL}/orders.parquet").count()
     assert spark.read.parquet(f"{base}/scored/risks").count() == 5 * orders
     assert spark.read.parquet(f"{base}/scored/summary").count() == orders
+    assert files_in(session.shared_folder(spark)) <= left  # intermediate tables are gone

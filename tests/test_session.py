@@ -45,3 +45,18 @@ def test_tables_are_built_on_first_use(spark):
         tables.other
     with pytest.raises(ValueError):
         CaseTables(demo=spark.range(1))
+
+
+def test_intermediates_go_with_their_owner(spark):
+    with session.intermediates(spark):
+        kept = session.materialise(spark.range(5), "kept")
+        with pytest.raises(ZeroDivisionError):
+            with session.intermediates(spark):
+                inner = session.materialise(spark.range(3), "inner")
+                1 / 0
+        assert kept.count() == 5
+        with pytest.raises(Exception, match="FILE_NOT_EXIST|PATH_NOT_FOUND|does not exist"):
+            spark.read.parquet(inner.inputFiles()[0]).count()
+        path = kept.inputFiles()[0]
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path).count()
