@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -12,14 +14,31 @@ from adrlens.session import new_shared_path
 SLICE_CHARS = 1 << 21  # characters handled at once inside a task
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame, written to the shared folder and read back: several jobs read it, lineage ends."""
+def written(df: DataFrame, name: str, release: bool = False) -> DataFrame:
+    """The frame, written to the shared folder and read back: several jobs read it, lineage ends.
+
+    ``release`` asks Spark to drop the shuffle files of finished jobs, for a job that shuffled
+    much, so that the next one has the disk.
+    """
     spark = df.sparkSession
     path = new_shared_path(spark, name)
     df.write.parquet(path)
+    if release:
+        release_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession, pause: float = 0.5) -> None:
+    """Spark's cleaner removes shuffle files once the driver has collected what refers to them.
+
+    The last job's events still do so for a moment, hence the pause before.
+    """
+    for _ in range(2):
+        gc.collect()
+        time.sleep(pause)
+        spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

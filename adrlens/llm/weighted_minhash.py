@@ -10,8 +10,8 @@
 3. Documents with the same words in the same order are one class from here on.  In every bucket
    of a band all classes are paired with the smallest; pairs are verified by the exact weighted
    Jaccard similarity, links form components.  Where a bucket then still holds classes of
-   different components, these pairs are verified too, so no pair that shares a key is lost
-   unless its classes are linked already.
+   different components, all its weighted sets meet in an inverted index, so no pair that
+   shares a key is lost unless its classes are linked already; only links leave the task.
 
 Random numbers of a shingle come from a table of fixed seed, by some bits of its hash; a draw
 is the shingle itself with its step, so shingles sharing a row are not taken for each other.
@@ -32,13 +32,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from adrlens.llm.common import join_small, parts_for, written
+from adrlens.llm.common import join_small, parts_for, ranges, written
 from adrlens.llm.components import components
 from adrlens.llm.shingles import Shingler, mix, pack_sorted, unpack_sorted
 
 BLOCK_CHARS = 1 << 23  # text of a block
 BUCKET_CHARS = 1 << 23  # text whose shingles fall into a bucket
 SLOTS = 1 << 15
+BUCKET_SHINGLES = 1 << 21  # shingles of a bucket that meet in one task
 FEW = 500_000  # ids that may be broadcast
 
 
@@ -212,6 +213,62 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return flat.mapInArrow(check, "a long, b long")
 
 
+def bucket_links(frame: pd.DataFrame, least: float) -> pd.DataFrame:
+    """Links (a, b) that join the components of one bucket, at most one less than it has rows.
+
+    An inverted index gives a row's shared weight with all others at once.  Every pair of two
+    components has a row outside the largest of them, so only those rows are compared.
+    """
+    nodes, label = frame["node"].to_numpy(), frame["component"].to_numpy().copy()
+    sets = [np.frombuffer(s, "<u8") for s in frame["shingles"]]
+    sizes = np.array([len(s) for s in sets])
+    weight = np.concatenate([np.frombuffer(w, "<f4") for w in frame["weights"]]).astype(np.float64)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    total = np.bincount(row, weight, len(sets))
+    hashes = np.concatenate(sets)
+    order = np.argsort(hashes, kind="stable")
+    first = np.flatnonzero(np.r_[True, hashes[order][1:] != hashes[order][:-1]])
+    length = np.diff(first, append=len(order))
+    group = np.empty(len(order), np.int64)
+    group[order] = np.repeat(np.arange(len(first)), length)
+    there, there_weight = row[order], weight[order]
+    ends, found = np.cumsum(sizes), []
+    names, members = np.unique(label, return_counts=True)
+    for i in np.flatnonzero(label != names[members.argmax()]):
+        own = np.arange(ends[i] - sizes[i], ends[i])
+        own = own[length[group[own]] > 1]
+        times = length[group[own]]
+        at = ranges(first[group[own]], times)
+        shared = np.bincount(there[at], np.minimum(there_weight[at], np.repeat(weight[own], times)), len(sets))
+        for j in np.flatnonzero(shared >= least * (total[i] + total - shared)):
+            if label[i] != label[j]:
+                found.append((nodes[i], nodes[j]))
+                label[label == label[j]] = label[i]
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+def links_across(members: DataFrame, groups: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between different components that share a bucket.
+
+    A bucket's weighted sets meet in one task; a bucket of more than ``BUCKET_SHINGLES`` is dealt
+    into blocks of which every two meet.
+    """
+    placed = written(members.join(groups, "node", "left")
+                     .select("key", "node", F.coalesce("component", "node").alias("component")), "placed")
+    sized = sets.select(F.col("id").alias("node"), (F.length("shingles") / 8).cast("long").alias("size"))
+    mixed = written(placed.join(sized, "node").groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.ceil(F.sum("size") / BUCKET_SHINGLES).cast("int").alias("blocks"))
+        .where("low < high").select("key", "blocks"), "mixed")
+    dealt = (placed.join(mixed, "key")
+             .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("key", "node", "component", F.least("block", "other").alias("one"),
+                     F.greatest("block", "other").alias("two")))
+    return (dealt.join(sets.withColumnRenamed("id", "node"), "node").groupBy("key", "one", "two")
+            .applyInPandas(lambda frame: bucket_links(frame, least), "a long, b long"))
+
+
 def near_duplicates(docs: DataFrame, config: Sampling = Sampling(), id_column: str = "doc_id",
                     text_column: str = "text") -> DataFrame:
     """(id, class_id, kept) of every row; the class is named by its smallest id."""
@@ -222,8 +279,8 @@ def near_duplicates(docs: DataFrame, config: Sampling = Sampling(), id_column: s
     n_blocks = parts_for(spark, size["chars"], BLOCK_CHARS)
     n_buckets = parts_for(spark, size["chars"], BUCKET_CHARS)
     blocks = _blocks(texts, n_blocks)
-    counts = written(document_counts(blocks, config.words, n_buckets), "shingle-counts")
-    signed = written(signatures(blocks, counts, size["n"], config), "signatures")
+    counts = written(document_counts(blocks, config.words, n_buckets), "shingle-counts", release=True)
+    signed = written(signatures(blocks, counts, size["n"], config), "signatures", release=True)
 
     classes = written(signed.groupBy("words", "size").agg(F.min("id").alias("node"), F.min_by("keys", "id").alias("keys")),
                       "classes")
@@ -233,24 +290,15 @@ def near_duplicates(docs: DataFrame, config: Sampling = Sampling(), id_column: s
     members = written(keyed.join(buckets, "key").select("key", "first", "node"), "buckets")
     some = written(members.select("node").distinct().select(F.col("node").alias("id")), "candidates")
     chosen = _blocks(join_small(texts, some, "id", "left_semi", FEW), n_blocks)
-    sets = written(weighted_sets(chosen, counts, size["n"], config.words).dropDuplicates(["id"]), "weighted-sets")
+    sets = written(weighted_sets(chosen, counts, size["n"], config.words).dropDuplicates(["id"]), "weighted-sets", release=True)
 
     stars = written(members.where("first != node").select(F.col("first").alias("a"), F.col("node").alias("b"))
                     .distinct(), "pairs")
-    links = written(verified(stars, sets, config.similarity), "links")
+    links = written(verified(stars, sets, config.similarity), "links", release=True)
     groups = written(components(links), "components")
-    placed = written(members.join(groups, "node", "left")
-                     .select("key", "node", F.coalesce("component", "node").alias("component")), "placed")
-    mixed = (placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-             .where("low < high").select("key"))
-    open_ = placed.join(mixed, "key", "left_semi")
-    rest = (open_.select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
-            .join(open_.select("key", F.col("node").alias("b"), F.col("component").alias("cb")), "key")
-            .where("a < b and ca != cb").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"))
-    rest = written(rest, "pairs")
-    if not rest.isEmpty():
-        links = links.unionByName(verified(rest, sets, config.similarity))
-        groups = written(components(links), "components")
+    more = written(links_across(members, groups, sets, config.similarity), "links", release=True)
+    if not more.isEmpty():
+        groups = written(components(links.unionByName(more)), "components")
 
     named = written(classes.join(groups, "node", "left")
                     .select("words", "size", F.coalesce("component", "node").alias("class_id")), "class-names")

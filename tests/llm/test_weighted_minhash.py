@@ -80,6 +80,29 @@ def test_copies_near_copies_and_chains(spark, frame):
     assert found(wm.near_duplicates(frame(rows))) == want
 
 
+@pytest.mark.parametrize("limit", [3_000, 1 << 21])
+def test_group_whose_members_are_not_like_the_first(frame, monkeypatch, limit):
+    """A ring of documents: each is near its neighbours only."""
+    monkeypatch.setattr(wm, "BUCKET_SHINGLES", limit)
+    vocabulary = [f"v{i}" for i in range(4000)]
+    rows = [(i, " ".join(vocabulary[j % 600] for j in range(i * 5, i * 5 + 100))) for i in range(120)]
+    rows += [(500 + i, " ".join(vocabulary[1000 + 100 * i:1080 + 100 * i] + vocabulary[900:920])) for i in range(20)]
+    assert found(wm.near_duplicates(frame(rows))) == classes(rows)
+
+
+def test_links_of_a_bucket():
+    import pandas as pd
+
+    sets = [{1, 2, 3, 4, 5, 6, 7, 8, 9}, {1, 2, 3, 4, 5, 6, 7, 8}, {1, 2, 3, 4, 5, 6, 7}, {1, 20}, {1, 20, 21}]
+    frame = pd.DataFrame({
+        "node": range(5), "component": [0, 1, 2, 0, 4],
+        "shingles": [np.array(sorted(s), "<u8").tobytes() for s in sets],
+        "weights": [np.ones(len(s), "<f4").tobytes() for s in sets]})
+    got = wm.bucket_links(frame, 0.8)
+    assert sorted(map(tuple, map(sorted, got.to_numpy().tolist()))) in ([(0, 1), (1, 2)], [(0, 1), (0, 2)])
+    assert len(wm.bucket_links(frame, 0.6)) == 3
+
+
 def test_one_of_each_stays(spark):
     rows = [(3, "a b c d e f g", "x"), (1, "A b, c d e f g!", "y"), (1, "A b, c d e f g!", "y"), (2, "other words", "z"),
             (2, "other words", "z"), (None, "a b c d e f g", "n"), (None, "a b c d e f g", "n"), (5, None, None), (6, "", None)]
