@@ -28,7 +28,6 @@ CAPACITY = 700_000
 CHUNK_CHARS = 16
 TAIL = ",.!?;:"
 JOINED = 100  # chunks given to the library as one text
-SIGN = "|"
 FIRST = chr(2)  # before the first chunk of a text, which has no blank in front
 
 #: White space and invisible separators other than the blank and the line end.
@@ -238,39 +237,65 @@ def joined_encoder(path: str, spaced: bool) -> Encoder:
     """Encoder of chunks that gives the library ``JOINED`` of them as one text.
 
     Chunks that keep their white space are joined as they are; each begins where a token begins
-    with white space.  Others are joined by a sign that stands alone.  Groups whose ids do not
-    fall into as many parts as there are chunks go one by one.
+    with white space.  Of the others, those of letters only are single pre-tokens; they are
+    joined by blanks and each ends where a token ends a word.  Groups of letters below U+0100 in
+    lower case need no normalising.  Chunks with other signs, and groups whose ids do not fall
+    into as many parts as there are chunks, go one by one.
     """
     tokenizer, encode = library(path), library_encoder(path)
-    sign = encode([SIGN])[0][0]
     vocabulary = tokenizer.get_vocab()
-    heads = np.zeros(1 + max(vocabulary.values()), bool)
-    space = (chr(0x100 + ord(" ")), chr(0x100 + ord("\n")))  # as byte-level vocabularies write them
-    heads[[i for token, i in vocabulary.items() if token[:1] in space]] = True
+    marks = np.zeros(1 + max(vocabulary.values()), bool)
+    if spaced:
+        space = (chr(0x100 + ord(" ")), chr(0x100 + ord("\n")))  # as byte-level vocabularies write them
+        marks[[i for token, i in vocabulary.items() if token[:1] in space]] = True
+    else:
+        marks[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+    bare = _bare(path)
 
-    def encode_joined(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def parts(group: list[str], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.flatnonzero(marks[ids])
+        if len(at) != len(group):
+            return encode(group)
+        return ids, np.diff(at, append=len(ids)) if spaced else np.diff(at, prepend=-1)
+
+    def encode_groups(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         groups = [chunks[i:i + JOINED] for i in range(0, len(chunks), JOINED)]
-        texts = ["".join(g) if spaced else f" {SIGN} ".join(g) for g in groups]
-        parts, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
-        for group, text, found in zip(groups, texts, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(found.ids, np.int32)
-            if spaced:
-                at = np.flatnonzero(heads[ids])
-                fits, counts = len(at) == len(group) and not at[0], np.diff(at, append=len(ids))
-            else:
-                at = np.flatnonzero(ids == sign)
-                fits = len(at) == len(group) - 1 == text.count(SIGN)
-                counts = np.diff(at, prepend=-1, append=len(ids)) - 1
-                ids = ids[ids != sign]
-            if not fits:
-                ids, counts = encode(group)
-            parts.append(ids)
-            sizes.append(counts)
-        return np.concatenate(parts), np.concatenate(sizes)
+        texts = [("" if spaced else " ").join(g) for g in groups]
+        plain = [not spaced and _folded(t) for t in texts]
+        found = [iter(tool.encode_batch_fast([t for t, p in zip(texts, plain) if p == kind], add_special_tokens=False))
+                 for tool, kind in ((tokenizer, False), (bare, True))]
+        cut = [parts(group, np.array(next(found[p]).ids, np.int32)) for group, p in zip(groups, plain)]
+        return (np.concatenate([np.empty(0, np.int32), *(c[0] for c in cut)]),
+                np.concatenate([np.empty(0, np.int64), *(c[1] for c in cut)]))
+
+    def encode_joined(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if spaced:
+            return encode_groups(chunks)
+        letters = np.fromiter(map(str.isalpha, chunks), bool, len(chunks))
+        others = encode([chunks[i] for i in np.flatnonzero(~letters)])
+        if letters.any():
+            return _merged(letters, encode_groups([chunks[i] for i in np.flatnonzero(letters)]), others)
+        return others
 
     return encode_joined
 
 
+def _folded(text: str) -> bool:
+    """Whether lower case and composition leave a text as it is, character by character."""
+    return (text.isascii() or max(text) < chr(0x100)) and text == text.lower()
+
+
+def _bare(path: str):
+    """The tokenizer without its normaliser."""
+    from tokenizers import Tokenizer, normalizers
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    tokenizer.normalizer = normalizers.Sequence([])
+    return tokenizer
+
+
 @lru_cache(maxsize=2)
 def text_encoder(path: str, spaced: bool) -> TextEncoder:
     """Encoder of this worker, kept with its chunks for the tasks that follow."""

@@ -52,8 +52,7 @@ def op2_wavelet_tokens(spark, sf_dir):
     """Documents read back from wavelet-matrix token files."""
     path = new_shared_path(spark, "token-files")
     wavelet.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer(WORD_BPE), END_ID)
-    documents = (wavelet.read_documents(spark, path)
-                 .withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    documents = wavelet.read_documents(spark, path, digests=True)
     return (wavelet.with_starts(documents, wavelet.read_shards(spark, path))
             .select("doc_id", "start", "n_tokens", "ids_crc32"))
 

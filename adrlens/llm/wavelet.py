@@ -16,6 +16,7 @@ document ids stay next to each other; an empty table gives no shards.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -25,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, ty
 from adrlens.llm.chunks import keeps_space, text_encoder
 from adrlens.llm.common import parts_for, written
 
-SHARD_TOKENS = 1 << 21
+SHARD_TOKENS = 1 << 17  # planes and positions of a shard stay in a core's cache
+PART_TOKENS = 1 << 22  # ids of one task, some shards
 BLOCK = 512  # bits between two stored counts of set bits
 
 
@@ -42,11 +44,14 @@ class WaveletMatrix:
         ids = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         planes, zeros = [], []
         for bit in range(bits - 1, -1, -1):
-            on = (ids >> bit & 1).astype(bool)
+            on = (ids & ids.dtype.type(1 << bit)) != 0
+            low = len(ids) - int(np.count_nonzero(on))
+            below = np.empty_like(ids)
+            np.compress(~on, ids, out=below[:low])
+            np.compress(on, ids, out=below[low:])
             planes.append(np.packbits(on).tobytes())
-            low = ids[~on]
-            zeros.append(len(low))
-            ids = np.concatenate([low, ids[on]])
+            zeros.append(low)
+            ids = below
         return cls(planes, zeros, len(ids))
 
     def ids(self) -> np.ndarray:
@@ -55,8 +60,9 @@ class WaveletMatrix:
         for bit, (packed, zeros) in enumerate(zip(reversed(self.packed), reversed(self.zeros))):
             on = np.unpackbits(packed, count=self.size).view(bool)
             below, out = out, np.empty_like(out)
-            out[~on] = below[:zeros]
-            out[on] = below[zeros:] | out.dtype.type(1 << bit)
+            below[zeros:] |= out.dtype.type(1 << bit)
+            out[np.flatnonzero(~on)] = below[:zeros]
+            out[np.flatnonzero(on)] = below[zeros:]
         return out
 
     def _ones(self, plane: int, at: int) -> int:
@@ -169,7 +175,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int,
     total = encoded.agg(F.sum("n_tokens")).first()[0] or 0
     ordered = (encoded.withColumn("doc_id", F.col("doc_id").cast("long"))
                .withColumn("tie", F.xxhash64("ids"))
-               .repartitionByRange(parts_for(spark, total, 2 * shard_tokens), "doc_id", "tie")
+               .repartitionByRange(parts_for(spark, total, PART_TOKENS), "doc_id", "tie")
                .sortWithinPartitions("doc_id", "tie")
                .select("doc_id", "width", "ids", F.spark_partition_id().alias("part")))
 
@@ -211,23 +217,30 @@ def _matrix(row: dict) -> WaveletMatrix:
     return WaveletMatrix(row["planes"], row["zeros"], row["n_tokens"])
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of every document, from the files: 32-bit little-endian ids."""
+def read_documents(spark: SparkSession, path: str, digests: bool = False) -> DataFrame:
+    """(doc_id, part, shard, own, n_tokens, ids) of every document, from the files.
+
+    ``own``: tokens before it in its shard; ids as 32-bit little-endian numbers.  With
+    ``digests`` the ids stay in their task and ids_crc32 takes their place.
+    """
     shards = read_shards(spark, path)
+    last, kind = ("ids_crc32", pa.int64()) if digests else ("ids", pa.binary())
+    keep = zlib.crc32 if digests else bytes
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                raw, lengths = _matrix(row).ids().astype("<u4").tobytes(), np.array(row["lengths"], np.int64)
-                ends = np.cumsum(lengths)
+                ids, lengths = _matrix(row).ids().astype("<u4"), np.array(row["lengths"], np.int64)
+                raw, ends = memoryview(ids).cast("B"), np.cumsum(lengths)
+                own = [keep(raw[4 * (end - n):4 * end]) for end, n in zip(ends.tolist(), row["lengths"])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["doc_ids"], pa.int64()), pa.array([row["part"]] * len(ends), pa.int32()),
                      pa.array([row["shard"]] * len(ends), pa.int32()), pa.array(ends - lengths, pa.int64()),
-                     pa.array(lengths, pa.int64()),
-                     pa.array([raw[4 * (e - n):4 * e] for e, n in zip(ends.tolist(), row["lengths"])], pa.binary())],
-                    ["doc_id", "part", "shard", "own", "n_tokens", "ids"])
+                     pa.array(lengths, pa.int64()), pa.array(own, kind)],
+                    ["doc_id", "part", "shard", "own", "n_tokens", last])
 
-    return shards.mapInArrow(decode, "doc_id long, part int, shard int, own long, n_tokens long, ids binary")
+    return shards.mapInArrow(decode, "doc_id long, part int, shard int, own long, n_tokens long, "
+                             + ("ids_crc32 long" if digests else "ids binary"))
 
 
 def with_starts(documents: DataFrame, shards: DataFrame) -> DataFrame:
