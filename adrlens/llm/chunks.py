@@ -21,10 +21,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from adrlens.llm.common import ranges
+from adrlens.llm.common import kept_by_worker, ranges
 
 SLICE_BYTES = 1 << 22  # text handled at once inside a task
-CAPACITY = 700_000
+CAPACITY = 600_000
 CHUNK_CHARS = 16
 TAIL = ",.!?;:"
 JOINED = 100  # chunks given to the library as one text
@@ -296,10 +296,10 @@ def _bare(path: str):
     return tokenizer
 
 
-@lru_cache(maxsize=2)
 def text_encoder(path: str, spaced: bool) -> TextEncoder:
     """Encoder of this worker, kept with its chunks for the tasks that follow."""
-    return TextEncoder(library_encoder(path), spaced, joined_encoder(path, spaced))
+    return kept_by_worker(("chunks", path, spaced), lambda: TextEncoder(
+        library_encoder(path), spaced, joined_encoder(path, spaced)))
 
 
 def keeps_space(path: str) -> bool:

@@ -4,13 +4,25 @@ from __future__ import annotations
 
 import gc
 import time
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adrlens.session import new_shared_path
 
+_KEPT: dict[tuple, object] = {}
+
+
+def kept_by_worker(key: tuple, build: Callable[[], object]) -> object:
+    """What ``build`` gives, kept for the worker's next tasks; only the latest key's is kept, so
+    that the memories of successive operators do not add up in one worker."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
 SLICE_CHARS = 1 << 21  # characters handled at once inside a task
 
 

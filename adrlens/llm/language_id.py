@@ -22,11 +22,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from adrlens.llm.common import free_name, text_slices
+from adrlens.llm.chunks import array_slices
+from adrlens.llm.common import free_name, kept_by_worker, text_slices
 
 UNKNOWN = "und"
 WORD_BYTES = 32
-CAPACITY = 500_000
+CAPACITY = 300_000
 BATCH = 4_096  # words read side by side
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -241,17 +242,6 @@ class Reader:
                 yield self.model.languages[best], min(1.0, float(total[best] / total[-1]))
 
 
-_READERS: dict[int, Reader] = {}
-
-
-def _reader(key: int, model: Model) -> Reader:
-    """Reader of this worker for the model, kept for the tasks that follow."""
-    if key not in _READERS:
-        _READERS.clear()
-        _READERS[key] = Reader(model)
-    return _READERS[key]
-
-
 def held_out(id_: Column, parts: int = 4, part: int = 2) -> Column:
     """Whether a document is kept from training: crc32 of its id as text, modulo ``parts``."""
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % parts == part, F.lit(False))
@@ -287,9 +277,9 @@ def classify(docs: DataFrame, model: Model, text_column: str = "text", language:
                            T.StructField(score, T.DoubleType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _reader(key, shared.value)
+        reader = kept_by_worker(("language", key), lambda: Reader(shared.value))
         for batch in batches:
-            found = list(reader.predict([t or "" for t in batch.column(at).to_pylist()]))
+            found = [f for own in array_slices(batch.column(at)) for f in reader.predict(own.to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64())], schema.names)
