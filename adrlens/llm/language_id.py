@@ -9,10 +9,14 @@ bounded by ``CAPACITY`` words.  A word longer than ``WORD_BYTES`` is read in par
 Defined results: a text that is null or has no letter is ``und`` with score 0; without labelled
 rows every text is ``und``; ties between languages go to the first in alphabetical order; the
 whole text is read, whatever its length.
+
+``accepted`` leaves out texts in none of the trained languages: their score falls behind what
+pieces of labelled held-out documents of as many positions reach (``least_scores``).
 """
 
 from __future__ import annotations
 
+import random
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -23,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from adrlens.llm.chunks import array_slices
-from adrlens.llm.common import free_name, kept_by_worker, text_slices
+from adrlens.llm.common import kept_by_worker, text_slices
 
 UNKNOWN = "und"
 WORD_BYTES = 32
 CAPACITY = 300_000
 BATCH = 4_096  # words read side by side
 LETTER = re.compile(r"[^\W\d_]")
+SIZES = 48  # classes of positions, by powers of two
+LEAST_PIECES = 100  # of a class; with fewer, the bound of shorter texts holds
 
 
 @dataclass(frozen=True)
@@ -38,6 +44,7 @@ class Training:
 
     documents: int = 1_500
     characters: int = 4_000
+    judged: int = 2_000  # held-out documents for ``least_scores``
     hidden: int = 16
     steps: int = 400
     words: int = 512
@@ -228,18 +235,65 @@ class Reader:
         return numbers
 
     def predict(self, texts: Sequence[str]) -> Iterator[tuple[str, float]]:
+        return ((language, score) for language, score, _ in self.judge(texts))
+
+    def accept(self, texts: Sequence[str], least: Sequence[float]) -> Iterator[bool]:
+        """Whether a text has a letter and its score reaches the bound of its size."""
+        return (language != UNKNOWN and score >= least[size_of(positions)]
+                for language, score, positions in self.judge(texts))
+
+    def judge(self, texts: Sequence[str]) -> Iterator[tuple[str, float, int]]:
+        """(language, score, positions) of each text."""
         for begin, end in text_slices(texts):
             words = [split_words(t) if self.model.network and LETTER.search(t) else [] for t in texts[begin:end]]
             numbers = self._numbers([w for own in words for w in own])
             at = 0
             for own in words:
                 if not own:
-                    yield UNKNOWN, 0.0
+                    yield UNKNOWN, 0.0, 0
                     continue
                 total = self.sums[numbers[at:at + len(own)]].sum(0, dtype=np.float64)
                 at += len(own)
                 best = int(total[:-1].argmax())
-                yield self.model.languages[best], min(1.0, float(total[best] / total[-1]))
+                yield self.model.languages[best], min(1.0, float(total[best] / total[-1])), int(total[-1])
+
+
+def size_of(positions: int) -> int:
+    return min(positions.bit_length(), SIZES - 1)
+
+
+def runs_of_words(text: str) -> Iterator[str]:
+    """The text, and runs of 1, 2, 4, ... of its words from anywhere in it."""
+    words, draw, count = split_words(text), random.Random(text), 1
+    while count < len(words):
+        begin = draw.randrange(len(words) - count + 1)
+        yield " ".join(words[begin:begin + count])
+        count *= 2
+    yield text
+
+
+def lowest_scores(model: Model, texts: Sequence[str]) -> list[float]:
+    """Per size the score that a text must reach, from labelled texts the model has not seen.
+
+    It lies midway between chance and the worst piece of that size or of any larger one, so it
+    rises with the size.
+    """
+    found: list[list[float]] = [[] for _ in range(SIZES)]
+    if model.network:
+        for language, score, positions in Reader(model).judge([p for t in texts for p in runs_of_words(t)]):
+            if language != UNKNOWN:
+                found[size_of(positions)].append(score)
+    worst, chance = 1.0, 1 / max(1, len(model.languages))
+    least: list[float | None] = [None] * SIZES
+    for size in range(SIZES - 1, -1, -1):
+        worst = min([worst, *found[size]])
+        if len(found[size]) >= LEAST_PIECES:
+            least[size] = (worst + chance) / 2 - 1e-3  # for rounding
+    bound, out = 0.0, []
+    for own in least:
+        bound = bound if own is None else max(0.0, own)
+        out.append(bound)
+    return out
 
 
 def held_out(id_: Column, parts: int = 4, part: int = 2) -> Column:
@@ -247,21 +301,37 @@ def held_out(id_: Column, parts: int = 4, part: int = 2) -> Column:
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
+def _sample(docs: DataFrame, kept: Column, documents: int, characters: int, id_column: str, text_column: str,
+            label_column: str) -> list:
+    """Texts and labels of a bounded sample of labelled documents, the same on every run."""
+    rows = (docs.where(F.col(label_column).isNotNull() & F.col(text_column).isNotNull() & F.col(id_column).isNotNull()
+                       & kept)
+            .select(F.xxhash64(id_column).alias("order"), F.col(id_column).alias("id"))
+            .orderBy("order", "id").limit(documents))
+    few = F.broadcast(rows.select(F.col("id").alias(id_column)).distinct())  # at most so many ids
+    return (docs.join(few, id_column, "left_semi").where(F.col(label_column).isNotNull())
+            .select(F.substring(text_column, 1, characters).alias("text"), F.col(label_column).alias("lang"))
+            .orderBy(F.xxhash64("text", "lang"), "text").limit(documents).collect())
+
+
 def learn(docs: DataFrame, training: Training = Training(), id_column: str = "doc_id",
           text_column: str = "text", label_column: str = "lang") -> Model:
     """Model from labelled documents that are not held out; the sample is the same on every run."""
-    rows = (docs.where(F.col(label_column).isNotNull() & F.col(text_column).isNotNull() & F.col(id_column).isNotNull()
-                       & ~held_out(F.col(id_column)))
-            .select(F.xxhash64(id_column).alias("order"), F.col(id_column).alias("id"))
-            .orderBy("order", "id").limit(training.documents))
-    few = F.broadcast(rows.select(F.col("id").alias(id_column)).distinct())  # at most training.documents ids
-    sample = (docs.join(few, id_column, "left_semi").where(F.col(label_column).isNotNull())
-              .select(F.substring(text_column, 1, training.characters).alias("text"),
-                      F.col(label_column).alias("lang"))
-              .orderBy(F.xxhash64("text", "lang"), "text").limit(training.documents).collect())
+    sample = _sample(docs, ~held_out(F.col(id_column)), training.documents, training.characters,
+                     id_column, text_column, label_column)
     return Model.train([r["text"] or "" for r in sample], [r["lang"] for r in sample], training)
 
 
+def least_scores(docs: DataFrame, model: Model, training: Training = Training(), id_column: str = "doc_id",
+                 text_column: str = "text", label_column: str = "lang") -> list[float]:
+    """``lowest_scores`` from labelled documents that are held out."""
+    if not model.network:
+        return [0.0] * SIZES
+    sample = _sample(docs, held_out(F.col(id_column)), training.judged, training.characters,
+                     id_column, text_column, label_column)
+    return lowest_scores(model, [r["text"] or "" for r in sample])
+
+
 def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, lang_pred, score) of every document."""
     own = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
@@ -287,8 +357,16 @@ def classify(docs: DataFrame, model: Model, text_column: str = "text", language:
     return docs.mapInArrow(read, schema)
 
 
-def accepted(docs: DataFrame, model: Model, least_score: float, text_column: str = "text") -> DataFrame:
-    """The documents with a known language whose score is at least ``least_score``."""
-    language, score = free_name(docs.columns, "lang_pred"), free_name(docs.columns, "score")
-    found = classify(docs, model, text_column, language, score)
-    return found.where((F.col(language) != UNKNOWN) & (F.col(score) >= least_score)).drop(language, score)
+def accepted(docs: DataFrame, model: Model, least: Sequence[float], text_column: str = "text") -> DataFrame:
+    """The documents that have a letter and a score of at least the bound of their size (``least_scores``)."""
+    shared = docs.sparkSession.sparkContext.broadcast((model, least))
+    key, at = id(shared), docs.columns.index(text_column)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, least = shared.value
+        reader = kept_by_worker(("accepted", key), lambda: Reader(model))
+        for batch in batches:
+            yield batch.filter(pa.array([good for own in array_slices(batch.column(at))
+                                         for good in reader.accept(own.to_pylist(), least)], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
