@@ -239,6 +239,8 @@ class Reader:
 
     def accept(self, texts: Sequence[str], least: Sequence[float]) -> Iterator[bool]:
         """Whether a text has a letter and its score reaches the bound of its size."""
+        if not self.model.network:
+            return (LETTER.search(t) is not None for t in texts)
         return (language != UNKNOWN and score >= least[size_of(positions)]
                 for language, score, positions in self.judge(texts))
 

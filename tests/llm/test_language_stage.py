@@ -34,6 +34,13 @@ def test_long_foreign_texts_go_and_clean_pieces_stay(spark, docs):
     assert {r["doc_id"] for r in docs.where(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()} <= found
 
 
+def test_without_labels_only_texts_without_letters_go(spark, docs):
+    hard = spark.createDataFrame([(-1, None, None), (-2, "", None), (-3, "12 ... !", None)], docs.schema)
+    some = docs.limit(50).withColumn("lang", F.lit(None).cast("string")).unionByName(hard)
+    found = left(spark, some)
+    assert found == {r["doc_id"] for r in some.where(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
+
+
 def test_bound_rises_with_size_and_needs_many_pieces():
     model = li.Model.train(["the cat sat on it"] * 3 + ["der hund lag da"] * 3, ["en"] * 3 + ["de"] * 3,
                            li.Training(steps=20, hidden=4, words=32))
