@@ -5,6 +5,7 @@ points, cut space into cells: a point's home is the cell of its nearest pivot.
 inequality says which other cells can hold a neighbour: a point is at least
 (d_j^2 - d_i^2) / (2 d(p_i, p_j)) away from everything whose home is cell j, d_i and d_j being
 its distances to its own pivot and to p_j; it is copied to the cells where this is not above eps.
+Of pivots that have one direction (scaled copies) only the first is used.
 Then each cell is joined by itself, homes against members (homes and copies).  Inside a cell a
 home meets only members whose distance to the pivot differs by at most eps.  Homes and members
 of a cell are dealt into blocks of bounded size, each pair of blocks is one task.
@@ -32,6 +33,7 @@ from adrlens.llm.vectors import matrix, usable
 CELL = 16_384  # homes per cell aimed at, and rows per block
 MOST_PIVOTS = 1_024
 SLACK = 1e-9  # for rounding in distances; the cosine itself is compared exactly
+SAME = 1e-2  # pivots closer than this are one direction: between them rounding could decide
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -48,14 +50,26 @@ def assign(points: np.ndarray, pivots: np.ndarray, eps: float) -> tuple[np.ndarr
     far, apart = distances(points, pivots), distances(pivots, pivots)
     home = far.argmin(1)
     own = far[np.arange(len(points)), home][:, None]
-    between = np.maximum(apart[home], 1e-300)
-    away = (np.square(far) - np.square(own)) / (2 * between)
-    near = away <= eps + SLACK
+    between = apart[home]
+    away = (np.square(far) - np.square(own)) / (2 * np.maximum(between, SAME))
+    near = (between < SAME) | (away <= eps + SLACK)
     near[np.arange(len(points)), home] = True
     point, cell = np.nonzero(near)
     return point, cell, home[point] == cell, far[point, cell]
 
 
+def distinct(pivots: list) -> list:
+    """The pivots without those whose direction an earlier one has."""
+    kept: list = []
+    units: dict[int, list[np.ndarray]] = {}
+    for pivot in pivots:
+        own, seen = unit(matrix([pivot])), units.setdefault(len(pivot), [])
+        if not seen or distances(own, np.concatenate(seen)).min() >= SAME:
+            kept.append(pivot)
+            seen.append(own)
+    return kept
+
+
 class Groups:
     """Components of local points, by relabelling."""
 
@@ -111,7 +125,7 @@ def near_duplicates(vectors: DataFrame, cosine: float, id_column: str = "vec_id"
     counted = nodes.count()
     pivots = [r["v"] for r in nodes.orderBy(F.xxhash64("v")).select("v")
               .limit(min(MOST_PIVOTS, max(1, -(-counted // cell)))).collect()]
-    placed = written(_placed(nodes, pivots, eps), "cells")
+    placed = written(_placed(nodes, distinct(pivots), eps), "cells")
     key = ["dims", "cell"]
     blocks = placed.groupBy(key).agg(
         F.ceil(F.count_if("home") / cell).cast("int").alias("hs"),
