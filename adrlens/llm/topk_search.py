@@ -7,13 +7,14 @@ block of dimensions at a time; what the dimensions to come can still add is at m
 of the remaining masses (norms) of query and candidate.  Candidates whose bound is below the
 k-th best guaranteed score are dropped and the columns compacted before the next block.
 
-Scores are integers: components are floor(scale * x).
-
-Defined results: vectors that are null or empty, hold null or non-finite components, or whose
-components reach 2^20 after scaling take no part (sums of products then stay exact in doubles up
-to 8,192 dimensions); vectors of another length than the query are no candidates; rows without
-an id take no part; a repeated id is a candidate as often as it occurs, but never for itself;
-ties go to the smaller id.
+Scores are integers: components are floor(scale * x).  While all components stay below 2^20 (and
+there are at most 8,192) sums of products are exact in doubles.  Other pairs are scored in doubles
+with a bound on the rounding, and what may be among the k best is scored in whole numbers.
+
+Defined results: vectors that are null or empty, or hold components that are null or not finite
+(after scaling) take no part; a score that does not fit a long is no result; vectors of another
+length than the query are no candidates; rows without an id take no part; a repeated id is a
+candidate as often as it occurs, but never for itself; ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -30,11 +31,17 @@ from adrlens.llm.vectors import matrix, usable
 QUERY_BLOCK = 4_096
 CANDIDATE_BLOCK = 32_768
 DIMENSIONS = 8
-LARGEST = 1 << 20
+LARGEST = 1 << 20  # components and
+MOST_DIMENSIONS = 8_192  # lengths up to which doubles are exact
+LONG = float(1 << 63)
 
 
 def scaled(vector: Column, scale: int) -> Column:
-    return F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("double"))
+    def whole(x: Column) -> Column:
+        y = F.lit(float(scale)) * x.cast("double")
+        return F.when(F.abs(y) < float(1 << 53), F.floor(y).cast("double")).otherwise(y)  # whole already
+
+    return F.transform(vector, whole)
 
 
 def remaining_mass(columns: np.ndarray, step: int) -> np.ndarray:
@@ -72,16 +79,57 @@ def top_of_block(queries: np.ndarray, query_ids: np.ndarray, columns: np.ndarray
         yield row, ids[alive][order], sums[order]
 
 
+def top_of_large(queries: np.ndarray, query_ids: np.ndarray, columns: np.ndarray, ids: np.ndarray,
+                 k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Like ``top_of_block``, for whole numbers of any size; scores that fit no long are left out."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        sums = queries @ columns
+        lengths = [np.sqrt(np.square(m).sum(axis)) for m, axis in ((queries, 1), (columns, 0))]
+        errors = np.outer(*lengths) * ((len(columns) + 8) * 2.0 ** -51)
+        unsure = ~np.isfinite(sums + errors)
+    sums[unsure], errors[unsure] = 0, np.inf
+    low, high = sums - errors, sums + errors
+    fits, may_fit = (high < LONG / 2) & (low > -LONG / 2), (low < 2 * LONG) & (high > -2 * LONG)
+    whole: dict[bytes, list[int]] = {}
+    for row, (query, query_id) in enumerate(zip(queries, query_ids)):
+        other = ids != query_id
+        least = _kth(low[row][other & fits[row]], k)
+        own, known, found = [int(x) for x in query], {}, []
+        for at in np.flatnonzero(other & may_fit[row] & (high[row] >= least)):
+            name = columns[:, at].tobytes()
+            if name not in known:  # equal vectors are scored once
+                numbers = whole.setdefault(name, [int(x) for x in columns[:, at]])
+                known[name] = sum(a * b for a, b in zip(own, numbers))
+            if -(1 << 63) <= known[name] < 1 << 63:
+                found.append((-known[name], int(ids[at])))
+        found = sorted(found)[:k]
+        yield row, np.array([i for _, i in found], np.int64), np.array([-s for s, _ in found], np.int64)
+
+
+def top_of_any(queries: np.ndarray, query_ids: np.ndarray, columns: np.ndarray, ids: np.ndarray,
+               k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The k best of the pairs that doubles score exactly, and the k best of the others."""
+    exact = len(columns) <= MOST_DIMENSIONS
+    asks, small = (exact & (np.abs(m).max(axis) < LARGEST) for m, axis in ((queries, 1), (columns, 0)))
+    for some, of, best_of in ((asks, small, top_of_block), (asks, ~small, top_of_large),
+                              (~asks, np.ones(len(ids), bool), top_of_large)):
+        if some.any() and of.any():
+            names = np.flatnonzero(some)
+            own = columns if of.all() else np.ascontiguousarray(columns[:, of])
+            for row, best, scores in best_of(queries[some], query_ids[some], own, ids[of], k):
+                yield names[row], best, scores
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int = 256, id_column: str = "vec_id",
           vector_column: str = "embedding", query_block: int = QUERY_BLOCK,
           candidate_block: int = CANDIDATE_BLOCK) -> DataFrame:
     """(query_id, rank, id, score) of the k best other rows for every row where ``is_query``."""
     spark = vectors.sparkSession
     whole = scaled(F.col(vector_column), scale)
-    small = ~F.exists("v", lambda x: F.abs(x) >= LARGEST)
+    finite = usable(F.col("v"))
     rows = written(vectors.where(usable(F.col(vector_column)) & F.col(id_column).isNotNull())
                    .select(F.col(id_column).cast("long").alias("id"),
-                           F.coalesce(is_query, F.lit(False)).alias("asks"), whole.alias("v")).where(small)
+                           F.coalesce(is_query, F.lit(False)).alias("asks"), whole.alias("v")).where(finite)
                    .withColumn("dims", F.size("v")), "vectors")
     sizes = rows.agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).first()
     asked = max(1, -(-sizes["q"] // query_block))
@@ -99,7 +147,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int = 256, id_col
             asked = matrix(queries["v"])
             for begin in range(0, len(own), 64):
                 part = slice(begin, begin + 64)
-                for row, best, scores in top_of_block(asked[part], own[part], columns, ids, k):
+                for row, best, scores in top_of_any(asked[part], own[part], columns, ids, k):
                     found.append(pd.DataFrame({"query_id": own[begin + row], "id": best,
                                                "score": scores.astype(np.int64)}))
         return pd.concat(found) if found else pd.DataFrame({"query_id": [], "id": [], "score": []}, dtype="int64")
