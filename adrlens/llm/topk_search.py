@@ -14,7 +14,9 @@ with a bound on the rounding, and what may be among the k best is scored in whol
 Defined results: vectors that are null or empty, or hold components that are null or not finite
 (after scaling) take no part; a score that does not fit a long is no result; vectors of another
 length than the query are no candidates; rows without an id take no part; a repeated id is a
-candidate as often as it occurs, but never for itself; ties go to the smaller id.
+candidate as often as it occurs, but never for itself; ties go to the smaller id.  A query row that
+is repeated is searched once; a query id with differing vectors is searched with each of them and
+has k rows for each.
 """
 
 from __future__ import annotations
@@ -131,10 +133,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int = 256, id_col
                    .select(F.col(id_column).cast("long").alias("id"),
                            F.coalesce(is_query, F.lit(False)).alias("asks"), whole.alias("v")).where(finite)
                    .withColumn("dims", F.size("v")), "vectors")
-    sizes = rows.agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).first()
-    asked = max(1, -(-sizes["q"] // query_block))
-    dealt = max(-(-sizes["n"] // candidate_block), -(-shuffle_partitions(spark) // asked), 1)
-    queries = (rows.where("asks").withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(asked)))
+    asking = written(rows.where("asks").select("id", "dims", "v").distinct()
+                     .withColumn("vector", F.row_number().over(W.partitionBy("id").orderBy("v")).cast("long")), "queries")
+    asked = max(1, -(-asking.count() // query_block))
+    dealt = max(-(-rows.count() // candidate_block), -(-shuffle_partitions(spark) // asked), 1)
+    queries = (asking.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(asked)))
                .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(dealt - 1)))))
     candidates = (rows.withColumn("cb", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(dealt)).cast("int"))
                   .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(asked - 1).cast("long")))))
@@ -143,18 +146,20 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int = 256, id_col
         found = []
         if len(queries) and len(candidates):
             own, ids = queries["id"].to_numpy(), candidates["id"].to_numpy()
+            names = queries["vector"].to_numpy()
             columns = np.ascontiguousarray(matrix(candidates["v"]).T)
             asked = matrix(queries["v"])
             for begin in range(0, len(own), 64):
                 part = slice(begin, begin + 64)
                 for row, best, scores in top_of_any(asked[part], own[part], columns, ids, k):
-                    found.append(pd.DataFrame({"query_id": own[begin + row], "id": best,
-                                               "score": scores.astype(np.int64)}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "id": [], "score": []}, dtype="int64")
+                    found.append(pd.DataFrame({"query_id": own[begin + row], "vector": names[begin + row],
+                                               "id": best, "score": scores.astype(np.int64)}))
+        return pd.concat(found) if found else pd.DataFrame(
+            {"query_id": [], "vector": [], "id": [], "score": []}, dtype="int64")
 
     key = ["dims", "qb", "cb"]
     best = (queries.groupBy(key).cogroup(candidates.groupBy(key))
-            .applyInPandas(search, "query_id long, id long, score long"))
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
+            .applyInPandas(search, "query_id long, vector long, id long, score long"))
+    order = W.partitionBy("query_id", "vector").orderBy(F.desc("score"), "id")
     return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", F.col("id").alias(id_column), "score"))
