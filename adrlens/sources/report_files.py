@@ -36,8 +36,6 @@ PIVOT_YEAR = 70  # two-digit years from here on are 19xx
 HEADER_THREADS = 16
 KEPT = "ok"
 
-MOST_LINES = 200  # lines one record may take
-
 _RAW = "_raw_line"
 _QUOTED = r'(^|\$)"([^"]|"")*"'
 _OPEN_QUOTE = r'(^|\$)"[^"]*$'
@@ -156,26 +154,30 @@ def _shape(line: str) -> tuple[bool, bool, int]:
     return bool(opened), QUOTE in plain, unquoted.count(DELIMITER) + 1
 
 
-def joined_lines(lines: list[str], n_columns: int) -> Iterator[tuple[str, str | None]]:
+def joined_lines(lines: list[str], n_columns: int, more: bool = False) -> Iterator[tuple[str, str | None]]:
     """(record, reason) of the lines of one file; no reason where the parser has to decide.
 
     An open quote takes in the lines that follow up to the one that closes it with a quote
     inside plain text, unless a line before that one has all fields by itself.  If the record
     has all fields, and its last line has not, it is kept, else it is rejected whole, so that no
     part of it passes as a row.  Otherwise the open quote is a stray one: its line is rejected
-    and the next starts anew.
+    and the next starts anew.  With ``more`` lines to come, a record that they may go on with is
+    left for later.
     """
     at = 0
     while at < len(lines):
         first, end = lines[at], None
         if _shape(first)[0]:
-            for i in range(at + 1, min(at + MOST_LINES, len(lines))):
+            for i in range(at + 1, len(lines)):
                 _, stray, own = _shape(lines[i])
-                if not _shape("\n".join(lines[at:i + 1]))[0]:
+                if not _shape(f"{QUOTE}\n{lines[i]}")[0]:  # of an open field only its quote matters
                     end = i if stray else None
                     break
                 if own >= n_columns:
                     break
+            else:
+                if more:
+                    return
             if end is None:
                 yield first, "unbalanced_quote"
             else:
@@ -204,12 +206,10 @@ def _parsed_in_order(spark: SparkSession, paths: list[str], header: tuple[str, .
     def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         path, quarter, held = None, None, []
 
-        def records(count: int) -> pd.DataFrame:
-            """The records that begin in the first ``count`` held lines; the others stay held."""
+        def records(more: bool) -> pd.DataFrame:
+            """The records that are complete; with ``more`` lines to come, the others stay held."""
             out, used = [], 0
-            for record, reason in joined_lines(held, n_columns):
-                if used >= count:
-                    break
+            for record, reason in joined_lines(held, n_columns, more):
                 out.append((quarter, record, reason))
                 used += record.count("\n") + 1
             del held[:used]
@@ -219,11 +219,11 @@ def _parsed_in_order(spark: SparkSession, paths: list[str], header: tuple[str, .
             for one, rows in frame.groupby("path", sort=False):
                 own = rows["line"].fillna("").tolist()
                 if one != path:
-                    yield records(len(held))
+                    yield records(False)
                     path, quarter, own = one, rows["year_quarter"].iloc[0], own[1:]  # without header
                 held += own
-                yield records(max(0, len(held) - MOST_LINES))
-        yield records(len(held))
+                yield records(True)
+        yield records(False)
 
     parsed = F.from_csv("line", F.lit(", ".join(f"`{c}` string" for c in [*header, _RAW])),
                         {"sep": DELIMITER, "escape": QUOTE, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RAW})
