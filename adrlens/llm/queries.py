@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adrlens.llm import (bpe, host_reputation, language_id, metric_join, packing, secret_scan,
-                         token_count, topk_search, wavelet, weighted_minhash)
+from adrlens.llm import (bpe, host_reputation, language_id, merkle, metric_join, packing, ranked_search,
+                         secret_scan, token_count, topk_search, wavelet, weighted_minhash)
 from adrlens.session import new_shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,3 +123,24 @@ def op10_secret_scan(spark, sf_dir):
         *(F.size(of_kinds(kind)).cast("long").alias(f"n_{kind}") for kind in base),
         F.sha2(joined(of_kinds(*base)), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"))
+
+
+@query
+def op11_ranked_search(spark, sf_dir):
+    """The 50 best documents of every benchmark item."""
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    """Leaf, roots and proof of every document, and whether a tampered text is found out."""
+    docs = table(spark, sf_dir, "documents")
+    columns = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    altered = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    leaves = docs.select("doc_id", "source", merkle.leaf([*columns, F.col("text")]).alias("leaf"),
+                         merkle.leaf([*columns, altered]).alias("altered"))
+    proved = merkle.manifest(leaves, "source", "doc_id", "leaf")
+    return (proved.withColumn("folded_root", merkle.folded(F.col("altered"), F.col("proof")))
+            .select("doc_id", "leaf", "subroot", "root", merkle.digest(merkle.siblings(F.col("proof"))).alias("proof_sha256"),
+                    "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")))

@@ -90,5 +90,81 @@ SELECT page_id, host, path, {_rule(lambda r: r.name)} AS rule,
        n_labelled, round(mean, 6) AS bad_mean, round(bound, 6) AS bad_bound
 FROM page JOIN bounded USING (host)"""
 
+_TERMS = r"""list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+         lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))"""
+
+_RANKED = f"""
+WITH doc AS (SELECT row_number() OVER () AS row_no, doc_id, {_TERMS} AS terms FROM documents),
+total AS (SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS length FROM doc WHERE len(terms) > 0),
+item AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark WHERE item_id IS NOT NULL),
+hit AS (
+  SELECT row_no, doc_id, n, term, count(*) AS tf
+  FROM (SELECT row_no, doc_id, len(terms) AS n, unnest(terms) AS term FROM doc) WHERE term IN (SELECT term FROM item)
+  GROUP BY ALL),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM hit GROUP BY term), total),
+scored AS (
+  SELECT item_id, row_no, doc_id, CAST(sum(w * (1000000000 * tf // (1000 * tf + 20 * (100 - 50 + 50 * n * docs // length)))) AS BIGINT) AS score
+  FROM hit JOIN weight USING (term) JOIN item USING (term), total GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+       doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50"""
+
+
+def _leaf(*values: str) -> str:
+    parts = [f"CASE WHEN {v} IS NULL THEN '-' ELSE concat(strlen(CAST({v} AS VARCHAR)), ':', {v}) END" for v in values]
+    return f"sha256(concat({', '.join(parts)}))"
+
+
+_CRC_BYTE = "list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, (x & 1) * 3988292384))"
+_CRC = f"""xor(4294967295, list_reduce(list_concat([4294967295], list_transform(
+  string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))), lambda crc, byte: {_CRC_BYTE}))"""
+
+
+def _levels(name: str, leaves: str) -> str:
+    """Nodes of the trees over ``leaves`` (tree, i, n, h), and what stands beside each in its run."""
+    return f"""
+{name} AS (
+  SELECT tree, 0 AS level, i, n, h FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM {name}
+  WHERE n > 1 GROUP BY tree, level, i // 3, n),
+{name}_step AS (
+  SELECT a.tree, a.level, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+  FROM {name} a JOIN {name} b ON a.tree = b.tree AND a.level = b.level AND a.i // 3 = b.i // 3
+  WHERE a.n > 1 GROUP BY a.tree, a.level, a.i)"""
+
+
+_PLACE = "CAST(pow(3, level) AS BIGINT)"
+_MERKLE = f"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf('doc_id', 'source', 'lang', 'n_chars', 'text')} AS h,
+         CASE WHEN ({_CRC}) % 2 = 0 THEN {_leaf('doc_id', 'source', 'lang', 'n_chars', "replace(text, chr(10), '')")} END AS other
+  FROM documents),
+leaf AS (
+  SELECT *, row_number() OVER () AS row_no, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS i,
+         count(*) OVER (PARTITION BY tree) AS n FROM doc),
+{_levels('node', 'leaf')},
+sub AS (SELECT tree AS name, '' AS tree, h, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n
+        FROM node WHERE n = 1),
+{_levels('top', 'sub')},
+step AS (
+  SELECT row_no, level, l, r FROM leaf JOIN node_step s ON s.tree = leaf.tree AND s.i = leaf.i // {_PLACE}
+  UNION ALL
+  SELECT row_no, 100 + level, l, r FROM leaf JOIN sub ON sub.name = leaf.tree JOIN top_step s ON s.i = sub.i // {_PLACE}),
+proof AS (SELECT row_no, list({{'l': l, 'r': r, 'h': ''}} ORDER BY level) AS steps FROM step GROUP BY row_no),
+folded AS (
+  SELECT leaf.*, coalesce(steps, []) AS steps, list_reduce(
+    list_concat([{{'l': '', 'r': '', 'h': coalesce(other, h)}}], coalesce(steps, [])),
+    lambda x, y: {{'l': '', 'r': '', 'h': sha256(concat(y.l, x.h, y.r))}}).h AS folded_root
+  FROM leaf LEFT JOIN proof USING (row_no))
+SELECT doc_id, folded.h AS leaf, sub.h AS subroot, top.h AS root,
+       sha256(array_to_string(list_transform(steps, lambda s: concat(s.l, s.r)), '')) AS proof_sha256,
+       folded_root, folded_root = top.h AS verified
+FROM folded JOIN sub ON sub.name = folded.tree, top WHERE top.n = 1"""
+
 ORACLE_SQL: dict[str, str] = {
-    "op1_topk_search": _TOP_K, "op3_host_reputation": _REPUTATION, "op4_metric_range_join": _RANGE_JOIN}
+    "op1_topk_search": _TOP_K, "op3_host_reputation": _REPUTATION, "op4_metric_range_join": _RANGE_JOIN,
+    "op11_ranked_search": _RANKED, "op12_merkle_manifest": _MERKLE}

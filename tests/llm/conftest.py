@@ -60,6 +60,15 @@ def labels(rows) -> pa.Table:
 LABELS = [(0, 0, 1), (0, 1, 0), (1, 0, 0), (5, None, 1), (6, None, None), (None, 1, 1), (8, 0, 1), (9, 1, 0)]
 
 
+ITEMS = [(0, "The of AND to password"), (1, "short x123 ÜBER über"), (2, None), (3, ""), (None, "the of"), (1, "what all were"),
+         (4, "no such terms: qqq zzz"), (5, "日本語 altered the"), (0, "The of AND to password")]
+
+
+def benchmark(rows) -> pa.Table:
+    return pa.table({"item_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string()),
+                     "term": pa.array(["t"] * len(rows), pa.string()), "score": pa.array([1] * len(rows), pa.int64())})
+
+
 def write(folder, **tables) -> str:
     for name, table in tables.items():
         pq.write_table(table, folder / f"{name}.parquet")
@@ -69,13 +78,14 @@ def write(folder, **tables) -> str:
 @pytest.fixture(scope="session")
 def hard(tmp_path_factory):
     return write(tmp_path_factory.mktemp("hard"), documents=documents(TEXTS), embeddings=embeddings(VECTORS),
-                 pages=pages(URLS), labels=labels(LABELS))
+                 pages=pages(URLS), labels=labels(LABELS),
+                 benchmark=benchmark(ITEMS))
 
 
 @pytest.fixture(scope="session")
 def empty(tmp_path_factory):
     return write(tmp_path_factory.mktemp("empty"), documents=documents([]), embeddings=embeddings([]),
-                 pages=pages([]), labels=labels([]))
+                 pages=pages([]), labels=labels([]), benchmark=benchmark([]))
 
 
 @pytest.fixture
