@@ -7,7 +7,7 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from adrlens.session import new_shared_path
 
@@ -24,6 +24,8 @@ def kept_by_worker(key: tuple, build: Callable[[], object]) -> object:
 
 
 SLICE_CHARS = 1 << 21  # characters handled at once inside a task
+FEW_PARTS = 500_000  # (group, partition) rows that may be broadcast
+_PLACE = 1 << 33  # of a partition in monotonically_increasing_id
 
 
 def written(df: DataFrame, name: str, release: bool = False) -> DataFrame:
@@ -85,6 +87,26 @@ def join_small(left: DataFrame, right: DataFrame, on, how: str, max_rows: int) -
     return left.join(F.broadcast(right) if few else right, on, how)
 
 
+def numbered(frame: DataFrame, group: str, order: Sequence[str], name: str) -> DataFrame:
+    """(group, size, at) and the other columns: ``at`` counts the rows of a group in order, from 0.
+
+    The rows are sorted by range, so that a large group lies on many partitions; a row's number is
+    its place in its partition plus the group's rows on the partitions before.
+    """
+    placed = frame.withColumn("tie", F.monotonically_increasing_id())  # deals out rows that are all equal
+    keys = [group, *order, "tie"]
+    placed = written(placed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("tie")
+                     .withColumn("place", F.monotonically_increasing_id()), name)
+    part = F.floor(F.col("place") / _PLACE).alias("part")
+    inside = W.partitionBy(group)
+    counts = (placed.groupBy(group, part).agg(F.count("*").alias("n"), F.min("place").alias("first"))
+              .withColumn("before", F.sum("n").over(inside.orderBy("part")) - F.col("n") - F.col("first"))
+              .withColumn("size", F.sum("n").over(inside)).select(group, "part", "before", "size"))
+    counts = written(counts, name + "-counts")
+    return (join_small(placed.withColumn("part", F.floor(F.col("place") / _PLACE)), counts, [group, "part"], "inner", FEW_PARTS)
+            .withColumn("at", F.col("before") + F.col("place")).drop("part", "before", "place"))
+
+
 def free_name(columns: Sequence[str], name: str) -> str:
     """``name``, lengthened until no column has it."""
     taken = {c.lower() for c in columns}

@@ -22,14 +22,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from adrlens.llm.common import join_small, written
+from adrlens.llm.common import join_small, numbered, written
 
 FANOUT = 3
 LEVELS = 7
 FEW = 500_000  # rows that may be broadcast
-_PLACE = 1 << 33  # of a partition in monotonically_increasing_id
 
 
 def digest(text: Column) -> Column:
@@ -55,26 +54,6 @@ def siblings(proof: Column) -> Column:
     return F.array_join(F.transform(proof, lambda step: F.concat(step["left"], step["right"])), "")
 
 
-def numbered(frame: DataFrame, group: str, order: Sequence[str], name: str) -> DataFrame:
-    """(group, size, at) and the other columns: ``at`` counts the rows of a group in order, from 0.
-
-    The rows are sorted by range, so that a large group lies on many partitions; a row's number is
-    its place in its partition plus the group's rows on the partitions before.
-    """
-    placed = frame.withColumn("tie", F.monotonically_increasing_id())  # deals out rows that are all equal
-    keys = [group, *order, "tie"]
-    placed = written(placed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("tie")
-                     .withColumn("place", F.monotonically_increasing_id()), name)
-    part = F.floor(F.col("place") / _PLACE).alias("part")
-    inside = W.partitionBy(group)
-    counts = (placed.groupBy(group, part).agg(F.count("*").alias("n"), F.min("place").alias("first"))
-              .withColumn("before", F.sum("n").over(inside.orderBy("part")) - F.col("n") - F.col("first"))
-              .withColumn("size", F.sum("n").over(inside)).select(group, "part", "before", "size"))
-    counts = written(counts, name + "-counts")
-    return (join_small(placed.withColumn("part", F.floor(F.col("place") / _PLACE)), counts, [group, "part"], "inner", FEW)
-            .withColumn("at", F.col("before") + F.col("place")).drop("part", "before", "place"))
-
-
 def _step(nodes: Column, own: Column, fanout: int) -> Column:
     """What stands left and right of node ``own`` (from 0) in its run, from all nodes of a level."""
     first = (own - own % fanout).cast("int")

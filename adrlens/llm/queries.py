@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adrlens.llm import (bpe, host_reputation, language_id, merkle, metric_join, packing, ranked_search,
-                         secret_scan, token_count, topk_search, wavelet, weighted_minhash)
+                         secret_scan, suffix_dedup, token_count, topk_search, wavelet, weighted_minhash)
 from adrlens.session import new_shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,3 +144,12 @@ def op12_merkle_manifest(spark, sf_dir):
     return (proved.withColumn("folded_root", merkle.folded(F.col("altered"), F.col("proof")))
             .select("doc_id", "leaf", "subroot", "root", merkle.digest(merkle.siblings(F.col("proof"))).alias("proof_sha256"),
                     "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")))
+
+
+@query
+def op13_suffix_dedup(spark, sf_dir):
+    """What stays of every document once each 100-byte string is left out where it repeats."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
