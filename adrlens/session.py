@@ -62,16 +62,22 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def own(path: str, outer: bool = False) -> None:
+    """Leave a path to the open block of ``intermediates`` that is innermost, or the one around it."""
+    if len(_OWNERS) > outer:
+        _OWNERS[-1 - outer].append(path)
+
+
 @contextmanager
 def intermediates(spark: SparkSession) -> Iterator[None]:
     """Owner of the tables that ``materialise`` writes inside the block: they go at its end."""
-    own: list[str] = []
-    _OWNERS.append(own)
+    paths: list[str] = []
+    _OWNERS.append(paths)
     try:
         yield
     finally:
-        _OWNERS.remove(own)
-        for path in own:
+        _OWNERS.remove(paths)
+        for path in paths:
             remove_path(spark, path)
 
 
@@ -87,7 +93,6 @@ def materialise(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
     if spread:
         df = df.hint("rebalance")
     path = new_shared_path(spark, name)
-    if _OWNERS:
-        _OWNERS[-1].append(path)
+    own(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
