@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from adrlens.session import new_shared_path
+from adrlens.session import new_shared_path, own
 
 _KEPT: dict[tuple, object] = {}
 
@@ -28,20 +28,31 @@ FEW_PARTS = 500_000  # (group, partition) rows that may be broadcast
 _PLACE = 1 << 33  # of a partition in monotonically_increasing_id
 
 
-def written(df: DataFrame, name: str, release: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str, release: bool = False, result: bool = False) -> DataFrame:
     """The frame, written to the shared folder and read back: several jobs read it, lineage ends.
 
-    ``release`` asks Spark to drop the shuffle files of finished jobs, for a job that shuffled
+    Inside a block of ``session.intermediates`` the table goes at the block's end; a ``result``
+    outlives it and is left to the block around it, if there is one.  ``release`` asks Spark to drop the shuffle files of finished jobs, for a job that shuffled
     much, so that the next one has the disk.
     """
     spark = df.sparkSession
     path = new_shared_path(spark, name)
+    own(path, outer=result)
     df.write.parquet(path)
     if release:
         release_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Like a result of ``written``, dealt out by ``key``: joins on it leave these rows where they are."""
+    spark, path = df.sparkSession, new_shared_path(df.sparkSession, name)
+    own(path, outer=True)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def release_shuffles(spark: SparkSession, pause: float = 0.5) -> None:
     """Spark's cleaner removes shuffle files once the driver has collected what refers to them.
 
