@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from adrlens.session import new_shared_path, own
+from adrlens.session import new_shared_path, own, remove_path
 
 _KEPT: dict[tuple, object] = {}
 
@@ -53,6 +53,13 @@ def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
     return spark.table(table)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Remove tables that ``written`` gave, once nothing reads them any more."""
+    for frame in frames:
+        for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+            remove_path(frame.sparkSession, folder)
+
+
 def release_shuffles(spark: SparkSession, pause: float = 0.5) -> None:
     """Spark's cleaner removes shuffle files once the driver has collected what refers to them.
 
