@@ -15,7 +15,6 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +22,7 @@ import regex
 from pyspark.sql import DataFrame, types as T
 
 from adrlens.llm.chunks import TextEncoder
+from adrlens.llm.common import kept_by_worker
 
 #: Fixed value: the pre-token pattern of byte-level BPE.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -153,11 +153,13 @@ class TrieBpe:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=1)
 def trie_encoder(path: str) -> tuple[TrieBpe, TextEncoder]:
     """Tokeniser of this worker, kept with its words for the tasks that follow."""
-    bpe = TrieBpe(path)
-    return bpe, TextEncoder(bpe.encode, spaced=True)
+    def build():
+        bpe = TrieBpe(path)
+        return bpe, TextEncoder(bpe.encode, spaced=True)
+
+    return kept_by_worker("trie", "encoder", path, build)
 
 
 def encode_decode(docs: DataFrame, tokenizer: str, digests: bool = False, id_column: str = "doc_id",

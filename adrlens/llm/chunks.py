@@ -14,7 +14,6 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -209,9 +208,12 @@ class TextEncoder:
         return np.concatenate(out)
 
 
-@lru_cache(maxsize=2)
 def library(path: str):
-    """Tokenizer of the file, one thread per task."""
+    """Tokenizer of the file, one thread per task; kept by the worker."""
+    return kept_by_worker("chunks", "library", path, lambda: _library(path))
+
+
+def _library(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     os.environ["RAYON_NUM_THREADS"] = "1"
     from tokenizers import Tokenizer
@@ -250,7 +252,7 @@ def joined_encoder(path: str, spaced: bool) -> Encoder:
         marks[[i for token, i in vocabulary.items() if token[:1] in space]] = True
     else:
         marks[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-    bare = _bare(path)
+    bare = None if spaced else _bare(path)
 
     def parts(group: list[str], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.flatnonzero(marks[ids])
@@ -262,8 +264,8 @@ def joined_encoder(path: str, spaced: bool) -> Encoder:
         groups = [chunks[i:i + JOINED] for i in range(0, len(chunks), JOINED)]
         texts = [("" if spaced else " ").join(g) for g in groups]
         plain = [not spaced and _folded(t) for t in texts]
-        found = [iter(tool.encode_batch_fast([t for t, p in zip(texts, plain) if p == kind], add_special_tokens=False))
-                 for tool, kind in ((tokenizer, False), (bare, True))]
+        found = [iter(tool.encode_batch_fast(own, add_special_tokens=False) if own else ())
+                 for tool, kind in ((tokenizer, False), (bare, True)) for own in [[t for t, p in zip(texts, plain) if p == kind]]]
         cut = [parts(group, np.array(next(found[p]).ids, np.int32)) for group, p in zip(groups, plain)]
         return (np.concatenate([np.empty(0, np.int32), *(c[0] for c in cut)]),
                 np.concatenate([np.empty(0, np.int64), *(c[1] for c in cut)]))
@@ -298,7 +300,7 @@ def _bare(path: str):
 
 def text_encoder(path: str, spaced: bool) -> TextEncoder:
     """Encoder of this worker, kept with its chunks for the tasks that follow."""
-    return kept_by_worker(("chunks", path, spaced), lambda: TextEncoder(
+    return kept_by_worker("chunks", "encoder", (path, spaced), lambda: TextEncoder(
         library_encoder(path), spaced, joined_encoder(path, spaced)))
 
 

@@ -2,25 +2,46 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import time
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from adrlens.session import new_shared_path, own, remove_path
 
-_KEPT: dict[tuple, object] = {}
+_KEPT: dict[str, dict[str, tuple[object, object]]] = {}  # operator: kind: key, value
 
 
-def kept_by_worker(key: tuple, build: Callable[[], object]) -> object:
-    """What ``build`` gives, kept for the worker's next tasks; only the latest key's is kept, so
-    that the memories of successive operators do not add up in one worker."""
-    if key not in _KEPT:
-        _KEPT.clear()
-        _KEPT[key] = build()
-    return _KEPT[key]
+def kept_by_worker(operator: str, kind: str, key: object, build: Callable[[], object]) -> object:
+    """What ``build`` gives, kept for the worker's next tasks.
+
+    Of each kind the latest key's is kept.  Where another operator's task begins, all that the one
+    before kept goes and its memory is given back, so the memories of successive operators do not
+    add up in one worker.
+    """
+    if operator not in _KEPT:
+        if _KEPT:
+            _KEPT.clear()
+            _give_back()
+        _KEPT[operator] = {}
+    own = _KEPT[operator]
+    if kind not in own or own[kind][0] != key:
+        own.pop(kind, None)
+        own[kind] = key, build()
+    return own[kind][1]
+
+
+def _give_back() -> None:
+    """Hand free memory back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
 
 
 SLICE_CHARS = 1 << 21  # characters handled at once inside a task

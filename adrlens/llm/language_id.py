@@ -3,8 +3,9 @@
 The network reads a word byte by byte in both directions and gives a probability of every
 language at each position; a document's probability is the mean over all positions of all its
 words.  It is trained by backpropagation through time in numpy, on the driver, on a bounded
-sample of labelled documents.  Words repeat, so each is read once per worker; the memory is
-bounded by ``CAPACITY`` words.  A word longer than ``WORD_BYTES`` is read in parts.
+sample of labelled documents, drawn language by language, and of each on pieces from all over
+its text.  Words repeat, so each is read once per worker; the memory is bounded by ``CAPACITY``
+words.  A word longer than ``WORD_BYTES`` is read in parts that end between characters.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; without labelled
 rows every text is ``und``; ties between languages go to the first in alphabetical order; the
@@ -18,13 +19,14 @@ from __future__ import annotations
 
 import random
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from hashlib import sha256
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from adrlens.llm.chunks import array_slices
 from adrlens.llm.common import kept_by_worker, text_slices
@@ -40,11 +42,18 @@ LEAST_PIECES = 100  # of a class; with fewer, the bound of shorter texts holds
 
 @dataclass(frozen=True)
 class Training:
-    """``documents`` and ``characters`` of each bound the sample that is collected."""
+    """What bounds the sample that is collected, and how the network is trained.
 
-    documents: int = 1_500
-    characters: int = 4_000
-    judged: int = 2_000  # held-out documents for ``least_scores``
+    ``documents`` are drawn, as many of each language, but ``rare`` of each at least; of a text
+    longer than ``pieces`` x ``characters``, so many pieces of so many characters are taken, one
+    from each part of the text.
+    """
+
+    documents: int = 1_600
+    rare: int = 20
+    pieces: int = 8
+    characters: int = 500
+    judged: int = 2_000  # held-out documents for ``least_scores``, read whole
     hidden: int = 16
     steps: int = 400
     words: int = 512
@@ -122,6 +131,9 @@ class Network:
                    random.normal(0, 0.1, (2 * h, languages)).astype(np.float32),
                    np.zeros(languages, np.float32))
 
+    def digest(self) -> str:
+        return sha256(b"".join(w.tobytes() for w in self.weights())).hexdigest()
+
     def weights(self) -> list[np.ndarray]:
         return [self.ahead.inputs, self.ahead.state, self.behind.inputs, self.behind.state, self.out, self.bias]
 
@@ -162,8 +174,15 @@ def split_words(text: str) -> list[str]:
 
 
 def parts_of(word: str) -> list[bytes]:
-    raw = word.encode()
-    return [raw[i:i + WORD_BYTES] for i in range(0, len(raw), WORD_BYTES)]
+    """The word's bytes in parts of at most ``WORD_BYTES``, cut between characters."""
+    raw, begin, parts = word.encode(), 0, []
+    while len(raw) - begin > WORD_BYTES:
+        end = begin + WORD_BYTES
+        while raw[end] & 0xC0 == 0x80:  # inside a character
+            end -= 1
+        parts.append(raw[begin:end])
+        begin = end
+    return [*parts, raw[begin:]]
 
 
 @dataclass
@@ -171,6 +190,11 @@ class Model:
     languages: list[str]
     network: Network | None
 
+    def reader(self) -> Reader:
+        """Reader of this worker, kept with its words for the tasks that follow."""
+        key = (*self.languages, self.network.digest() if self.network else "")
+        return kept_by_worker("language", "reader", key, lambda: Reader(self))
+
     @classmethod
     def train(cls, texts: Sequence[str], labels: Sequence[str], training: Training = Training()) -> Model:
         languages = sorted(set(labels))
@@ -274,22 +298,29 @@ def runs_of_words(text: str) -> Iterator[str]:
     yield text
 
 
-def lowest_scores(model: Model, texts: Sequence[str]) -> list[float]:
-    """Per size the score that a text must reach, from labelled texts the model has not seen.
+def scores_by_size(reader: Reader, texts: Sequence[str]) -> dict[int, tuple[float, int]]:
+    """Per size the lowest score of the texts' pieces, and their number."""
+    found: dict[int, tuple[float, int]] = {}
+    for text in texts:
+        for language, score, positions in reader.judge(list(runs_of_words(text))):
+            if language != UNKNOWN:
+                lowest, count = found.get(size_of(positions), (1.0, 0))
+                found[size_of(positions)] = min(lowest, score), count + 1
+    return found
+
+
+def bounds(found: Mapping[int, tuple[float, int]], languages: int) -> list[float]:
+    """Per size the score that a text must reach, from the lowest scores of clean pieces.
 
     It lies midway between chance and the worst piece of that size or of any larger one, so it
     rises with the size.
     """
-    found: list[list[float]] = [[] for _ in range(SIZES)]
-    if model.network:
-        for language, score, positions in Reader(model).judge([p for t in texts for p in runs_of_words(t)]):
-            if language != UNKNOWN:
-                found[size_of(positions)].append(score)
-    worst, chance = 1.0, 1 / max(1, len(model.languages))
+    worst, chance = 1.0, 1 / max(1, languages)
     least: list[float | None] = [None] * SIZES
     for size in range(SIZES - 1, -1, -1):
-        worst = min([worst, *found[size]])
-        if len(found[size]) >= LEAST_PIECES:
+        lowest, count = found.get(size, (1.0, 0))
+        worst = min(worst, lowest)
+        if count >= LEAST_PIECES:
             least[size] = (worst + chance) / 2 - 1e-3  # for rounding
     bound, out = 0.0, []
     for own in least:
@@ -303,35 +334,73 @@ def held_out(id_: Column, parts: int = 4, part: int = 2) -> Column:
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def _sample(docs: DataFrame, kept: Column, documents: int, characters: int, id_column: str, text_column: str,
-            label_column: str) -> list:
-    """Texts and labels of a bounded sample of labelled documents, the same on every run."""
-    rows = (docs.where(F.col(label_column).isNotNull() & F.col(text_column).isNotNull() & F.col(id_column).isNotNull()
-                       & kept)
-            .select(F.xxhash64(id_column).alias("order"), F.col(id_column).alias("id"))
-            .orderBy("order", "id").limit(documents))
-    few = F.broadcast(rows.select(F.col("id").alias(id_column)).distinct())  # at most so many ids
-    return (docs.join(few, id_column, "left_semi").where(F.col(label_column).isNotNull())
-            .select(F.substring(text_column, 1, characters).alias("text"), F.col(label_column).alias("lang"))
-            .orderBy(F.xxhash64("text", "lang"), "text").limit(documents).collect())
+def _labelled(docs: DataFrame, kept: Column, id_column: str, text_column: str, label_column: str) -> DataFrame:
+    """(order, id, text, lang) of labelled documents; ``order`` shuffles them, the same on every run."""
+    return (docs.where(F.col(label_column).isNotNull() & F.col(text_column).isNotNull() & F.col(id_column).isNotNull() & kept)
+            .select(F.xxhash64(id_column).alias("order"), F.col(id_column).alias("id"),
+                    F.col(text_column).alias("text"), F.col(label_column).alias("lang")))
+
+
+def _drawn(rows: DataFrame, drawn: DataFrame) -> DataFrame:
+    """The labelled documents that were drawn; of rows that share id and language one text."""
+    return (rows.join(F.broadcast(drawn), ["order", "id", "lang"], "left_semi")  # a bounded sample
+            .groupBy("order", "id", "lang").agg(F.min("text").alias("text")))
+
+
+def _pieces(text: Column, pieces: int, characters: int) -> Column:
+    """Pieces of a text, one from each of as many equal parts; a short text is one piece."""
+    size = F.length(text)
+    part = size / pieces
+
+    def piece(i: Column) -> Column:
+        room = F.greatest(part - characters, F.lit(0))
+        start = F.floor(i * part + room * F.pmod(F.xxhash64(text, i), F.lit(1000)) / 1000)
+        return F.substring(text, (start + 1).cast("int"), F.lit(characters))
+
+    return F.when(size > pieces * characters, F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), piece)).otherwise(F.array(text))
+
+
+def _whole_words(pieces: Sequence[str]) -> str:
+    """The pieces' words, without those that a cut may have shortened."""
+    if len(pieces) == 1:
+        return pieces[0]
+    words = map(split_words, pieces)
+    return " ".join(w for own in words for w in (own[1:-1] if len(own) > 2 else own))
 
 
 def learn(docs: DataFrame, training: Training = Training(), id_column: str = "doc_id",
           text_column: str = "text", label_column: str = "lang") -> Model:
     """Model from labelled documents that are not held out; the sample is the same on every run."""
-    sample = _sample(docs, ~held_out(F.col(id_column)), training.documents, training.characters,
-                     id_column, text_column, label_column)
-    return Model.train([r["text"] or "" for r in sample], [r["lang"] for r in sample], training)
+    rows = _labelled(docs, ~held_out(F.col(id_column)), id_column, text_column, label_column)
+    languages = rows.select("lang").distinct().count()
+    each = max(training.rare, training.documents // max(1, languages))
+    place = F.dense_rank().over(W.partitionBy("lang").orderBy("order", "id"))
+    drawn = rows.select("order", "id", "lang").distinct().withColumn("place", place).where(F.col("place") <= each)
+    sample = (_drawn(rows, drawn.drop("place"))  # at most ``documents``, or ``rare`` of each language
+              .select("lang", "order", "id", _pieces(F.col("text"), training.pieces, training.characters).alias("pieces"))
+              .orderBy("lang", "order", "id").collect())
+    return Model.train([_whole_words(r["pieces"]) for r in sample], [r["lang"] for r in sample], training)
 
 
 def least_scores(docs: DataFrame, model: Model, training: Training = Training(), id_column: str = "doc_id",
                  text_column: str = "text", label_column: str = "lang") -> list[float]:
-    """``lowest_scores`` from labelled documents that are held out."""
+    """``bounds`` from labelled documents that are held out, whose whole texts are read by Spark."""
     if not model.network:
         return [0.0] * SIZES
-    sample = _sample(docs, held_out(F.col(id_column)), training.judged, training.characters,
-                     id_column, text_column, label_column)
-    return lowest_scores(model, [r["text"] or "" for r in sample])
+    rows = _labelled(docs, held_out(F.col(id_column)), id_column, text_column, label_column)
+    drawn = rows.select("order", "id", "lang").distinct().orderBy("order", "id", "lang").limit(training.judged)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = shared.value.reader()
+        for batch in batches:
+            found = scores_by_size(reader, batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array([f[0] for f in found.values()], pa.float64()),
+                                              pa.array([f[1] for f in found.values()], pa.int64())], ["size", "lowest", "pieces"])
+
+    judged = (_drawn(rows, drawn).select("text").mapInArrow(judge, "size int, lowest double, pieces long")
+              .groupBy("size").agg(F.min("lowest").alias("lowest"), F.sum("pieces").alias("pieces")))
+    return bounds({r["size"]: (r["lowest"], r["pieces"]) for r in judged.collect()}, len(model.languages))
 
 
 def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -344,12 +413,12 @@ def classify(docs: DataFrame, model: Model, text_column: str = "text", language:
              score: str = "score") -> DataFrame:
     """``docs`` with the language and its score; both names must be free."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand weights
-    key, at = id(shared), docs.columns.index(text_column)
+    at = docs.columns.index(text_column)
     schema = T.StructType([*docs.schema.fields, T.StructField(language, T.StringType()),
                            T.StructField(score, T.DoubleType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = kept_by_worker(("language", key), lambda: Reader(shared.value))
+        reader = shared.value.reader()
         for batch in batches:
             found = [f for own in array_slices(batch.column(at)) for f in reader.predict(own.to_pylist())]
             yield pa.RecordBatch.from_arrays(
@@ -362,11 +431,11 @@ def classify(docs: DataFrame, model: Model, text_column: str = "text", language:
 def accepted(docs: DataFrame, model: Model, least: Sequence[float], text_column: str = "text") -> DataFrame:
     """The documents that have a letter and a score of at least the bound of their size (``least_scores``)."""
     shared = docs.sparkSession.sparkContext.broadcast((model, least))
-    key, at = id(shared), docs.columns.index(text_column)
+    at = docs.columns.index(text_column)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, least = shared.value
-        reader = kept_by_worker(("accepted", key), lambda: Reader(model))
+        reader = model.reader()
         for batch in batches:
             yield batch.filter(pa.array([good for own in array_slices(batch.column(at))
                                          for good in reader.accept(own.to_pylist(), least)], pa.bool_()))

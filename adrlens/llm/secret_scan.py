@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from adrlens.llm.common import text_slices
+from adrlens.llm.common import kept_by_worker, text_slices
 
 MOST_STRINGS = 64  # alternatives kept apart while a query is derived
 LONGEST_CLASS = 4  # characters of a class that are spelled out
@@ -220,7 +220,7 @@ def find_secrets(docs: DataFrame, rules: Sequence[Rule], id_column: str = "doc_i
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(rules)
+        scanner = kept_by_worker("secrets", "scanner", rules, lambda: Scanner(rules))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             spans = [[{"kind": rules[k].kind, "start": s, "end": e} for s, k, e in own]
@@ -240,7 +240,7 @@ def redact(docs: DataFrame, rules: Sequence[Rule], mark: str = "[REDACTED]") ->
     names = docs.columns
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(rules)
+        scanner = kept_by_worker("secrets", "scanner", rules, lambda: Scanner(rules))
         for batch in batches:
             columns = dict(zip(names, batch.columns))
             texts, counts = columns["text"].to_pylist(), columns["n_chars"].to_pylist()

@@ -25,14 +25,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from adrlens.llm.common import join_small, parts_for, ranges, written
+from adrlens.llm.common import join_small, kept_by_worker, parts_for, ranges, written
 from adrlens.llm.components import components
 from adrlens.llm.shingles import Shingler, mix, pack_sorted, unpack_sorted
 
@@ -55,9 +54,12 @@ class Sampling:
         return self.bands * self.rows
 
 
-@lru_cache(maxsize=2)
 def draws(samples: int) -> tuple[np.ndarray, ...]:
     """Random numbers of consistent weighted sampling per slot: 1/r, r, beta, ln c - r."""
+    return kept_by_worker("minhash", "draws", samples, lambda: _new_draws(samples))
+
+
+def _new_draws(samples: int) -> tuple[np.ndarray, ...]:
     random = np.random.default_rng(20100101)
     r = random.gamma(2.0, 1.0, (SLOTS, samples)).astype(np.float32) + np.float32(1e-6)
     c = random.gamma(2.0, 1.0, (SLOTS, samples)).astype(np.float32) + np.float32(1e-30)
@@ -65,9 +67,8 @@ def draws(samples: int) -> tuple[np.ndarray, ...]:
     return 1 / r, r, beta, np.log(c) - r
 
 
-@lru_cache(maxsize=2)
 def shingler(words: int) -> Shingler:
-    return Shingler(words)
+    return kept_by_worker("minhash", "shingler", words, lambda: Shingler(words))
 
 
 def sample(shingles: np.ndarray, weights: np.ndarray, samples: int) -> np.ndarray:

@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from adrlens.llm import language_id as li
 from adrlens.llm.queries import QUERIES
@@ -86,3 +87,54 @@ def test_no_labels_no_language(spark):
     docs = spark.createDataFrame([(1, "some text", None), (2, None, "en")], "doc_id long, text string, lang string")
     rows = li.predict(docs, li.learn(docs)).collect()
     assert {(r["lang_pred"], r["score"]) for r in rows} == {("und", 0.0)}
+
+
+def test_words_are_cut_between_characters():
+    for word in ("x" * 100, "é" * 50, "日本" * 20, "a" + "🎉" * 17, "", "short"):
+        parts = li.parts_of(word)
+        assert b"".join(parts) == word.encode() and max(map(len, parts)) <= li.WORD_BYTES
+        assert "".join(p.decode() for p in parts) == word
+
+
+def test_a_rare_language_is_learned_from_anywhere_in_long_texts(spark):
+    """One row in 2,000 has the language, which its text shows only behind 4,000 common characters."""
+    noise, rare = "0123 4567 " * 420, "ζωή φως νερό γη ουρανός θάλασσα "
+    rows = [(i, f"the cat sat on mat {i % 7} and the dog ran " * 3, "en") for i in range(6000)]
+    rows += [(10_000 + i, noise + rare * 120, "el") for i in (0, 1, 4)]
+    rows += [(20_000, rare * 3, None), (20_001, "the dog sat", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = docs.where("lang = 'el'").where(~li.held_out(F.col("doc_id"))).count()
+    assert kept == 3
+    model = li.learn(docs, li.Training(documents=200, steps=120))
+    assert model.languages == ["el", "en"]
+    found = {r["doc_id"]: r["lang_pred"] for r in li.predict(docs.where("doc_id >= 10000"), model).collect()}
+    assert found == {**{10_000 + i: "el" for i in (0, 1, 4)}, 20_000: "el", 20_001: "en"}
+
+
+def test_pieces_come_from_all_parts_of_a_text(spark):
+    text = "".join(chr(0x4E00 + i) for i in range(10_000))
+    docs = spark.createDataFrame([(text,), ("short",)], "text string")
+    long, short = [r[0] for r in docs.select(li._pieces(F.col("text"), 8, 500)).collect()]
+    assert short == ["short"] and len(long) == 8
+    assert all(len(p) == 500 and i * 1250 <= text.index(p) <= i * 1250 + 750 for i, p in enumerate(long))
+    assert li._whole_words(["ab cd ef", "gh ij kl mn"]) == "cd ij kl" and li._whole_words(["ab cd"]) == "ab cd"
+
+
+def test_query_equals_reading_each_whole_text_alone(spark, hard):
+    """The whole query by brute force: every position of every text, without memory of words."""
+    docs = spark.read.parquet(f"{hard}/documents.parquet")
+    model = li.learn(docs)
+    found = sorted((r["doc_id"] or -1, r["lang_pred"], round(r["score"], 4)) for r in QUERIES["op6_language_id"](spark, hard).collect())
+    want = []
+    for r in docs.collect():
+        words = (r["text"] or "").split()
+        if not li.LETTER.search(r["text"] or ""):
+            want.append((r["doc_id"] or -1, li.UNKNOWN, 0.0))
+            continue
+        total, positions = 0, 0
+        for part in (p for w in words for p in li.parts_of(w)):
+            _, p = model.network.positions(*li.spelled([part]))
+            total, positions = total + p[:, 0].sum(0, dtype=np.float64), positions + len(p)
+        want.append((r["doc_id"] or -1, model.languages[int(total.argmax())], round(min(1.0, float(total.max() / positions)), 4)))
+    assert [f[:2] for f in found] == [w[:2] for w in sorted(want)]
+    assert np.allclose([f[2] for f in found], [w[2] for w in sorted(want)], atol=2e-4)

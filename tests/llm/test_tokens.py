@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,12 +18,14 @@ from adrlens.session import new_shared_path
 
 from .conftest import TEXTS
 
+library, trie_encoder = lru_cache(chunks._library), lru_cache(bpe.trie_encoder)  # side by side here
+
 ODD_TEXTS = st.lists(st.text(alphabet="ab .,!'\n\t0é日<|>sΣİ́", max_size=40)
                      | st.sampled_from(["<|endoftext|>", " <|ENDOFTEXT|> x", "it's  we'll", "\u0002a b", "a | b"]), max_size=20)
 
 
 def want(name, texts):
-    return [e.ids for e in chunks.library(tokenizer(name)).encode_batch(texts, add_special_tokens=False)]
+    return [e.ids for e in library(tokenizer(name)).encode_batch(texts, add_special_tokens=False)]
 
 
 def got(encoder, texts):
@@ -52,7 +55,7 @@ def test_full_cache_starts_afresh():
 @settings(max_examples=150, deadline=None)
 @given(texts=ODD_TEXTS)
 def test_trie_gives_the_ids_of_the_library(texts):
-    trie, encoder = bpe.trie_encoder(tokenizer(BYTE_BPE))
+    trie, encoder = trie_encoder(tokenizer(BYTE_BPE))
     assert got(encoder, texts) == want(BYTE_BPE, texts)
 
 
@@ -69,14 +72,14 @@ def merged(trie, word):
 @given(words=st.lists(st.binary(min_size=1, max_size=12) | st.text("aeinrst", min_size=1, max_size=15).map(str.encode),
                       unique=True, max_size=30))
 def test_trie_equals_plain_merging(words):
-    trie, _ = bpe.trie_encoder(tokenizer(BYTE_BPE))
+    trie, _ = trie_encoder(tokenizer(BYTE_BPE))
     assert trie.encode_words(words) == [merged(trie, w) for w in words]
 
 
 @given(ids=st.lists(st.integers(0, 50_256), max_size=30))
 def test_decoding_equals_the_library(ids):
-    trie, _ = bpe.trie_encoder(tokenizer(BYTE_BPE))
-    assert trie.decode(ids) == chunks.library(tokenizer(BYTE_BPE)).decode(ids, skip_special_tokens=False)
+    trie, _ = trie_encoder(tokenizer(BYTE_BPE))
+    assert trie.decode(ids) == library(tokenizer(BYTE_BPE)).decode(ids, skip_special_tokens=False)
 
 
 def test_encode_decode_gives_texts(frame):
@@ -112,7 +115,7 @@ def test_spliced_counts_equal_whole_counts(spark, frame, chunk, overlap):
 @settings(max_examples=30, deadline=None)
 @given(text=st.text("ab .\n<|endoftext|>é", min_size=100, max_size=400))
 def test_stable_cuts_split_the_ids(text):
-    encoder = chunks.library(tokenizer(BYTE_BPE))
+    encoder = library(tokenizer(BYTE_BPE))
     whole = encoder.encode(text, add_special_tokens=False)
     for at, before in token_count.stable_cuts(text, np.array([s for s, _ in whole.offsets]), 0, len(text)):
         halves = want(BYTE_BPE, [text[:at], text[at:]])
