@@ -76,7 +76,7 @@ def intermediates(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        _OWNERS.remove(paths)
+        _OWNERS.pop()
         for path in paths:
             remove_path(spark, path)
 
