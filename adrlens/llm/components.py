@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from adrlens.llm.common import written
+from adrlens.llm.common import discard, written
+from adrlens.session import intermediates
 
 
 def _least_neighbour(edges: DataFrame) -> DataFrame:
@@ -34,11 +35,15 @@ def components(edges: DataFrame) -> DataFrame:
     the least of its component; every round is written, so a lost executor costs one round.  A
     node with very many edges is joined with one row, which adaptive execution can split.
     """
+    spark = edges.sparkSession
     edges = written(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                     .distinct(), "edges")
     state = None
     while True:
-        edges = written(_small_star(_large_star(edges)), "edges")
+        before = edges
+        with intermediates(spark):
+            edges = written(_small_star(_large_star(before)), "edges", result=True)
+        discard(before)
         found = edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
         if found == state:
             break

@@ -25,6 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from adrlens.llm.common import join_small, numbered, written
+from adrlens.session import intermediates
 
 FANOUT = 3
 LEVELS = 7
@@ -116,6 +117,23 @@ def manifest(rows: DataFrame, group_column: str, order_column: str, digest_colum
     ``proof`` has a step per level from the leaf to the root: the digests ``left`` and ``right`` of
     the node in its run, joined.
     """
+    with intermediates(rows.sparkSession):
+        blocks, paths = _blocks_and_paths(rows, group_column, order_column, digest_column, fanout, levels)
+    own = _subtrees(join_small(blocks, paths, ["group", "block"], "inner", FEW), fanout, levels)
+
+    def proof(at: Column) -> Column:
+        steps = [F.when((F.size(f"level{i}") > 1) | (F.col("blocks") > 1),
+                        _step(F.col(f"level{i}"), F.floor(at / fanout ** i), fanout)) for i in range(levels)]
+        return F.concat(F.filter(F.array(*steps), lambda s: s.isNotNull()), F.col("path"))
+
+    proved = F.transform("leaves", lambda leaf, at: F.struct(leaf["row"].alias("row"), proof(at).alias("proof")))
+    return (own.select("subroot", "root", F.explode(proved).alias("own"))
+            .select("own.row.*", "subroot", "root", "own.proof"))
+
+
+def _blocks_and_paths(rows: DataFrame, group_column: str, order_column: str, digest_column: str, fanout: int,
+                      levels: int) -> tuple[DataFrame, DataFrame]:
+    """(group, block, blocks, leaves), and (group, block, subroot, root, path)."""
     size = fanout ** levels
     group = F.when(F.col(group_column).isNull(), "").otherwise(F.concat(F.lit("="), F.col(group_column).cast("string")))
     kept = [c for c in rows.columns if c not in ("subroot", "root", "proof")]
@@ -126,7 +144,7 @@ def manifest(rows: DataFrame, group_column: str, order_column: str, digest_colum
         leaves.withColumns({"block": F.floor(F.col("at") / size), "blocks": F.ceil(F.col("size") / size)})
         .groupBy("group", "block", "blocks")
         .agg(F.array_sort(F.collect_list(F.struct("at", "digest", "row")),
-                          lambda a, b: (a["at"] - b["at"]).cast("int")).alias("leaves")), "blocks")
+                          lambda a, b: (a["at"] - b["at"]).cast("int")).alias("leaves")), "blocks", result=True)
     most = blocks.agg(F.max("blocks")).first()[0] or 0
     tops = _subtrees(blocks, fanout, levels).select("group", "block", "blocks", F.col("top").alias("root"))
     upper = written(butterfly(tops, most, fanout), "block-paths")
@@ -141,14 +159,4 @@ def manifest(rows: DataFrame, group_column: str, order_column: str, digest_colum
                    .drop("block").withColumnRenamed("name", "group"), "group-paths")
     paths = (join_small(upper.drop("root"), over, "group", "inner", FEW)
              .select("group", "block", "subroot", "root", F.concat("path", "over").alias("path")))
-
-    own = _subtrees(join_small(blocks, written(paths, "paths"), ["group", "block"], "inner", FEW), fanout, levels)
-
-    def proof(at: Column) -> Column:
-        steps = [F.when((F.size(f"level{i}") > 1) | (F.col("blocks") > 1),
-                        _step(F.col(f"level{i}"), F.floor(at / fanout ** i), fanout)) for i in range(levels)]
-        return F.concat(F.filter(F.array(*steps), lambda s: s.isNotNull()), F.col("path"))
-
-    proved = F.transform("leaves", lambda leaf, at: F.struct(leaf["row"].alias("row"), proof(at).alias("proof")))
-    return (own.select("subroot", "root", F.explode(proved).alias("own"))
-            .select("own.row.*", "subroot", "root", "own.proof"))
+    return blocks, written(paths, "paths", result=True)

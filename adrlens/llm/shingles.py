@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import regex
 
 from adrlens.llm.common import text_slices
 
@@ -13,13 +14,15 @@ BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that its powers have inverses
 
 
 def _is_word() -> np.ndarray:
-    """Bytes that belong to words: ASCII letters and digits, and all of other characters."""
+    """Bytes that belong to words: ASCII letters and digits, and all of other characters but ``BREAKS``."""
     table = np.zeros(256, bool)
     table[[*range(ord("0"), ord("9") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = True
     return table
 
 
 WORD_BYTE = _is_word()
+#: Blanks, signs and controls beyond ASCII, which separate words like those in ASCII.
+BREAKS = regex.compile(r"[[\p{Z}\p{P}\p{S}\p{C}]--[\x00-\x7F]]+", regex.V1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -51,7 +54,7 @@ class WordHasher:
 
     def of(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """(hashes of all words, number of words of each text)."""
-        raw = [t.lower().encode() for t in texts]
+        raw = [(t if t.isascii() else BREAKS.sub(" ", t)).lower().encode() for t in texts]
         data = np.frombuffer(b"\0".join([*raw, b""]), np.uint8)
         ends = np.cumsum([len(r) + 1 for r in raw]) if raw else np.zeros(0, np.int64)
         hashes, starts, begin = [], [], 0

@@ -3,8 +3,10 @@
 1. Documents are dealt into blocks by hash.  Each block sends its distinct shingles, cut by hash
    into buckets, as packed arrays; a bucket counts in how many documents each shingle occurs and
    sends the counts above one back to the blocks that asked.
-2. Each document is a weighted set: weight = occurrences x idf, idf = 1 + ln(N / df) / ln(N), from
-   1 (in every document) to 2 (in one).  Improved consistent weighted sampling draws ``samples``
+2. Each document is a weighted set: weight = occurrences x idf, idf = 1 + IDF_RANGE ln(N / df) / ln(N),
+   from 1 (in every document) to 1 + IDF_RANGE (in one).  The range is narrow, so that a copy's
+   few private changes weigh little more than what its group shares, however large the group is;
+   the bar is set so low that no pair of the wanted plain similarity fails for it.  Improved consistent weighted sampling draws ``samples``
    (shingle, step) pairs; two documents agree on each with the probability of their weighted
    Jaccard similarity.  Bands of samples are keys.
 3. Documents with the same words in the same order are one class from here on.  In every bucket
@@ -34,12 +36,14 @@ from pyspark.sql import DataFrame, functions as F
 from adrlens.llm.common import join_small, kept_by_worker, parts_for, ranges, written
 from adrlens.llm.components import components
 from adrlens.llm.shingles import Shingler, mix, pack_sorted, unpack_sorted
+from adrlens.session import intermediates
 
 BLOCK_CHARS = 1 << 23  # text of a block
 BUCKET_CHARS = 1 << 23  # text whose shingles fall into a bucket
 SLOTS = 1 << 15
 BUCKET_SHINGLES = 1 << 21  # shingles of a bucket that meet in one task
 FEW = 500_000  # ids that may be broadcast
+IDF_RANGE = 0.05
 
 
 @dataclass(frozen=True)
@@ -53,6 +57,11 @@ class Sampling:
     def samples(self) -> int:
         return self.bands * self.rows
 
+    @property
+    def bar(self) -> float:
+        """The least weighted similarity that a pair of plain ``similarity`` can have."""
+        return self.similarity / (self.similarity + (1 + IDF_RANGE) * (1 - self.similarity)) - 1e-6  # for rounding
+
 
 def draws(samples: int) -> tuple[np.ndarray, ...]:
     """Random numbers of consistent weighted sampling per slot: 1/r, r, beta, ln c - r."""
@@ -162,7 +171,7 @@ class Weights:
             at = np.minimum(np.searchsorted(self.shared, found), len(self.shared) - 1)
             hit = self.shared[at] == found
             df[hit] = self.counts[at[hit]]
-        idf = 1 + np.log(self.documents / df) / np.log(self.documents)
+        idf = 1 + IDF_RANGE * np.log(self.documents / df) / np.log(self.documents)
         return found, (times * np.maximum(idf, 1)).astype(np.float32)
 
 
@@ -273,6 +282,15 @@ def links_across(members: DataFrame, groups: DataFrame, sets: DataFrame, least:
 def near_duplicates(docs: DataFrame, config: Sampling = Sampling(), id_column: str = "doc_id",
                     text_column: str = "text") -> DataFrame:
     """(id, class_id, kept) of every row; the class is named by its smallest id."""
+    with intermediates(docs.sparkSession):
+        found = written(_classes_of(docs, config, id_column, text_column), "classes-of-documents", result=True)
+    return (docs.select(F.col(id_column).cast("long").alias("id")).join(found, "id", "left")
+            .select(F.col("id").alias(id_column), F.coalesce("class_id", "id").alias("class_id"))
+            .withColumn("kept", F.col(id_column).eqNullSafe(F.col("class_id"))))
+
+
+def _classes_of(docs: DataFrame, config: Sampling, id_column: str, text_column: str) -> DataFrame:
+    """(id, class_id) of the documents with words."""
     spark = docs.sparkSession
     texts = (docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
              .where("id is not null and text is not null"))
@@ -295,18 +313,15 @@ def near_duplicates(docs: DataFrame, config: Sampling = Sampling(), id_column: s
 
     stars = written(members.where("first != node").select(F.col("first").alias("a"), F.col("node").alias("b"))
                     .distinct(), "pairs")
-    links = written(verified(stars, sets, config.similarity), "links", release=True)
+    links = written(verified(stars, sets, config.bar), "links", release=True)
     groups = written(components(links), "components")
-    more = written(links_across(members, groups, sets, config.similarity), "links", release=True)
+    more = written(links_across(members, groups, sets, config.bar), "links", release=True)
     if not more.isEmpty():
         groups = written(components(links.unionByName(more)), "components")
 
     named = written(classes.join(groups, "node", "left")
                     .select("words", "size", F.coalesce("component", "node").alias("class_id")), "class-names")
-    found = (signed.join(named, ["words", "size"]).groupBy("id").agg(F.min("class_id").alias("class_id")))
-    return (docs.select(F.col(id_column).cast("long").alias("id")).join(found, "id", "left")
-            .select(F.col("id").alias(id_column), F.coalesce("class_id", "id").alias("class_id"))
-            .withColumn("kept", F.col(id_column).eqNullSafe(F.col("class_id"))))
+    return signed.join(named, ["words", "size"]).groupBy("id").agg(F.min("class_id").alias("class_id"))
 
 
 def one_of_each(docs: DataFrame, config: Sampling = Sampling(), id_column: str = "doc_id",

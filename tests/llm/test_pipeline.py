@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
+
 import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__
 import corpus_pipeline
-from adrlens.llm import packing, secret_scan
+from adrlens.llm import common, packing, secret_scan
 from adrlens.llm.queries import QUERIES, SECRETS
+from adrlens.session import shared_folder
 
 from .test_weighted_minhash import classes
 
@@ -57,5 +60,20 @@ def test_queries_on_empty_tables(spark, empty, name):
 
 def test_registered_once_each():
     names = list(__spark_entry__.queries())
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert packing.piece_lengths(1, 1024) == [1]
+
+
+def test_only_the_result_is_left_in_the_shared_folder(spark):
+    before = set(os.listdir(shared_folder(spark)))
+    rows = corpus_pipeline.run(spark, SMALL)
+    new = sorted(set(os.listdir(shared_folder(spark))) - before)
+    assert [n.rsplit("-", 1)[0] for n in new] == ["packing"] and rows.count() > 100
+
+
+def test_a_worker_keeps_the_memory_of_one_operator():
+    common._KEPT.clear()
+    assert common.kept_by_worker("one", "a", 1, lambda: "x") == "x" and common.kept_by_worker("one", "b", 1, list) == []
+    assert common.kept_by_worker("one", "a", 1, lambda: "y") == "x" and common.kept_by_worker("one", "a", 2, lambda: "z") == "z"
+    assert common.kept_by_worker("two", "a", 1, dict) == {} and list(common._KEPT) == ["two"]
+    common._KEPT.clear()

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -16,7 +17,8 @@ from .conftest import TEXTS
 
 def words(text):
     out, own = [], b""
-    for b in (text or "").lower().encode():
+    plain = "".join(" " if c > "\x7f" and unicodedata.category(c)[0] in "ZPSC" else c for c in text or "")
+    for b in plain.lower().encode():
         if b >= 128 or chr(b).isalnum():
             own += bytes([b])
         else:
@@ -29,14 +31,14 @@ def sets(texts, size=5):
     return [Counter(tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))) if w else Counter() for w in split]
 
 
-def classes(rows, least=0.8):
+def classes(rows, least=wm.Sampling().bar):
     """Smallest id that weighted Jaccard links lead to; rows of one id are one document."""
     rows = [(i, t) for i, t in rows]
     known = [(i, t) for i, t in rows if i is not None and t is not None]
     own = sets([t for _, t in known])
     df = Counter(s for c in own for s in c)
     n = max(2, len(known))
-    weight = [{s: c * (1 + math.log(n / df[s]) / math.log(n)) for s, c in o.items()} for o in own]
+    weight = [{s: c * (1 + wm.IDF_RANGE * math.log(n / df[s]) / math.log(n)) for s, c in o.items()} for o in own]
     label = {i: i for i, _ in rows if i is not None}
 
     def root(i):
@@ -156,4 +158,34 @@ def test_weights_lie_between_one_and_two(n):
     shared = np.array([5, 9], np.uint64)
     answers = pd.DataFrame({"shingles": [shingles.pack_sorted(shared)], "counts": [np.array([n, n], "<u4").tobytes()]})
     found, weight = wm.Weights(answers, n).of(np.array([9, 7, 9], np.uint64))
-    assert found.tolist() == [7, 9] and 1 <= weight[0] <= 2 and 2 <= weight[1] <= 4
+    most = np.float32(1 + wm.IDF_RANGE)
+    assert found.tolist() == [7, 9] and 1 <= weight[0] <= most and 2 <= weight[1] <= 2 * most
+
+
+@pytest.mark.parametrize("group", [2, 100, 700])
+def test_copies_of_plain_similarity_link_in_groups_of_every_size(frame, group):
+    """Each copy has private words in place of some, in the midst of other documents (2,100 in all)."""
+    pick, rows = random.Random(group), []
+    base = [f"w{i}" for i in range(1000)]
+    changes = {0.8: 22, 0.85: 16, 0.9: 10}  # of words five apart at least: five shingles each
+    plain = {}
+    for i in range(group):
+        wanted = list(changes)[(i - 1) % 3]
+        own = list(base)
+        for at in pick.sample(range(199), changes[wanted]) if i else []:
+            own[5 * at + 2] = f"p{i}x{at}"
+        rows.append((i, " ".join(own)))
+        a, b = (set(zip(*(w[j:] for j in range(5)))) for w in (base, own))
+        plain[i] = len(a & b) / len(a | b)
+    rows += [(10_000 + i, " ".join(f"o{i}x{j}" for j in range(20))) for i in range(2100 - group)]
+    assert all(s >= 0.799 for s in plain.values()) and min(plain.values()) < 0.803
+    found_ = {r[0]: r[1] for r in wm.near_duplicates(frame(rows)).collect()}
+    linked = [found_[i] == 0 for i in plain if plain[i] >= 0.8]
+    assert sum(linked) >= 0.99 * len(linked)
+    assert all(found_[i] == i for i in found_ if i >= 10_000)
+
+
+def test_signs_beyond_ascii_separate_words():
+    same = ["it\u2019s a \u201ctest\u201d \u2014 of\u00a0words", "it s a test of words", "It's a 'test' - of words"]
+    assert len({w for _, w in shingles.Shingler(5).of(same)}) == 1
+    assert len({w for _, w in shingles.Shingler(5).of(["na\u00efve caf\u00e9", "nai ve caf e"])}) == 2
