@@ -6,25 +6,25 @@ unbalanced quote is set aside (see ``rejected_rows``) and never takes its file w
 Quotes inside quoted text are doubled; a backslash is an ordinary character.
 
 Files are split and read line by line.  A first pass finds the files in which a quoted field is
-still open at the end of a line; only those are read unsplit, line after line, and a record goes
-on over the lines that follow until its quote is closed (see ``joined_lines``).
+still open at the end of a line; in those a record goes on over the lines that follow until its
+quote is closed (see ``joined_records``).  They are split like all others.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import partial, reduce
 from multiprocessing.pool import ThreadPool
 from urllib.parse import unquote
 
-import pandas as pd
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from adrlens.functions.cleaning import NULL_TOKENS, null_tokens
 from adrlens.schemas import REPORT_COLUMNS, REPORT_TABLES, string_schema
+from adrlens.session import materialise
 from adrlens.sources.case_tables import CaseTables
 
 # Fixed values.
@@ -37,7 +37,9 @@ HEADER_THREADS = 16
 KEPT = "ok"
 
 _RAW = "_raw_line"
-_QUOTED = r'(^|\$)"([^"]|"")*"'
+#: A quoted field: up to the first quote that is not doubled, else up to the last but one of all.
+#: Without backtracking, as a field may be long.
+_QUOTED = r'(^|\$)"(?:(?:[^"]++|"")*+"|(?s:.*)"(?="[^"]*$))'
 _OPEN_QUOTE = r'(^|\$)"[^"]*$'
 _STRAY_QUOTE = "stray_quote"
 
@@ -125,7 +127,7 @@ def _parsed(spark: SparkSession, paths: list[str], header: tuple[str, ...]) -> D
 def _reason(n_columns: int) -> Column:
     """Why a line is left out; ``ok`` for a line that is kept."""
     unquoted = F.regexp_replace(F.col(_RAW), _QUOTED, "$1")
-    fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(DELIMITER), F.lit(""))) + 1
+    fields = _fields(unquoted)
     return (F.when(F.col(_RAW).isNull(), KEPT)
             .when(unquoted.rlike(_OPEN_QUOTE), "unbalanced_quote")
             .when(fields > n_columns, "too_many_fields")
@@ -133,7 +135,7 @@ def _reason(n_columns: int) -> Column:
             .otherwise(KEPT))
 
 
-# --- records over several lines -------------------------------------------------------
+# --- lines of files with open quotes ---------------------------------------------------
 
 def _open_reports(spark: SparkSession, files: list[ReportFile]) -> set[tuple[str, int, int]]:
     """(table, year, quarter) of files in which a quoted field is open at the end of a line."""
@@ -147,88 +149,125 @@ def _open_reports(spark: SparkSession, files: list[ReportFile]) -> set[tuple[str
     return {_report_of(unquote(r["path"]), REPORT_TABLES)[0] for r in found}
 
 
-def _shape(line: str) -> tuple[bool, bool, int]:
-    """(a quoted field is open at the end, a quote stands inside plain text, fields)."""
-    unquoted = re.sub(_QUOTED, r"\1", line)
-    plain, opened = re.subn(_OPEN_QUOTE, r"\1", unquoted)
-    return bool(opened), QUOTE in plain, unquoted.count(DELIMITER) + 1
+_LINE_KEYS = ["path", "segment"]
 
 
-def joined_lines(lines: list[str], n_columns: int, more: bool = False) -> Iterator[tuple[str, str | None]]:
-    """(record, reason) of the lines of one file; no reason where the parser has to decide.
+def _quote_shape(line: Column) -> Column:
+    """A line's quotes: whether a field is open at its end (``opens``), whether the line closes a
+    field left open before it (``closes``), whether a quote stands inside plain text (``stray``);
+    and its ``fields``."""
+    def unquoted(text: Column) -> Column:
+        return F.regexp_replace(text, _QUOTED, "$1")
 
-    An open quote takes in the lines that follow up to the one that closes it with a quote
-    inside plain text, unless a line before that one has all fields by itself.  If the record
-    has all fields, and its last line has not, it is kept, else it is rejected whole, so that no
-    part of it passes as a row.  Otherwise the open quote is a stray one: its line is rejected
-    and the next starts anew.  With ``more`` lines to come, a record that they may go on with is
-    left for later.
-    """
-    at = 0
-    while at < len(lines):
-        first, end = lines[at], None
-        if _shape(first)[0]:
-            for i in range(at + 1, len(lines)):
-                _, stray, own = _shape(lines[i])
-                if not _shape(f"{QUOTE}\n{lines[i]}")[0]:  # of an open field only its quote matters
-                    end = i if stray else None
-                    break
-                if own >= n_columns:
-                    break
-            else:
-                if more:
-                    return
-            if end is None:
-                yield first, "unbalanced_quote"
-            else:
-                record = "\n".join(lines[at:end + 1])
-                fields = _shape(record)[2]
-                yield record, (KEPT if fields == n_columns > own else
-                               "too_many_fields" if fields > n_columns else _STRAY_QUOTE)
-                at = end
-        else:
-            yield first, None
-        at += 1
+    quoted = F.contains(line, F.lit(QUOTE))
+    own = F.when(quoted, unquoted(line)).otherwise(line)
+    within = unquoted(F.concat(F.lit(QUOTE + "\n"), line))  # of an open field only its quote matters
+    return F.struct(
+        (quoted & own.rlike(_OPEN_QUOTE)).alias("opens"), (quoted & ~within.rlike(_OPEN_QUOTE)).alias("closes"),
+        (quoted & F.contains(F.regexp_replace(own, _OPEN_QUOTE, "$1"), F.lit(QUOTE))).alias("stray"), _fields(own).alias("fields"))
 
 
-def _parsed_in_order(spark: SparkSession, paths: list[str], header: tuple[str, ...]) -> DataFrame:
-    """Like ``_parsed`` for files with records over several lines.
+def _fields(unquoted: Column) -> Column:
+    return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(DELIMITER), F.lit(""))) + 1
+
+
+def _before(frame: DataFrame, count: Column, name: str) -> DataFrame:
+    """(path, split, ``name``): sum of ``count`` over the earlier splits of a file; one row per split."""
+    return (frame.groupBy("path", "split").agg(count.alias("n"))
+            .withColumn(name, F.sum("n").over(W.partitionBy("path").orderBy("split")) - F.col("n")).drop("n"))
+
+
+def _numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, year_quarter, split, number, line): lines that are not blank, numbered per file from
+    0, the header; files are split, and a line's number is its place in the split plus the lines before."""
+    lines = (spark.read.option("recursiveFileLookup", True).text([literal_path(p) for p in paths])
+             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"),
+                     _quarter_label().alias("year_quarter"), F.decode(F.col("value").cast("binary"), ENCODING).alias("line"))
+             .where("trim(line) != ''").withColumn("place", F.monotonically_increasing_id()))
+    splits = _before(lines, F.count("*"), "before").join(
+        lines.groupBy("path", "split").agg(F.min("place").alias("first")), ["path", "split"])
+    return (lines.join(materialise(splits, "splits"), ["path", "split"])
+            .withColumn("number", F.col("before") + F.col("place") - F.col("first")).drop("before", "place", "first"))
 
-    Each line is read as one field of an unsplit file, so the lines of a file come in order.
-    Lines are handed on as soon as no open record can reach them.
+
+def joined_records(lines: DataFrame, n_columns: int) -> DataFrame:
+    """(year_quarter, line, given): the records of numbered lines; no reason given where the parser has to decide.
+
+    An open quote takes in the lines that follow up to the one that closes it with a quote inside
+    plain text, unless a line before that one has all fields by itself.  If the record has all
+    fields, and its last line has not, it is kept, else it is rejected whole, so that no part of it
+    passes as a row.  Otherwise the open quote is a stray one: its line is rejected and the next
+    starts anew.
+
+    A line that closes a field or has all fields ends a segment; a line's segment is known from
+    the number of lines before it that do not, counted per split.  Only segments that follow one
+    another in doubt (the last line of one may open or close a record) are looked at in order.
     """
-    lines = (spark.read.schema("line string").option("encoding", ENCODING).option("multiLine", True)
-             .option("sep", "\u0001").option("quote", "").option("recursiveFileLookup", True)
-             .csv([literal_path(p) for p in paths])
-             .select(F.col("_metadata.file_path").alias("path"), _quarter_label().alias("year_quarter"), "line"))
-    n_columns = len(header)
+    shaped = lines.withColumn("shape", _quote_shape(F.col("line"))).select("*", "shape.*").drop("shape")
+    full = F.col("fields") >= n_columns
+    regular = full & ~F.col("opens") & ~F.col("closes")
+    plain = shaped.where(regular).select("year_quarter", "line", F.lit(None).cast("string").alias("given"))
+
+    odd = materialise(shaped.where(~regular).withColumn("inner", ~full & ~F.col("closes")), "odd-lines")
+    inner = F.col("inner").cast("long")
+    earlier = W.partitionBy("path", "split").orderBy("number").rowsBetween(W.unboundedPreceding, -1)
+    own = (odd.withColumn("inners", F.coalesce(F.sum(inner).over(earlier), F.lit(0)))
+           .join(_before(odd, F.sum(inner), "more"), ["path", "split"])
+           .withColumn("segment", F.col("number") - F.col("inners") - F.col("more"))
+           .select("path", "year_quarter", "segment", "number", "line", "opens", "inner", "fields",
+                   (F.col("closes") & F.col("stray") & ~F.col("inner")).alias("good"), F.lit(False).alias("copy")))
+    own = materialise(own, "segments")
+    copies = (own.where("opens and not inner")  # may begin the next segment's record
+              .withColumns({"segment": F.col("segment") + 1, "copy": F.lit(True), "good": F.lit(False)}))
+    members = own.unionByName(copies)
+    segments = members.groupBy(*_LINE_KEYS).agg(
+        F.min(F.when(F.col("inner") & F.col("opens"), F.col("number"))).alias("inside"),
+        F.max(F.when(F.col("copy"), F.col("number"))).alias("carried"), F.max("good").alias("good"))
+    kind = (F.when(~F.col("good"), "no").when(F.col("inside").isNotNull(), "yes")
+            .when(F.col("carried").isNotNull(), "unless").otherwise("no"))  # unless the one before is a record
+    segments = materialise(segments.withColumn("kind", kind), "segment-kinds")
+    last = segments.select("path", (F.col("segment") + 1).alias("segment"), F.col("kind").alias("last_kind"))
+    known = segments.join(last, _LINE_KEYS, "left").withColumn("last_kind", F.coalesce("last_kind", F.lit("no")))
+    settled = (known.where("kind != 'unless' or last_kind != 'unless'")
+               .withColumn("record", (F.col("kind") == "yes") | ((F.col("kind") == "unless") & (F.col("last_kind") == "no"))))
+    chained = (known.where("kind = 'unless' and last_kind = 'unless'")  # each the opposite of the one before
+               .withColumn("link", F.row_number().over(W.partitionBy("path").orderBy("segment")))
+               .withColumn("chain", F.col("segment") - F.col("link"))
+               .withColumn("link", F.row_number().over(W.partitionBy("path", "chain").orderBy("segment")))
+               .withColumn("start", F.col("segment") - F.col("link")))
+    starts = settled.select("path", F.col("segment").alias("start"), F.col("record").alias("start_record"))
+    chained = (chained.join(starts, ["path", "start"])
+               .withColumn("record", (F.col("link") % 2 == 1) != F.col("start_record")))
+    found = ["path", "segment", "inside", "carried", "record"]
+    settled = materialise(settled.select(found).unionByName(chained.select(found)), "records")
+    before = settled.select("path", (F.col("segment") + 1).alias("segment"), F.col("record").alias("last_record"))
+    begin = F.when(F.col("record"), F.when(F.col("carried").isNotNull() & ~F.coalesce("last_record", F.lit(False)),
+                                           F.col("carried")).otherwise(F.col("inside")))
+    begun = settled.join(before, _LINE_KEYS, "left").select(*_LINE_KEYS, begin.alias("begin"))
+    after = begun.select("path", (F.col("segment") - 1).alias("segment"), F.col("begin").alias("next_begin"))
+
+    placed = members.join(begun, _LINE_KEYS)
+    records = (placed.where("number >= begin").groupBy(*_LINE_KEYS, "year_quarter")
+               .agg(F.array_sort(F.collect_list(F.struct("number", "line", "fields"))).alias("lines"))
+               .select("year_quarter", F.array_join("lines.line", "\n").alias("line"),
+                       F.element_at("lines.fields", -1).alias("last_fields"))
+               .withColumn("fields", _fields(F.regexp_replace("line", _QUOTED, "$1"))))
+    given = (F.when(F.col("fields") > n_columns, "too_many_fields")
+             .when((F.col("fields") == n_columns) & (F.col("last_fields") < n_columns), KEPT).otherwise(_STRAY_QUOTE))
+    alone = (placed.join(after, _LINE_KEYS, "left")
+             .where("not copy and (begin is null or number < begin) and (next_begin is null or number < next_begin)")
+             .select("year_quarter", "line", F.when(F.col("opens"), "unbalanced_quote").alias("given")))
+    return plain.unionByName(records.select("year_quarter", "line", given.alias("given"))).unionByName(alone)
 
-    def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        path, quarter, held = None, None, []
-
-        def records(more: bool) -> pd.DataFrame:
-            """The records that are complete; with ``more`` lines to come, the others stay held."""
-            out, used = [], 0
-            for record, reason in joined_lines(held, n_columns, more):
-                out.append((quarter, record, reason))
-                used += record.count("\n") + 1
-            del held[:used]
-            return pd.DataFrame(out, columns=["year_quarter", "line", "given"])
-
-        for frame in frames:
-            for one, rows in frame.groupby("path", sort=False):
-                own = rows["line"].fillna("").tolist()
-                if one != path:
-                    yield records(False)
-                    path, quarter, own = one, rows["year_quarter"].iloc[0], own[1:]  # without header
-                held += own
-                yield records(True)
-        yield records(False)
 
+def _parsed_in_order(spark: SparkSession, paths: list[str], header: tuple[str, ...]) -> DataFrame:
+    """Like ``_parsed`` for files with records over several lines."""
+    n_columns = len(header)
+    lines = _numbered_lines(spark, paths).where("number > 0")
     parsed = F.from_csv("line", F.lit(", ".join(f"`{c}` string" for c in [*header, _RAW])),
                         {"sep": DELIMITER, "escape": QUOTE, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RAW})
-    return (lines.mapInPandas(join, "year_quarter string, line string, given string")
-            .where("line != ''").select("year_quarter", "given", "line", parsed.alias("parsed"))
+    return (joined_records(lines, n_columns)
+            .select("year_quarter", "given", "line", parsed.alias("parsed"))
             .select(*(F.col("parsed").getField(c).alias(c) for c in header),
                     F.when(F.col("given").isNull(), F.col(f"parsed.{_RAW}"))
                     .when(F.col("given") != KEPT, F.col("line")).alias(_RAW), "year_quarter", "given")

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import math
 import random
+import re
 import statistics
+from collections.abc import Iterator
+
+from adrlens.sources import report_files as rf
 
 ORDER = ("HBV_MONO", "HIV_HBV_COINFECTION", "HBV_AUTOIMMUNE", "HBV_OTHER")
 
@@ -88,3 +92,49 @@ def random_data(study, n_cases=60, hot=0, seed=1):
         data["drug"].append(dict(primaryid="7", drugname=names[k % 2]))
         data["outc"].append(dict(primaryid="7", outc_cod="HO"))
     return data
+
+
+# --- records over several lines, one line after the other ---
+
+def _shape(line: str) -> tuple[bool, bool, int]:
+    """(a quoted field is open at the end, a quote stands inside plain text, fields)."""
+    unquoted = re.sub(rf._QUOTED, r"\1", line)
+    plain, opened = re.subn(rf._OPEN_QUOTE, r"\1", unquoted)
+    return bool(opened), rf.QUOTE in plain, unquoted.count(rf.DELIMITER) + 1
+
+
+def joined_lines(lines: list[str], n_columns: int, more: bool = False) -> Iterator[tuple[str, str | None]]:
+    """(record, reason) of the lines of one file; no reason where the parser has to decide.
+
+    An open quote takes in the lines that follow up to the one that closes it with a quote
+    inside plain text, unless a line before that one has all fields by itself.  If the record
+    has all fields, and its last line has not, it is kept, else it is rejected whole, so that no
+    part of it passes as a row.  Otherwise the open quote is a stray one: its line is rejected
+    and the next starts anew.  With ``more`` lines to come, a record that they may go on with is
+    left for later.
+    """
+    at = 0
+    while at < len(lines):
+        first, end = lines[at], None
+        if _shape(first)[0]:
+            for i in range(at + 1, len(lines)):
+                _, stray, own = _shape(lines[i])
+                if not _shape(f"{rf.QUOTE}\n{lines[i]}")[0]:  # of an open field only its quote matters
+                    end = i if stray else None
+                    break
+                if own >= n_columns:
+                    break
+            else:
+                if more:
+                    return
+            if end is None:
+                yield first, "unbalanced_quote"
+            else:
+                record = "\n".join(lines[at:end + 1])
+                fields = _shape(record)[2]
+                yield record, (rf.KEPT if fields == n_columns > own else
+                               "too_many_fields" if fields > n_columns else rf._STRAY_QUOTE)
+                at = end
+        else:
+            yield first, None
+        at += 1
