@@ -24,21 +24,26 @@ def _counts(df: DataFrame, by: list[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
-def score_ladder(scored: DataFrame) -> DataFrame:
-    """Per label and distinct score: positives, negatives and those with a higher score.
-
-    Equal scores collapse in the first aggregate.  The running sum is then taken in three
-    levels (coarse bin, fine bin within it, score within that), so no window holds more
-    than one bin of its level and no task a whole label.
-    """
+def _distinct_scores(scored: DataFrame) -> DataFrame:
+    """(label, score, pos, neg, fine, coarse): rows of each distinct score and its bins."""
     y = F.col("y")
-    scores = (
+    return (
         scored.groupBy("label", "score")
         .agg(F.sum(F.when(y == 1, 1).otherwise(0)).alias("pos"),
              F.sum(F.when(y == 1, 0).otherwise(1)).alias("neg"))
         .withColumn("fine", F.floor(F.col("score") * FINE))
         .withColumn("coarse", F.floor(F.col("fine") / (FINE // COARSE)))
     )
+
+
+def score_ladder(scored: DataFrame) -> DataFrame:
+    """Per label and distinct score: positives, negatives and those with a higher score.
+
+    Equal scores collapse in the first aggregate.  The running sum is then taken in three
+    levels (coarse bin, fine bin within it, score within that), so no window holds more
+    than one bin of its level and no task a whole label.
+    """
+    scores = _distinct_scores(scored)
     fine = _counts(scores, ["label", "coarse", "fine"])
     coarse = _above(_counts(fine, ["label", "coarse"]), ["label"], "coarse")
     fine = (
@@ -68,9 +73,46 @@ def roc_points(scored: DataFrame) -> DataFrame:
     The origin has no threshold.  Labels with one class only have no curve.  The totals
     hold one row per label.
     """
+    return _curve(scored, score_ladder(scored))
+
+
+def _next_step(scores: DataFrame) -> DataFrame:
+    """(label, score, next): positives and negatives of the next lower score of a label.
+
+    A bin's first step is the next one of the bin before; like the running sums it goes through
+    two levels of bins, so no window holds a whole label.
+    """
+    step = F.struct("pos", "neg")
+
+    def following(by: list[str], order: str, what: Column) -> Column:
+        return F.lead(what).over(Window.partitionBy(*by).orderBy(F.desc(order)))
+
+    def first_steps(*by: str) -> DataFrame:
+        return scores.groupBy(*by).agg(F.max_by(step, "score").alias("head"))
+
+    coarse = first_steps("label", "coarse").withColumn("after", following(["label"], "coarse", F.col("head"))).drop("head")
+    fine = (first_steps("label", "coarse", "fine").withColumn("own", following(["label", "coarse"], "fine", F.col("head")))
+            .join(F.broadcast(coarse), ["label", "coarse"])  # at most ``COARSE`` rows per label
+            .select("label", "fine", F.coalesce("own", "after").alias("after")))
+    return (scores.withColumn("own", following(["label", "fine"], "score", step)).join(fine, ["label", "fine"])
+            .select("label", "score", F.coalesce("own", "after").alias("next")))
+
+
+def roc_corners(scored: DataFrame) -> DataFrame:
+    """``roc_points`` without the points that lie between two equal steps of the curve.
+
+    The origin and the points of a label's highest and lowest score always stay.
+    """
+    steps = _next_step(_distinct_scores(scored))
+    highest = F.col("pos_above") + F.col("neg_above") == 0
+    bend = F.col("next").isNull() | (F.col("next") != F.struct("pos", "neg"))
+    return _curve(scored, score_ladder(scored).join(steps, ["label", "score"]).where(highest | bend).drop("next"))
+
+
+def _curve(scored: DataFrame, ladder: DataFrame) -> DataFrame:
     totals = class_totals(scored).where("n_pos > 0 AND n_neg > 0")
     hits, alarms = F.col("pos_above") + F.col("pos"), F.col("neg_above") + F.col("neg")
-    points = score_ladder(scored).join(F.broadcast(totals), "label").select(
+    points = ladder.join(F.broadcast(totals), "label").select(
         "label", F.col("score").alias("threshold"),
         (hits / F.col("n_pos")).alias("tpr"), (alarms / F.col("n_neg")).alias("fpr"))
     origin = totals.select("label", F.lit(None).cast("double").alias("threshold"),

@@ -461,6 +461,15 @@ ORACLE_SQL = {
         WHERE n1 > 0 AND n0 > 0
         UNION ALL SELECT label, NULL, 0.0::DOUBLE, 0.0::DOUBLE FROM planted GROUP BY label
         HAVING min(y) = 0 AND max(y) = 1""", PLANTED),
+    "roc_corners": with_ctes(
+        """SELECT label, round(score, 6) AS threshold, round(tp / n1, 6) AS tpr, round(fp / n0, 6) AS fpr FROM (
+          SELECT *, sum(p) OVER upto AS tp, sum(n) OVER upto AS fp, sum(p) OVER every AS n1, sum(n) OVER every AS n0,
+                 lead(p) OVER upto AS p_next, lead(n) OVER upto AS n_next, row_number() OVER upto AS place
+          FROM (SELECT label, score, sum(y) AS p, sum(1 - y) AS n FROM planted GROUP BY label, score)
+          WINDOW upto AS (PARTITION BY label ORDER BY score DESC), every AS (PARTITION BY label))
+        WHERE n1 > 0 AND n0 > 0 AND (place = 1 OR p_next IS NULL OR p_next <> p OR n_next <> n)
+        UNION ALL SELECT label, NULL, 0.0::DOUBLE, 0.0::DOUBLE FROM planted GROUP BY label
+        HAVING min(y) = 0 AND max(y) = 1""", PLANTED),
     "auc": with_ctes(f"SELECT label, round(auc, 6) AS auc FROM ({auc_sql('planted', 'score', 'true')})", PLANTED),
     "classification_metrics": with_ctes(
         """SELECT label, tp, fp, fn, tn, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall,

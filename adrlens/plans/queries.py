@@ -432,6 +432,11 @@ def roc_points(spark, sf_dir):
     return ladder.roc_points(_planted(spark, sf_dir))
 
 
+@query
+def roc_corners(spark, sf_dir):
+    return ladder.roc_corners(_planted(spark, sf_dir))
+
+
 @query
 def auc(spark, sf_dir):
     return ladder.auc(_planted(spark, sf_dir))

@@ -164,6 +164,7 @@ def run_training(matrix: DataFrame, out: str, study: Study = HBV_STUDY,
     write_table(performance, f"{out}/performance")
     write_table(ladder.verdict(performance), f"{out}/verdict")
     write_table(ladder.roc_points(predictions.where("is_test")), f"{out}/roc_points")
+    write_table(ladder.roc_corners(predictions.where("is_test")), f"{out}/roc_corners")
     write_table(ml.feature_importance(models, study, spark), f"{out}/feature_importance")
 
 

@@ -190,3 +190,26 @@ def test_a_study_has_a_limit_of_classes():
     with pytest.raises(ValueError, match="61 drug classes"):
         dataclasses.replace(STUDY, drug_classes=classes)
     dataclasses.replace(STUDY, drug_classes=dict(list(classes.items())[:61]))
+
+
+def test_roc_corners_leave_out_points_between_equal_steps(spark, monkeypatch):
+    """Against the rule on plain lists, with bins so coarse or fine that steps cross their borders."""
+    import random
+    pick = random.Random(2)
+    own = [(label, pick.choice((0, 1)) if label != "one" else 1, pick.randrange(n) / n)
+           for label, n in (("a", 400), ("b", 12), ("c", 3), ("one", 5)) for _ in range(600)]
+    own += [("ties", i % 2, 0.5) for i in range(10)] + [("line", y, i / 64) for i in range(64) for y in (0, 1)]
+    df = spark.createDataFrame(own, "label string, y int, score double")
+    want = set()
+    for label in {r[0] for r in own} - {"one"}:
+        steps = {s: (sum(r == (label, 1, s) for r in own), sum(r == (label, 0, s) for r in own)) for _, _, s in own if (label, 1, s) in own or (label, 0, s) in own}
+        order = sorted(steps, reverse=True)
+        want.add((label, None))
+        want |= {(label, s) for i, s in enumerate(order) if i in (0, len(order) - 1) or steps[s] != steps[order[i + 1]]}
+    points = {(r.label, r.threshold): (r.tpr, r.fpr) for r in ladder.roc_points(df).collect()}
+    for coarse, fine in ((1 << 12, 1 << 24), (4, 16), (1, 2)):
+        monkeypatch.setattr(ladder, "COARSE", coarse)
+        monkeypatch.setattr(ladder, "FINE", fine)
+        found = {(r.label, r.threshold): (r.tpr, r.fpr) for r in ladder.roc_corners(df).collect()}
+        assert found.keys() == want and all(points[k] == v for k, v in found.items())
+    assert sum(k[0] == "line" for k in found) == 3 and len(found) < len(points)
