@@ -20,6 +20,7 @@ from adrlens.study import COHORT_ORDER, Study
 
 DEFAULT_SEVERITY = 1
 FEW_CASES = 1_000_000  # ids that may be broadcast
+FILTER_BITS = 1 << 28  # marks of the filter beyond, 32 MB
 
 
 def exposed_cases(exposures: DataFrame, outc: DataFrame, study: Study,
@@ -79,15 +80,34 @@ def facts_from_counts(counts: DataFrame, exposed: DataFrame) -> DataFrame:
     return events.unionByName(per_case).join(exposed, "primaryid")
 
 
+def may_be_among(df: DataFrame, ids: DataFrame, key: str = "primaryid", bits: int = FILTER_BITS) -> DataFrame:
+    """Rows of ``df`` whose key may be among ``ids``: none of those that are is left out.
+
+    Each id sets one of ``bits`` marks by its hash.  The marks are aggregated to blocks of 4 KB,
+    at most ``bits`` / 8 bytes whatever the number of ids, so they may be broadcast; about
+    (number of ids) / ``bits`` of the other rows pass.
+    """
+    mark = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
+    marks = (ids.where(F.col(key).isNotNull()).select(mark.alias("mark"))
+             .groupBy(F.bitmap_bucket_number("mark").alias("_block"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("mark")).alias("_marks")))
+    place = F.bitmap_bit_position(mark)
+    byte = F.conv(F.hex(F.substring("_marks", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return (df.where(F.col(key).isNotNull()).withColumn("_block", F.bitmap_bucket_number(mark))
+            .join(F.broadcast(marks), "_block").where(F.getbit(byte, (place % 8).cast("int")) == 1)
+            .drop("_block", "_marks"))
+
+
 def of_exposed(reac: DataFrame, exposed: DataFrame, few: int = FEW_CASES) -> DataFrame:
     """Reactions of exposed cases, before anything is shuffled.
 
-    The ids are counted, and broadcast if there are at most ``few``; otherwise the rows stay as
-    they are and unexposed cases drop out in the join that follows.
+    The ids are counted, and broadcast if there are at most ``few``; otherwise a filter of fixed
+    size takes their place (``may_be_among``), and what it lets through drops out in the join that
+    follows.
     """
     ids = exposed.select("primaryid")
     if ids.limit(few + 1).count() > few:
-        return reac
+        return may_be_among(reac, ids)
     return reac.join(F.broadcast(ids), "primaryid", "left_semi")
 
 

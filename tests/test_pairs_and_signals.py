@@ -194,3 +194,27 @@ def test_risk_scores(spark):
     scores = signals.drug_risk_scores(df)
     assert rows(scores) == [("A", 2.5), ("B", 2.0)]
     assert [r.line for r in signals.risk_score_lines(scores).collect()] == ["'A': 2.5000,", "'B': 2.0000,"]
+
+
+@pytest.mark.parametrize("bits, error", [(1 << 28, 0.001), (1 << 16, 0.02), (64, 1.0)])
+def test_filter_of_many_ids_loses_none(spark, bits, error):
+    ids = spark.range(0, 20_000, 20).select(F.concat(F.lit("c"), "id").alias("primaryid"))
+    rows_ = spark.range(20_000).select(F.concat(F.lit("c"), "id").alias("primaryid"), F.lit("x").alias("pt"))
+    rows_ = rows_.unionByName(rows_.limit(1).withColumn("primaryid", F.lit(None).cast("string")))
+    kept = pairs.may_be_among(rows_, ids, bits=bits)
+    assert kept.columns == ["primaryid", "pt"]
+    assert kept.join(ids, "primaryid", "left_semi").count() == 1000
+    assert kept.count() <= 1000 + error * 19_000
+    assert pairs.may_be_among(rows_, ids.limit(0)).isEmpty()
+
+
+def test_reactions_beyond_a_broadcast_are_filtered_before_the_shuffle(spark):
+    """With more ids than may be broadcast, only the exposed share of the reactions is left."""
+    reac = spark.range(30_000).select(F.concat(F.lit("c"), (F.col("id") % 10_000).cast("string")).alias("primaryid"),
+                                      F.lit("x").alias("pt"))
+    exposed = spark.range(0, 10_000, 25).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("primaryid"), F.lit(1).alias("bits"))
+    few, many = pairs.of_exposed(reac, exposed), pairs.of_exposed(reac, exposed, few=10)
+    assert few.count() == 1200 and 1200 <= many.count() <= 1200 + 0.001 * 28_800
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert many.join(exposed, "primaryid").count() == 1200
