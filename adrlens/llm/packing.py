@@ -141,14 +141,16 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     pieces = pieces.drop("sequence_id", "offset")
     names = pieces.columns
     bucket, rank = free_name(names, "bucket"), free_name(names, "rank")
-    pieces = written(pieces, "pieces")
+    # Dealt out row by row, so that equal rows do not meet in one bucket; written, so that it stays.
+    pieces = written(pieces.withColumn(bucket, F.xxhash64(F.monotonically_increasing_id())), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     plan = Plan(counts, capacity)  # bounded by the capacity
     buckets = parts_for(spark, sum(counts.values()), BUCKET_PIECES)
-    pieces = pieces.withColumn(bucket, F.pmod(F.xxhash64(*names), F.lit(buckets)).cast("int"))
+    pieces = pieces.withColumn(bucket, F.pmod(F.col(bucket), F.lit(buckets)).cast("int"))
     earlier = W.partitionBy("length").orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
     ranks = (pieces.groupBy(bucket, "length").agg(F.count("*").alias(rank))
-             .withColumn(rank, F.coalesce(F.sum(rank).over(earlier), F.lit(0))))
+             .withColumn(rank, F.coalesce(F.sum(rank).over(earlier), F.lit(0)))
+             .select(*(F.col(c).alias(c) for c in (bucket, "length", rank))))  # apart from the pieces' own columns
     schema = T.StructType([*(pieces.schema[n] for n in names), T.StructField("sequence_id", T.LongType()),
                            T.StructField("offset", T.LongType())])
 

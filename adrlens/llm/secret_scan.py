@@ -232,7 +232,7 @@ def find_secrets(docs: DataFrame, rules: Sequence[Rule], id_column: str = "doc_i
 
 
 def redact(docs: DataFrame, rules: Sequence[Rule], mark: str = "[REDACTED]") -> DataFrame:
-    """``docs`` with every span of its ``text`` replaced and ``n_chars`` counted anew.
+    """``docs`` with every span of its ``text`` replaced and ``n_chars``, where there is one, counted anew.
 
     Overlapping spans become one mark; texts without spans stay as they are, null stays null.
     """
@@ -243,13 +243,15 @@ def redact(docs: DataFrame, rules: Sequence[Rule], mark: str = "[REDACTED]") ->
         scanner = kept_by_worker("secrets", "scanner", rules, lambda: Scanner(rules))
         for batch in batches:
             columns = dict(zip(names, batch.columns))
-            texts, counts = columns["text"].to_pylist(), columns["n_chars"].to_pylist()
+            texts = columns["text"].to_pylist()
+            counts = columns["n_chars"].to_pylist() if "n_chars" in columns else [0] * len(texts)
             for i, spans in enumerate(scanner.scan([t or "" for t in texts])):
                 if spans:
                     texts[i] = _without(texts[i], spans, mark)
                     counts[i] = len(texts[i])
             columns["text"] = pa.array(texts, columns["text"].type)
-            columns["n_chars"] = pa.array(counts, columns["n_chars"].type)
+            if "n_chars" in columns:
+                columns["n_chars"] = pa.array(counts, columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names)
 
     return docs.mapInArrow(clean, docs.schema)

@@ -15,12 +15,13 @@ _TOP_K = f"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
   FROM embeddings WHERE {_USABLE.format(v="embedding")}),
+q AS (SELECT DISTINCT vec_id, e FROM v WHERE vec_id % 50 = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  SELECT q.vec_id AS query_id, q.e, c.vec_id, TRY_CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id, e ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
        vec_id, score
-FROM s QUALIFY rank <= 5"""
+FROM s WHERE score IS NOT NULL QUALIFY rank <= 5"""
 
 _RANGE_JOIN = f"""
 WITH RECURSIVE v AS (

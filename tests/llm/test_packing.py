@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings, strategies as st
 
 from adrlens.llm import chunks, packing
@@ -67,3 +68,23 @@ def test_columns_pass_through(spark):
     assert sorted(r["bucket"] for r in rows) == sorted(f"p{i}" for i in range(500))
     assert {r["rank"] for r in rows} == {-1}
     assert_gapless([(r["sequence_id"], r["offset"], r["length"]) for r in rows], 10)
+
+
+def test_equal_rows_are_dealt_out(spark, monkeypatch):
+    """20,000 equal pieces: no bucket holds more than about its share."""
+    monkeypatch.setattr(packing, "BUCKET_PIECES", 1000)
+    pieces = spark.range(20_000).repartition(4).select(F.lit(1).cast("long").alias("doc_id"), F.lit(300).cast("long").alias("length"))
+    sizes = []
+    kept = packing.written
+
+    def written(df, name, **options):
+        out = kept(df, name, **options)
+        if name == "pieces":
+            sizes.extend(r["count"] for r in out.groupBy(F.pmod("bucket", F.lit(20))).count().collect())
+        return out
+
+    monkeypatch.setattr(packing, "written", written)
+    placed = packing.pack(pieces, 1024)
+    assert len(sizes) == 20 and max(sizes) < 1200
+    assert placed.select("sequence_id").distinct().count() == -(-20_000 // 3)
+    assert placed.select("sequence_id", "offset").distinct().count() == 20_000

@@ -67,3 +67,11 @@ def test_redaction(spark):
 
 def test_overlapping_spans_become_one_mark():
     assert secret_scan._without("abcdefgh", [(1, 0, 4), (2, 1, 6), (7, 0, 8)], "*") == "a*g*"
+
+
+def test_redaction_without_a_count_of_characters(spark):
+    docs = spark.createDataFrame([(1, 'password = "hunter2hunter"', "x"), (2, None, "y")], "doc_id long, text string, bucket string")
+    found = secret_scan.redact(docs, secret_scan.BASE_RULES)
+    assert found.columns == docs.columns
+    texts = {r["doc_id"]: r["text"] for r in found.collect()}
+    assert "[REDACTED]" in texts[1] and "hunter" not in texts[1] and texts[2] is None
