@@ -127,4 +127,4 @@ def test_facts_from_counts_equal_pair_facts(tables):
     for few in (0, 100):
         kept = pairs.of_exposed(tables.reac, exposed, few)
         assert rows(pairs.pair_facts(kept, exposed)) == rows(plain)
-        assert (kept.count() < tables.reac.count()) == (few == 100)
+        assert kept.count() < tables.reac.count()  # by a broadcast, and by the filter beyond it
