@@ -129,6 +129,24 @@ def test_training_finds_the_planted_signal(trained):
     assert table["adr_bone_tooth"].train_auc <= table["adr_bone_tooth"].train_auc_probability + 1e-9
 
 
+def test_training_rows_lie_sorted_in_each_partition(planted, monkeypatch):
+    prepared = []
+
+    write = ml.materialise
+
+    def keep(df, *args, **options):
+        prepared.append(df)
+        return write(df, *args, **options)
+
+    monkeypatch.setattr(ml, "materialise", keep)
+    ml.train_forests(planted, STUDY, ml.ForestParams(trees=1, depth=1))
+    parts = prepared[0].select("features", F.spark_partition_id().alias("part")).collect()
+    assert len(parts) == planted.count()
+    for part in {r["part"] for r in parts}:
+        own = [tuple(r["features"].toArray()[::-1]) for r in parts if r["part"] == part]
+        assert own == sorted(own)
+
+
 def test_importance(spark, trained):
     top = ml.feature_importance(trained[1], STUDY, spark).where("rank = 1")
     assert dict(rows(top, "label", "feature"))["adr_bone_tooth"] == "age_years"
