@@ -193,6 +193,16 @@ def test_scoring(spark, trained):
     assert summary["b"].high_risks == "" and summary["b"].action != "Action Required"
 
 
+def test_profiles_of_one_partition_are_scored_on_several(spark, trained):
+    _, models = trained
+    profiles = spark.range(20_000).coalesce(1).selectExpr(
+        "cast(id as string) profile_id", "id % 90 age", "'Male' sex", "'HBV Monoinfection' cohort", "'Lawyer' reporter",
+        "'TENOFOVIR' drug", "'Low (1-2)' polypharmacy")
+    scored = scoring.score_profiles(profiles, models, STUDY)
+    assert "RebalancePartitions" in scored._jdf.queryExecution().optimizedPlan().toString()
+    assert scored.count() == 20_000 * len(models)
+
+
 def test_no_auc_where_a_side_lacks_a_class(spark):
     data = [(False, "a|test", y, s, int(s > 0.5)) for y, s in ((1, 0.9), (0, 0.1))]
     data += [(True, "a|test", 0, s, int(s > 0.5)) for s in (0.2, 0.7)]
