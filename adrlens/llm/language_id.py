@@ -53,7 +53,6 @@ class Training:
     rare: int = 20
     pieces: int = 8
     characters: int = 500
-    judged: int = 2_000  # held-out documents for ``least_scores``, read whole
     hidden: int = 16
     steps: int = 400
     words: int = 512
@@ -382,23 +381,27 @@ def learn(docs: DataFrame, training: Training = Training(), id_column: str = "do
     return Model.train([_whole_words(r["pieces"]) for r in sample], [r["lang"] for r in sample], training)
 
 
-def least_scores(docs: DataFrame, model: Model, training: Training = Training(), id_column: str = "doc_id",
-                 text_column: str = "text", label_column: str = "lang") -> list[float]:
-    """``bounds`` from labelled documents that are held out, whose whole texts are read by Spark."""
+def least_scores(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text",
+                 label_column: str = "lang") -> list[float]:
+    """``bounds`` from all labelled documents that are held out, whose whole texts are read by Spark."""
     if not model.network:
         return [0.0] * SIZES
-    rows = _labelled(docs, held_out(F.col(id_column)), id_column, text_column, label_column)
-    drawn = rows.select("order", "id", "lang").distinct().orderBy("order", "id", "lang").limit(training.judged)
+    rows = (_labelled(docs, held_out(F.col(id_column)), id_column, text_column, label_column)
+            .select(F.xxhash64("id", "lang", "text").alias("key"), "text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema = "key long, size int, lowest double, pieces long"
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = shared.value.reader()
         for batch in batches:
-            found = scores_by_size(reader, batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array([f[0] for f in found.values()], pa.float64()),
-                                              pa.array([f[1] for f in found.values()], pa.int64())], ["size", "lowest", "pieces"])
-
-    judged = (_drawn(rows, drawn).select("text").mapInArrow(judge, "size int, lowest double, pieces long")
+            found = [(key, size, *least) for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                     for size, least in scores_by_size(reader, [text]).items()]
+            columns = zip(*found) if found else ([],) * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (
+                pa.int64(), pa.int32(), pa.float64(), pa.int64()))], ["key", "size", "lowest", "pieces"])
+
+    judged = (rows.mapInArrow(judge, schema)
+              .groupBy("key", "size").agg(F.min("lowest").alias("lowest"), F.max("pieces").alias("pieces"))  # repeated rows count once
               .groupBy("size").agg(F.min("lowest").alias("lowest"), F.sum("pieces").alias("pieces")))
     return bounds({r["size"]: (r["lowest"], r["pieces"]) for r in judged.collect()}, len(model.languages))
 

@@ -50,3 +50,17 @@ def test_bound_rises_with_size_and_needs_many_pieces():
     assert set(least_of(["the cat sat"] * 5)) == {0.0}
     least = least_of([f"the cat sat on it {'and so on ' * (i % 20)}" for i in range(200)])
     assert least == sorted(least) and max(least) > 0
+
+
+def test_the_bound_comes_from_all_held_out_documents(spark):
+    """The worst of 2,100 held-out documents is the last in the order in which a sample was once drawn."""
+    model = li.Model.train(["the cat sat on it"] * 3 + ["der hund lag da"] * 3, ["en"] * 3 + ["de"] * 3,
+                           li.Training(steps=150, hidden=8, words=64))
+    ids = spark.range(10_000).where(li.held_out(F.col("id"))).orderBy(F.xxhash64("id")).limit(2_100)
+    ids = [r["id"] for r in ids.orderBy(F.xxhash64("id")).collect()]
+    texts = ["the cat sat on it" + " cat" * (i % 3) for i in ids[:-1]] + ["der the hund cat lag sat"]
+    rows = [(i, t, "en") for i, t in zip(ids, texts)]
+    docs = spark.createDataFrame(rows + rows[:500], "doc_id long, text string, lang string")  # some twice
+    found = li.least_scores(docs.repartition(3), model)
+    assert found == pytest.approx(li.bounds(li.scores_by_size(li.Reader(model), texts), 2), abs=1e-5)
+    assert found != pytest.approx(li.bounds(li.scores_by_size(li.Reader(model), texts[:-1]), 2), abs=1e-5)
