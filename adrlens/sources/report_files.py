@@ -105,11 +105,12 @@ def _normalised_header(spark: SparkSession, path: str) -> tuple[str, ...]:
 
 
 def _quarter_label() -> Column:
-    stem = r"(\d\d)[qQ]([1-4])[^/]*\.txt(/[^/]+)?$"
-    path = F.col("_metadata.file_path")
-    year = F.regexp_extract(path, stem, 1)
+    """From the path's last two components, of which one names the report; searched once a row."""
+    tail = F.substring_index("_metadata.file_path", "/", -2)
+    quarter = F.regexp_extract(tail, r"(\d\d[qQ][1-4])[^/]*\.txt(/[^/]+)?$", 1)
+    year = F.substring(quarter, 1, 2)
     century = F.when(year < str(PIVOT_YEAR), "20").otherwise("19")
-    return F.concat(century, year, F.lit(" Q"), F.regexp_extract(path, stem, 2))
+    return F.concat(century, year, F.lit(" Q"), F.substring(quarter, 4, 1))
 
 
 def _parsed(spark: SparkSession, paths: list[str], header: tuple[str, ...]) -> DataFrame:

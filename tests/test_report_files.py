@@ -196,3 +196,12 @@ def test_missing_table(spark, tmp_path):
     assert read_table(spark, f"{tmp_path}/none", "x string", required=False) is None
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_table(spark, f"{tmp_path}/none", "x string")
+
+
+def test_quarter_is_searched_in_the_end_of_the_path_only(spark, folder):
+    folder("20Q2x/report=DEMO99q4new.txt/part-0.csv", "primaryid$caseid\n1$2\n")
+    df = rf.read_report_table(spark, "demo", rf.find_report_files(spark, folder.base, years=[1999]))
+    assert rows(df, "primaryid", "year_quarter") == [("1", "1999 Q4")]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract(substring_index(" in plan.lower()
+    assert "regexp_extract(_metadata" not in plan.lower()
