@@ -16,15 +16,13 @@ import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import partial, reduce
-from multiprocessing.pool import ThreadPool
 from urllib.parse import unquote
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from adrlens.functions.cleaning import NULL_TOKENS, null_tokens
 from adrlens.schemas import REPORT_COLUMNS, REPORT_TABLES, string_schema
-from adrlens.session import materialise
+from adrlens.session import concurrently, materialise
 from adrlens.sources.case_tables import CaseTables
 
 # Fixed values.
@@ -278,9 +276,7 @@ def _parsed_in_order(spark: SparkSession, paths: list[str], header: tuple[str, .
 def _layouts(spark: SparkSession, files: Iterable[ReportFile]) -> dict[tuple[str, ...], list[ReportFile]]:
     files = list(files)
     paths = [f.path for f in files]
-    header = inheritable_thread_target(spark)(lambda path: _normalised_header(spark, path))
-    with ThreadPool(HEADER_THREADS) as pool:  # one short job per file
-        headers = pool.map(header, paths)
+    headers = concurrently(spark, partial(_normalised_header, spark), paths, HEADER_THREADS)  # one short job per file
     layouts: dict[tuple[str, ...], list[ReportFile]] = {}
     for file, columns in zip(files, headers):
         layouts.setdefault(columns, []).append(file)

@@ -1,6 +1,7 @@
 """The shared folder and written intermediate tables."""
 
 import os
+import threading
 
 import pytest
 
@@ -60,3 +61,20 @@ def test_intermediates_go_with_their_owner(spark):
         path = kept.inputFiles()[0]
     with pytest.raises(Exception, match="FILE_NOT_EXIST|PATH_NOT_FOUND|does not exist"):
         spark.read.parquet(path).count()
+
+
+def test_concurrent_calls_share_no_local_properties(spark):
+    context, meet = spark.sparkContext, threading.Barrier(4, timeout=30)
+
+    def work(i):
+        inherited = context.getLocalProperty("adrlens.caller")
+        context.setLocalProperty("adrlens.own", str(i))
+        meet.wait()
+        return inherited, context.getLocalProperty("adrlens.own")
+
+    context.setLocalProperty("adrlens.caller", "here")
+    try:
+        assert session.concurrently(spark, work, range(4), 4) == [("here", str(i)) for i in range(4)]
+        assert session.concurrently(spark, work, [], 4) == []
+    finally:
+        context.setLocalProperty("adrlens.caller", None)
