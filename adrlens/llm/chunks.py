@@ -67,6 +67,14 @@ def array_slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]
         begin = stop
 
 
+def batch_slices(batch: pa.RecordBatch, at: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of a batch whose texts, column ``at``, take about ``size`` bytes together."""
+    begin = 0
+    for texts in array_slices(batch.column(at), size):
+        yield batch.slice(begin, len(texts))
+        begin += len(texts)
+
+
 def strings(values: pa.Array) -> list[str]:
     """Strings without blanks, through one joined string (much quicker than one by one)."""
     if not len(values):
@@ -183,9 +191,9 @@ class TextEncoder:
         begun = self.encode([c[1:] for c in chunks if c[:1] == FIRST])
         return _merged(first, begun, self.quick([c if c[:1] == "\n" else " " + c for c in chunks if c[:1] != FIRST]))
 
-    def texts(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def texts(self, texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per slice of consecutive texts: flat ids and their number for each text."""
-        for own in array_slices(texts):
+        for own in array_slices(texts, size):
             lists, plain = split_chunks(own, self.spaced)
             ids, sizes = self.cache.look_up(lists.flatten())
             counts = segment_sums(sizes, lists.value_lengths().to_numpy())

@@ -26,6 +26,7 @@ from adrlens.llm.chunks import keeps_space, text_encoder
 from adrlens.llm.common import free_name, parts_for, written
 
 BUCKET_PIECES = 50_000
+SLICE_BYTES = 1 << 20  # text encoded at once, so that a task needs little beside its cache
 
 
 def piece_lengths(tokens: int, capacity: int) -> list[int]:
@@ -46,7 +47,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int,
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             at = 0
-            for ids, counts in encoder.texts(batch.column(1)):
+            for ids, counts in encoder.texts(batch.column(1), SLICE_BYTES):
                 raw, begin = ids.astype("<u4").tobytes(), 0
                 rows, pieces, starts, lengths, data = [], [], [], [], []
                 for count in counts.tolist():

@@ -22,10 +22,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
+from adrlens.llm.chunks import batch_slices
 from adrlens.llm.common import kept_by_worker, text_slices
 
 MOST_STRINGS = 64  # alternatives kept apart while a query is derived
 LONGEST_CLASS = 4  # characters of a class that are spelled out
+INDEX_BYTES = 1 << 18  # whose trigrams are looked up at once
 
 
 @dataclass(frozen=True)
@@ -161,16 +163,20 @@ class TrigramIndex:
         self.postings: dict[int, np.ndarray] = {}
         if len(data) < 3 or not wanted.any():
             return
-        codes = data[:-2].astype(np.int32)
-        codes = codes << 16 | data[1:-1].astype(np.int32) << 8 | data[2:]
-        at = np.flatnonzero(wanted[codes])
-        key = codes[at].astype(np.int64) << 32 | np.searchsorted(ends, at, "right")
-        key = np.unique(key)
+        key = np.unique(np.concatenate([self._keys(data, begin, ends, wanted) for begin in range(0, len(data) - 2, INDEX_BYTES)]))
         trigram, doc = key >> 32, key & 0xFFFFFFFF
         for part in np.split(np.arange(len(key)), np.flatnonzero(np.diff(trigram)) + 1):
             if len(part):
                 self.postings[int(trigram[part[0]])] = doc[part]
 
+    @staticmethod
+    def _keys(data: np.ndarray, begin: int, ends: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """(trigram, document) as one number, of the wanted trigrams that start in ``INDEX_BYTES`` from ``begin`` on."""
+        own = data[begin:begin + INDEX_BYTES + 2].astype(np.int32)
+        codes = own[:-2] << 16 | own[1:-1] << 8 | own[2:]
+        at = np.flatnonzero(wanted[codes])
+        return np.unique(codes[at].astype(np.int64) << 32 | np.searchsorted(ends, begin + at, "right"))
+
     def candidates(self, query) -> np.ndarray:
         """Documents that fulfil a query, ascending."""
         if query is True:
@@ -221,12 +227,13 @@ def find_secrets(docs: DataFrame, rules: Sequence[Rule], id_column: str = "doc_i
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = kept_by_worker("secrets", "scanner", rules, lambda: Scanner(rules))
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            spans = [[{"kind": rules[k].kind, "start": s, "end": e} for s, k, e in own]
-                     for own in scanner.scan(texts)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, arrow)],
-                                             [id_column, "spans"])
+        for whole in batches:
+            for batch in batch_slices(whole, 1):
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                spans = [[{"kind": rules[k].kind, "start": s, "end": e} for s, k, e in own]
+                         for own in scanner.scan(texts)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, arrow)],
+                                                 [id_column, "spans"])
 
     return picked.mapInArrow(scan, schema)
 
@@ -241,18 +248,19 @@ def redact(docs: DataFrame, rules: Sequence[Rule], mark: str = "[REDACTED]") ->
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = kept_by_worker("secrets", "scanner", rules, lambda: Scanner(rules))
-        for batch in batches:
-            columns = dict(zip(names, batch.columns))
-            texts = columns["text"].to_pylist()
-            counts = columns["n_chars"].to_pylist() if "n_chars" in columns else [0] * len(texts)
-            for i, spans in enumerate(scanner.scan([t or "" for t in texts])):
-                if spans:
-                    texts[i] = _without(texts[i], spans, mark)
-                    counts[i] = len(texts[i])
-            columns["text"] = pa.array(texts, columns["text"].type)
-            if "n_chars" in columns:
-                columns["n_chars"] = pa.array(counts, columns["n_chars"].type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names)
+        for whole in batches:
+            for batch in batch_slices(whole, names.index("text")):
+                columns = dict(zip(names, batch.columns))
+                texts = columns["text"].to_pylist()
+                counts = columns["n_chars"].to_pylist() if "n_chars" in columns else [0] * len(texts)
+                for i, spans in enumerate(scanner.scan([t or "" for t in texts])):
+                    if spans:
+                        texts[i] = _without(texts[i], spans, mark)
+                        counts[i] = len(texts[i])
+                columns["text"] = pa.array(texts, columns["text"].type)
+                if "n_chars" in columns:
+                    columns["n_chars"] = pa.array(counts, columns["n_chars"].type)
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names)
 
     return docs.mapInArrow(clean, docs.schema)
 

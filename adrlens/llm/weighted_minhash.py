@@ -33,7 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from adrlens.llm.common import join_small, kept_by_worker, parts_for, ranges, written
+from adrlens.llm.common import join_small, kept_by_worker, lean, parts_for, ranges, written
 from adrlens.llm.components import components
 from adrlens.llm.shingles import Shingler, mix, pack_sorted, unpack_sorted
 from adrlens.session import intermediates
@@ -148,8 +148,8 @@ def document_counts(blocks: DataFrame, words: int, buckets: int) -> DataFrame:
                 rows.append((block, pack_sorted(part[hit]), sums[at[hit]].astype("<u4").tobytes()))
         return pd.DataFrame(rows, columns=["block", "shingles", "counts"])
 
-    asked = blocks.groupBy("block").applyInPandas(ask, "bucket int, shingles binary, counts binary, block int")
-    return asked.groupBy("bucket").applyInPandas(count, "block int, shingles binary, counts binary")
+    asked = blocks.groupBy("block").applyInPandas(lambda frame: lean(ask, frame), "bucket int, shingles binary, counts binary, block int")
+    return asked.groupBy("bucket").applyInPandas(lambda frame: lean(count, frame), "block int, shingles binary, counts binary")
 
 
 class Weights:
@@ -186,7 +186,7 @@ def signatures(blocks: DataFrame, counts: DataFrame, documents: int, config: Sam
         return pd.DataFrame(rows, columns=["id", "words", "size", "keys"])
 
     return (blocks.groupBy("block").cogroup(counts.groupBy("block"))
-            .applyInPandas(sign, "id long, words long, size long, keys array<long>"))
+            .applyInPandas(lambda frame, answers: lean(sign, frame, answers), "id long, words long, size long, keys array<long>"))
 
 
 def weighted_sets(blocks: DataFrame, counts: DataFrame, documents: int, words: int) -> DataFrame:
@@ -200,7 +200,7 @@ def weighted_sets(blocks: DataFrame, counts: DataFrame, documents: int, words: i
         return pd.DataFrame(rows, columns=["id", "shingles", "weights"])
 
     return (blocks.groupBy("block").cogroup(counts.groupBy("block"))
-            .applyInPandas(weigh, "id long, shingles binary, weights binary"))
+            .applyInPandas(lambda frame, answers: lean(weigh, frame, answers), "id long, shingles binary, weights binary"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -276,7 +276,7 @@ def links_across(members: DataFrame, groups: DataFrame, sets: DataFrame, least:
              .select("key", "node", "component", F.least("block", "other").alias("one"),
                      F.greatest("block", "other").alias("two")))
     return (dealt.join(sets.withColumnRenamed("id", "node"), "node").groupBy("key", "one", "two")
-            .applyInPandas(lambda frame: bucket_links(frame, least), "a long, b long"))
+            .applyInPandas(lambda frame: lean(bucket_links, frame, least), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, config: Sampling = Sampling(), id_column: str = "doc_id",

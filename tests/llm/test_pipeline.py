@@ -77,3 +77,21 @@ def test_a_worker_keeps_the_memory_of_one_operator():
     assert common.kept_by_worker("one", "a", 1, lambda: "y") == "x" and common.kept_by_worker("one", "a", 2, lambda: "z") == "z"
     assert common.kept_by_worker("two", "a", 1, dict) == {} and list(common._KEPT) == ["two"]
     common._KEPT.clear()
+
+
+def test_a_lean_call_gives_its_memory_back():
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+    def work(count):  # blocks too small to be mapped one by one
+        held = [bytes([1]) * 60_000 for _ in range(count)]
+        pinned.append(bytes(60_000))  # behind them, so that the heap's end can't fall
+        return len(held)
+
+    pinned: list[bytes] = []
+    before = resident()
+    assert common.lean(work, 2_000) == 2_000
+    assert resident() - before < 40_000_000
+    with pytest.raises(ZeroDivisionError):
+        common.lean(lambda: 1 // 0)

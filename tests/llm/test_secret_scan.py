@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
 from adrlens.llm import secret_scan
+from adrlens.llm.chunks import batch_slices
 from adrlens.llm.queries import QUERIES, SECRETS
 
 from .conftest import TEXTS
@@ -75,3 +78,28 @@ def test_redaction_without_a_count_of_characters(spark):
     assert found.columns == docs.columns
     texts = {r["doc_id"]: r["text"] for r in found.collect()}
     assert "[REDACTED]" in texts[1] and "hunter" not in texts[1] and texts[2] is None
+
+
+def test_scanning_takes_little_more_memory_than_the_texts():
+    scanner = secret_scan.Scanner(SECRETS)
+    text = "a token of some words, then more " * 60_000 + "password=abcdef1"
+    tracemalloc.start()
+    found = scanner.scan([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(s, e) for s, _, e in found[0]] == [(len(text) - 16, len(text))]
+    assert peak < 8 * len(text)
+
+
+def test_trigrams_at_the_border_of_two_lookups(monkeypatch):
+    texts = ["x" * i + "password=abcdef1 AKIA" + "Q7" * 9 + " é" for i in range(12)] + ["", "to", "ken"]
+    for size in (1, 2, 5, 7):
+        monkeypatch.setattr(secret_scan, "INDEX_BYTES", size)
+        assert secret_scan.Scanner(SECRETS).scan(texts) == [brute(t) for t in texts]
+
+
+def test_batches_are_read_in_slices():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["abcd", None, "", "éé", "x" * 30, "y"])], ["id", "text"])
+    parts = [p.to_pydict() for p in batch_slices(batch, 1, size=8)]
+    assert [p["id"] for p in parts] == [[0, 1, 2, 3], [4], [5]] and parts[0]["text"] == ["abcd", None, "", "éé"]
+    assert list(batch_slices(batch.slice(0, 0), 1)) == []
