@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,7 @@ CAPACITY = 600_000
 CHUNK_CHARS = 16
 TAIL = ",.!?;:"
 JOINED = 100  # chunks given to the library as one text
+LOT = 1 << 14  # new chunks encoded at once; the library takes far more memory than their ids
 FIRST = chr(2)  # before the first chunk of a text, which has no blank in front
 
 #: White space and invisible separators other than the blank and the line end.
@@ -84,7 +85,7 @@ def strings(values: pa.Array) -> list[str]:
 
 
 class ChunkCache:
-    """Ids per distinct chunk; starts afresh when full.
+    """Ids per distinct chunk; when full, those that several slices had stay, up to half of it.
 
     Sentence signs behind an ASCII letter or digit are a pre-token of their own, so a chunk with
     such a tail is put together from the ids of its core and of its tail.
@@ -97,55 +98,88 @@ class ChunkCache:
     def clear(self) -> None:
         self.number: dict[str, int] = {}
         self.start, self.count = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.hits = np.empty(0, np.int32)  # slices that had the chunk
         self.pool = np.empty(0, np.int32)
         self.used = self.chars = 0
 
+    def _make_room(self) -> None:
+        """Forget all chunks but the commonest."""
+        have = len(self.number)
+        hits, start, count, pool = self.hits[:have], self.start, self.count, self.pool
+        kept = np.flatnonzero(hits > 1)
+        most = min(len(kept), self.capacity // 2)
+        kept = np.sort(kept[np.argsort(-hits[kept], kind="stable")[:most]])
+        every = list(self.number)  # in the order of their numbers
+        chunks = [every[i] for i in kept.tolist()]
+        del every
+        self.clear()
+        if sum(map(len, chunks)) <= CHUNK_CHARS * self.capacity // 2:
+            self._append(chunks, pool[ranges(start[kept], count[kept])], count[kept])
+
     def _append(self, chunks: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         have, more = len(self.number), len(chunks)
         if have + more > len(self.start):
             room = max(2 * len(self.start), have + more, 1024)
             self.start = np.resize(self.start, room)
             self.count = np.resize(self.count, room)
+            self.hits = np.resize(self.hits, room)
         if self.used + len(ids) > len(self.pool):
             self.pool = np.resize(self.pool, max(2 * len(self.pool), self.used + len(ids), 4096))
         self.start[have:have + more] = self.used + np.cumsum(counts) - counts
         self.count[have:have + more] = counts
+        self.hits[have:have + more] = 0
         self.pool[self.used:self.used + len(ids)] = ids
         self.used += len(ids)
         self.chars += sum(map(len, chunks))
         self.number.update(zip(chunks, range(have, have + more)))
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Take in distinct chunks that are not there yet."""
-        cores = [core if (core := c.rstrip(TAIL))[-1:].isalnum() and core[-1].isascii() else c for c in chunks]
-        if new := [c for c in dict.fromkeys(cores) if c not in self.number]:
-            self._append(new, *self.encode(new))
-        pairs = [(c, core) for c, core in zip(chunks, cores) if len(c) > len(core)]
-        if not pairs:
-            return
-        tails = list(dict.fromkeys(c[len(core):] for c, core in pairs))
+    def _take(self, chunks: list[str]) -> None:
+        """Encode distinct chunks that are not there yet, a lot at a time."""
+        for i in range(0, len(chunks), LOT):
+            own = chunks[i:i + LOT]
+            self._append(own, *self.encode(own))
+
+    def _learn(self, chunks: pa.Array) -> np.ndarray:
+        """Numbers of distinct chunks that are not there yet."""
+        cores = pc.utf8_rtrim(chunks, TAIL)
+        cores = pc.if_else(pc.match_substring_regex(cores, r"[0-9A-Za-z]\z"), cores, chunks)
+        size = pc.binary_length(cores).to_numpy()
+        tailed = size < pc.binary_length(chunks).to_numpy()
+        numbers = np.empty(len(chunks), np.int64)
+        numbers[~tailed] = len(self.number) + np.arange(len(chunks) - int(tailed.sum()))
+        self._take(strings(chunks.filter(pa.array(~tailed))))
+        if not tailed.any():
+            return numbers
+        whole, kept = strings(chunks.filter(pa.array(tailed))), strings(cores.filter(pa.array(tailed)))
+        self._take([c for c in dict.fromkeys(kept) if c not in self.number])
+        ends = [c[len(core):] for c, core in zip(whole, kept)]
+        tails = list(dict.fromkeys(ends))
         ids, counts = self.encode_tails(tails)
         place = dict(zip(tails, range(len(tails))))
-        tail = np.fromiter((place[c[len(core):]] for c, core in pairs), np.int64, len(pairs))
-        core = np.fromiter((self.number[core] for _, core in pairs), np.int64, len(pairs))
+        tail = np.fromiter(map(place.__getitem__, ends), np.int64, len(ends))
+        core = np.fromiter(map(self.number.__getitem__, kept), np.int64, len(kept))
         first, second = self.count[core], counts[tail]
         both = np.empty(int((first + second).sum()), np.int32)
         begin = np.cumsum(first + second) - first - second
         both[ranges(begin, first)] = self.pool[ranges(self.start[core], first)]
         both[ranges(begin + first, second)] = ids[ranges((np.cumsum(counts) - counts)[tail], second)]
-        self._append([c for c, _ in pairs], both, first + second)
+        numbers[tailed] = len(self.number) + np.arange(len(whole))
+        self._append(whole, both, first + second)
+        return numbers
 
     def numbers(self, chunks: pa.Array) -> np.ndarray:
         """Numbers of the chunks in the cache, after encoding the new ones."""
         if len(self.number) > self.capacity or self.chars > CHUNK_CHARS * self.capacity:
-            self.clear()
+            self._make_room()
         coded = chunks.dictionary_encode()
         distinct = strings(coded.dictionary)
-        numbers = list(map(self.number.get, distinct))
-        if None in numbers:
-            self._learn([c for c, n in zip(distinct, numbers) if n is None])
-            numbers = [self.number[c] if n is None else n for c, n in zip(distinct, numbers)]
-        return np.array(numbers, np.int64)[coded.indices.to_numpy()]
+        numbers = np.fromiter(map(self.number.get, distinct, repeat(-1)), np.int64, len(distinct))
+        del distinct
+        new = numbers < 0
+        if new.any():
+            numbers[new] = self._learn(coded.dictionary.filter(pa.array(new)))
+        self.hits[numbers] += 1
+        return numbers[coded.indices.to_numpy()]
 
     def look_up(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the chunks and the count of each chunk."""
@@ -274,7 +308,15 @@ def joined_encoder(path: str, spaced: bool) -> Encoder:
         plain = [not spaced and _folded(t) for t in texts]
         found = [iter(tool.encode_batch_fast(own, add_special_tokens=False) if own else ())
                  for tool, kind in ((tokenizer, False), (bare, True)) for own in [[t for t, p in zip(texts, plain) if p == kind]]]
-        cut = [parts(group, np.array(next(found[p]).ids, np.int32)) for group, p in zip(groups, plain)]
+        lists = [next(found[p]).ids for p in plain]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        ids = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
+        if np.array_equal(segment_sums(marks[ids], sizes), list(map(len, groups))):
+            at = np.flatnonzero(marks[ids])
+            # A group whose first id is not a mark would lend its first ids to the group before.
+            if not len(ids) or (marks[ids[np.cumsum(sizes) - sizes]] if spaced else marks[ids[np.cumsum(sizes) - 1]]).all():
+                return ids, np.diff(at, append=len(ids)) if spaced else np.diff(at, prepend=-1)
+        cut = [parts(group, own) for group, own in zip(groups, np.split(ids, np.cumsum(sizes)[:-1]))]
         return (np.concatenate([np.empty(0, np.int32), *(c[0] for c in cut)]),
                 np.concatenate([np.empty(0, np.int64), *(c[1] for c in cut)]))
 

@@ -177,3 +177,38 @@ def test_small_shards_and_searches(spark, frame):
     places = sorted((i, at) for i, t in texts for at, x in enumerate(want(WORD_BPE, [t])[0]) if x == again)
     assert sorted(tuple(r) for r in wavelet.find_token(spark, path, again).collect()) == places
     assert wavelet.count_token(spark, path, again).agg(F.sum("n")).first()[0] == len(places)
+
+
+def test_a_full_cache_keeps_what_recurs():
+    path, seen = tokenizer(BYTE_BPE), []
+    encode = chunks.library_encoder(path)
+
+    def watched(own):
+        seen.append(list(own))
+        return encode(own)
+
+    cache = chunks.ChunkCache(watched, encode, capacity=50)
+    for i in range(40):
+        own = pa.array(["the", "the.", "and"] + [f"w{i}x{j}" for j in range(20)])
+        ids, counts = cache.look_up(own)
+        whole = encode(own.to_pylist())
+        assert ids.tolist() == whole[0].tolist() and counts.tolist() == whole[1].tolist()
+        assert len(cache.number) <= 50 + 23
+    assert sum("the" in own for own in seen) == sum("and" in own for own in seen) == 1
+
+
+def test_new_chunks_are_encoded_in_lots(monkeypatch):
+    monkeypatch.setattr(chunks, "LOT", 7)
+    path, sizes = tokenizer(BYTE_BPE), []
+    encode = chunks.library_encoder(path)
+
+    def watched(own):
+        sizes.append(len(own))
+        return encode(own)
+
+    words = [f"{c}{i}{tail}" for i in range(10) for c in ("a", "é", "\n", "") for tail in ("", ",", "?!", "%,")] + [",", "...", ""]
+    own = pa.array(words + words[::-1])
+    ids, counts = chunks.ChunkCache(watched, encode).look_up(own)
+    whole = encode(own.to_pylist())
+    assert ids.tolist() == whole[0].tolist() and counts.tolist() == whole[1].tolist()
+    assert max(sizes) <= 7
