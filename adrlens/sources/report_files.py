@@ -163,7 +163,14 @@ def _quote_shape(line: Column) -> Column:
     within = unquoted(F.concat(F.lit(QUOTE + "\n"), line))  # of an open field only its quote matters
     return F.struct(
         (quoted & own.rlike(_OPEN_QUOTE)).alias("opens"), (quoted & ~within.rlike(_OPEN_QUOTE)).alias("closes"),
-        (quoted & F.contains(F.regexp_replace(own, _OPEN_QUOTE, "$1"), F.lit(QUOTE))).alias("stray"), _fields(own).alias("fields"))
+        (quoted & F.contains(F.regexp_replace(own, _OPEN_QUOTE, "$1"), F.lit(QUOTE))).alias("stray"), _fields(own).alias("fields"),
+        _computed_once().alias("once"))
+
+
+def _computed_once() -> Column:
+    """A value that may not be copied, and nothing with it: else Spark puts the expression of a column
+    into the filters on it, once for every use there."""
+    return F.spark_partition_id()
 
 
 def _fields(unquoted: Column) -> Column:
@@ -202,7 +209,7 @@ def joined_records(lines: DataFrame, n_columns: int) -> DataFrame:
     the number of lines before it that do not, counted per split.  Only segments that follow one
     another in doubt (the last line of one may open or close a record) are looked at in order.
     """
-    shaped = lines.withColumn("shape", _quote_shape(F.col("line"))).select("*", "shape.*").drop("shape")
+    shaped = lines.withColumn("shape", _quote_shape(F.col("line"))).select("*", "shape.*").drop("shape", "once")
     full = F.col("fields") >= n_columns
     regular = full & ~F.col("opens") & ~F.col("closes")
     plain = shaped.where(regular).select("year_quarter", "line", F.lit(None).cast("string").alias("given"))
@@ -263,7 +270,7 @@ def _parsed_in_order(spark: SparkSession, paths: list[str], header: tuple[str, .
     """Like ``_parsed`` for files with records over several lines."""
     n_columns = len(header)
     lines = _numbered_lines(spark, paths).where("number > 0")
-    parsed = F.from_csv("line", F.lit(", ".join(f"`{c}` string" for c in [*header, _RAW])),
+    parsed = F.from_csv(F.when(_computed_once() >= 0, F.col("line")), F.lit(", ".join(f"`{c}` string" for c in [*header, _RAW])),
                         {"sep": DELIMITER, "escape": QUOTE, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RAW})
     return (joined_records(lines, n_columns)
             .select("year_quarter", "given", "line", parsed.alias("parsed"))

@@ -78,3 +78,13 @@ def test_one_open_quote_leaves_a_file_split(spark, tmp_path, monkeypatch):
         assert kept.count() == 6002 and [r["pt"] for r in kept.where("primaryid = '7'").collect()] == ["open\nclosed"]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_filters_do_not_parse_a_line_again(spark, tmp_path):
+    text = "".join(f'{i}$c$"a\nb"$x\n{i}b$d$plain$y\n' for i in range(3))
+    (tmp_path / "REAC20Q1.txt").write_text(HEADER + text, encoding=rf.ENCODING)
+    kept = rf.kept_rows(rf.parse_report_table(spark, "reac", rf.find_report_files(spark, str(tmp_path))))
+    assert sorted(r["pt"] for r in kept.collect()) == ["a\nb"] * 3 + ["plain"] * 3
+    plan = kept._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    filters = [line for line in plan if "Filter " in line]
+    assert any("from_csv(" in line for line in plan) and not any("from_csv(" in line for line in filters)
